@@ -12,7 +12,10 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import dedup, matching, scorecard
+from pyspark.sql import functions as F
+
+from ..functions.money import MONEY, round_double
+from ..operators import anomaly, dedup, deferred, matching, profile, scorecard
 from ..sources import derive, io
 
 # as-of date used for the deferred-revenue schedule and the audit stamp
@@ -196,3 +199,118 @@ def _s4(spark, d):
 @query("s4_executive_summary_dedup")
 def _s4d(spark, d):
     return scorecard.executive_summary(_recon(spark, d, "dedup"))
+
+
+# ---- P: profiling ----------------------------------------------------------
+@query("p1_source_overview")
+def _p1(spark, d):
+    s, g, _ = _sgb(spark, d)
+    return profile.source_overview(s, g)
+
+
+@query("p2_completeness")
+def _p2(spark, d):
+    return profile.completeness(_sgb(spark, d)[0])
+
+
+@query("p3_duplicate_keys")
+def _p3(spark, d):
+    return profile.duplicate_keys(_sgb(spark, d)[0])
+
+
+@query("p4_revenue_sign_mix")
+def _p4(spark, d):
+    return profile.revenue_sign_mix(_sgb(spark, d)[0])
+
+
+@query("p5_monthly_baseline")
+def _p5(spark, d):
+    return profile.monthly_baseline(_sgb(spark, d)[0])
+
+
+@query("p6_quality_scorecard")
+def _p6(spark, d):
+    return profile.quality_scorecard(_sgb(spark, d)[0])
+
+
+# ---- N: anomaly detection --------------------------------------------------
+@query("n1_category_stats")
+def _n1(spark, d):
+    st = anomaly.category_stats(_clean(spark, d))
+    return st.select("product_category", "transaction_count",
+                     round_double(F.col("mean_net_revenue"), 2).alias("mean_net_revenue"),
+                     round_double(F.col("std_net_revenue"), 2).alias("std_net_revenue"),
+                     "min_net_revenue", "max_net_revenue")
+
+
+@query("n2_zscore_scored")
+def _n2(spark, d):
+    return anomaly.zscore_scored(_clean(spark, d))
+
+
+@query("n3_zscore_anomalies")
+def _n3(spark, d):
+    return anomaly.zscore_anomalies(_clean(spark, d))
+
+
+@query("n4_iqr_stats")
+def _n4(spark, d):
+    return anomaly.iqr_summary(_clean(spark, d)).select("product_category", "q1", "median_val", "q3")
+
+
+@query("n5_iqr_fences")
+def _n5(spark, d):
+    return anomaly.iqr_summary(_clean(spark, d))
+
+
+@query("n6_iqr_outliers")
+def _n6(spark, d):
+    return anomaly.iqr_outliers(_clean(spark, d))
+
+
+@query("n7_zscore_flagged_ids")
+def _n7(spark, d):
+    return anomaly.zscore_flagged_ids(_clean(spark, d))
+
+
+@query("n8_iqr_flagged_ids")
+def _n8(spark, d):
+    return anomaly.iqr_flagged_ids(_clean(spark, d))
+
+
+@query("n9_flagged_by_both")
+def _n9(spark, d):
+    return anomaly.flagged_by_both(_clean(spark, d))
+
+
+@query("n10_highest_priority")
+def _n10(spark, d):
+    return anomaly.highest_priority(_clean(spark, d))
+
+
+# ---- R: deferred revenue ---------------------------------------------------
+@query("r1_deferred_lines")
+def _r1(spark, d):
+    return deferred.deferred_lines(_clean(spark, d))
+
+
+@query("r2_future_contracts")
+def _r2(spark, d):
+    fc = deferred.future_contracts(_clean(spark, d), AS_OF)
+    return fc.withColumn("monthly_amount", F.round("monthly_amount", 2).cast(MONEY))
+
+
+@query("r3_monthly_schedule")
+def _r3(spark, d):
+    ms = deferred.monthly_schedule(deferred.future_contracts(_clean(spark, d), AS_OF))
+    return ms.withColumn("monthly_amount", F.round("monthly_amount", 2).cast(MONEY))
+
+
+@query("r4_recognition_schedule")
+def _r4(spark, d):
+    return deferred.recognition_schedule(_clean(spark, d), AS_OF)
+
+
+@query("r5_deferred_period_summary")
+def _r5(spark, d):
+    return deferred.deferred_period_summary(_clean(spark, d))
