@@ -12,7 +12,7 @@ def _m(p: int = 12) -> DecimalType:
 
 
 SALES = StructType([
-    StructField("transaction_id", _S, False),
+    StructField("transaction_id", _S),
     StructField("customer_id", _S),
     StructField("product_code", _S),
     StructField("product_category", _S),
@@ -29,7 +29,7 @@ SALES = StructType([
 ])
 
 GL = StructType([
-    StructField("posting_id", _S, False),
+    StructField("posting_id", _S),
     StructField("journal_id", _S),
     StructField("source_reference", _S),
     StructField("account_type", _S),
@@ -41,7 +41,7 @@ GL = StructType([
 ])
 
 BANK = StructType([
-    StructField("settlement_id", _S, False),
+    StructField("settlement_id", _S),
     StructField("reference_id", _S),
     StructField("settlement_date", _D),
     StructField("settled_amount", _m()),
@@ -50,7 +50,7 @@ BANK = StructType([
 ])
 
 CUSTOMERS = StructType([
-    StructField("customer_id", _S, False),
+    StructField("customer_id", _S),
     StructField("customer_name", _S),
     StructField("customer_segment", _S),
     StructField("region", _S),
@@ -58,7 +58,7 @@ CUSTOMERS = StructType([
 ])
 
 PRODUCTS = StructType([
-    StructField("product_code", _S, False),
+    StructField("product_code", _S),
     StructField("product_name", _S),
     StructField("product_category", _S),
     StructField("unit_cost", _m(10)),
