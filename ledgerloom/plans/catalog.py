@@ -22,221 +22,227 @@ from ..sources import derive, io
 AS_OF = date(1998, 6, 30)
 AS_OF_TS = datetime(1998, 6, 30, 0, 0, 0)
 
+Tables = dict[str, DataFrame]
+
+# name -> operator over the five input tables
+OPS: dict[str, Callable[[Tables], DataFrame]] = {}
+# name -> (spark, sf_dir) -> DataFrame, the driver's contract
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def inputs(spark: SparkSession, sf_dir: str) -> Tables:
+    """The five input tables derived from the driver's parquet at ``sf_dir``."""
+    return derive.load_driver_tables(spark, sf_dir)
+
+
 def query(name: str):
     def reg(fn):
-        QUERIES[name] = fn
+        OPS[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: fn(inputs(spark, sf_dir))
         return fn
     return reg
 
 
-def inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return derive.load_driver_tables(spark, sf_dir)
-
-
-def _sgb(spark, sf_dir):
-    t = inputs(spark, sf_dir)
+def _sgb(t: Tables):
     return t["sales_transactions"], t["gl_postings"], t["bank_settlements"]
 
 
-def _clean(spark, sf_dir):
-    return dedup.sales_deduplicated(inputs(spark, sf_dir)["sales_transactions"])
+def _clean(t: Tables):
+    return dedup.sales_deduplicated(t["sales_transactions"])
 
 
-def _recon(spark, sf_dir, source="raw"):
-    s, g, b = _sgb(spark, sf_dir)
+def _recon(t: Tables, source="raw"):
+    s, g, b = _sgb(t)
     return matching.reconciliation(s, g, b, source=source)
 
 
 # ---- A: inputs -------------------------------------------------------------
 @query("a3_table_row_counts")
-def _a3(spark, d):
-    return io.table_row_counts(inputs(spark, d))
+def _a3(t):
+    return io.table_row_counts(t)
 
 
 # ---- D: deduplication ------------------------------------------------------
 @query("d1_duplicate_summary")
-def _d1(spark, d):
-    return dedup.duplicate_summary(_sgb(spark, d)[0])
+def _d1(t):
+    return dedup.duplicate_summary(_sgb(t)[0])
 
 
 @query("d2_dedup_preview")
-def _d2(spark, d):
-    s, g, _ = _sgb(spark, d)
+def _d2(t):
+    s, g, _ = _sgb(t)
     return dedup.dedup_preview(s, g)
 
 
 @query("d3_dedup_audit_log")
-def _d3(spark, d):
-    return dedup.dedup_audit_log(_sgb(spark, d)[0], AS_OF_TS)
+def _d3(t):
+    return dedup.dedup_audit_log(_sgb(t)[0], AS_OF_TS)
 
 
 @query("d4_sales_deduplicated")
-def _d4(spark, d):
-    return _clean(spark, d)
+def _d4(t):
+    return _clean(t)
 
 
 @query("d5_dedup_validation")
-def _d5(spark, d):
-    s = _sgb(spark, d)[0]
+def _d5(t):
+    s = _sgb(t)[0]
     return dedup.dedup_validation(s, dedup.sales_deduplicated(s))
 
 
 # ---- M: three-way match ----------------------------------------------------
 @query("m1_source_aggregated")
-def _m1(spark, d):
-    return matching.source_aggregated(_sgb(spark, d)[0])
+def _m1(t):
+    return matching.source_aggregated(_sgb(t)[0])
 
 
 @query("m2_gl_aggregated")
-def _m2(spark, d):
-    return matching.gl_aggregated(_sgb(spark, d)[1])
+def _m2(t):
+    return matching.gl_aggregated(_sgb(t)[1])
 
 
 @query("m3_bank_aggregated")
-def _m3(spark, d):
-    return matching.bank_aggregated(_sgb(spark, d)[2])
+def _m3(t):
+    return matching.bank_aggregated(_sgb(t)[2])
 
 
 @query("m4_three_way_join")
-def _m4(spark, d):
-    s, g, b = _sgb(spark, d)
+def _m4(t):
+    s, g, b = _sgb(t)
     return matching.three_way_join(matching.source_aggregated(s), matching.gl_aggregated(g),
                                    matching.bank_aggregated(b))
 
 
 @query("m5_reconciliation_status")
-def _m5(spark, d):
-    return _recon(spark, d)
+def _m5(t):
+    return _recon(t)
 
 
 @query("m6_reconciliation_detail")
-def _m6(spark, d):
-    return matching.reconciliation_detail(*_sgb(spark, d), source="raw")
+def _m6(t):
+    return matching.reconciliation_detail(*_sgb(t), source="raw")
 
 
 @query("m6_reconciliation_detail_dedup")
-def _m6d(spark, d):
-    return matching.reconciliation_detail(*_sgb(spark, d), source="dedup")
+def _m6d(t):
+    return matching.reconciliation_detail(*_sgb(t), source="dedup")
 
 
 @query("m7_cumulative_variance")
-def _m7(spark, d):
-    r = matching.cumulative_variance(_recon(spark, d))
+def _m7(t):
+    r = matching.cumulative_variance(_recon(t))
     return r.select("transaction_id", "customer_id", "transaction_date", "product_category",
                     "posting_date", "settlement_date", "source_vs_gl_variance",
                     "cumulative_gl_variance")
 
 
 @query("m8_variance_priority_flag")
-def _m8(spark, d):
-    return matching.variance_priority_flag(_recon(spark, d)).select(
+def _m8(t):
+    return matching.variance_priority_flag(_recon(t)).select(
         "transaction_id", "posting_date", "settlement_date", "source_vs_gl_variance",
         "variance_priority_flag")
 
 
 @query("m9_status_rank_sort")
-def _m9(spark, d):
-    return matching.status_rank_sort(_recon(spark, d)).select(
+def _m9(t):
+    return matching.status_rank_sort(_recon(t)).select(
         "transaction_id", "customer_id", "product_category", "transaction_date", "posting_date",
         "settlement_date", "reconciliation_status", "source_vs_gl_variance",
         matching.status_rank_expr().alias("status_rank"))
 
 
 @query("m10_reconciliation_view")
-def _m10(spark, d):
-    return matching.reconciliation_view(_recon(spark, d))
+def _m10(t):
+    return matching.reconciliation_view(_recon(t))
 
 
 @query("m11_gap_detection")
-def _m11(spark, d):
-    return matching.gap_detection(*_sgb(spark, d))
+def _m11(t):
+    return matching.gap_detection(*_sgb(t))
 
 
 @query("m12_exception_breakdown")
-def _m12(spark, d):
-    return matching.exception_breakdown(_recon(spark, d))
+def _m12(t):
+    return matching.exception_breakdown(_recon(t))
 
 
 @query("m12_exception_breakdown_dedup")
-def _m12d(spark, d):
-    return matching.exception_breakdown(_recon(spark, d, "dedup"))
+def _m12d(t):
+    return matching.exception_breakdown(_recon(t, "dedup"))
 
 
 @query("m13_exception_type_summary")
-def _m13(spark, d):
-    return matching.exception_type_summary(_recon(spark, d))
+def _m13(t):
+    return matching.exception_type_summary(_recon(t))
 
 
 # ---- S: scorecard ----------------------------------------------------------
 @query("s1_period_summary")
-def _s1(spark, d):
-    return scorecard.period_summary(_recon(spark, d))
+def _s1(t):
+    return scorecard.period_summary(_recon(t))
 
 
 @query("s2_period_scorecard")
-def _s2(spark, d):
-    return scorecard.period_scorecard(_recon(spark, d))
+def _s2(t):
+    return scorecard.period_scorecard(_recon(t))
 
 
 @query("s2_period_scorecard_dedup")
-def _s2d(spark, d):
-    return scorecard.period_scorecard(_recon(spark, d, "dedup"))
+def _s2d(t):
+    return scorecard.period_scorecard(_recon(t, "dedup"))
 
 
 @query("s3_top_exceptions")
-def _s3(spark, d):
-    return scorecard.top_exceptions(_recon(spark, d))
+def _s3(t):
+    return scorecard.top_exceptions(_recon(t))
 
 
 @query("s4_executive_summary")
-def _s4(spark, d):
-    return scorecard.executive_summary(_recon(spark, d))
+def _s4(t):
+    return scorecard.executive_summary(_recon(t))
 
 
 @query("s4_executive_summary_dedup")
-def _s4d(spark, d):
-    return scorecard.executive_summary(_recon(spark, d, "dedup"))
+def _s4d(t):
+    return scorecard.executive_summary(_recon(t, "dedup"))
 
 
 # ---- P: profiling ----------------------------------------------------------
 @query("p1_source_overview")
-def _p1(spark, d):
-    s, g, _ = _sgb(spark, d)
+def _p1(t):
+    s, g, _ = _sgb(t)
     return profile.source_overview(s, g)
 
 
 @query("p2_completeness")
-def _p2(spark, d):
-    return profile.completeness(_sgb(spark, d)[0])
+def _p2(t):
+    return profile.completeness(_sgb(t)[0])
 
 
 @query("p3_duplicate_keys")
-def _p3(spark, d):
-    return profile.duplicate_keys(_sgb(spark, d)[0])
+def _p3(t):
+    return profile.duplicate_keys(_sgb(t)[0])
 
 
 @query("p4_revenue_sign_mix")
-def _p4(spark, d):
-    return profile.revenue_sign_mix(_sgb(spark, d)[0])
+def _p4(t):
+    return profile.revenue_sign_mix(_sgb(t)[0])
 
 
 @query("p5_monthly_baseline")
-def _p5(spark, d):
-    return profile.monthly_baseline(_sgb(spark, d)[0])
+def _p5(t):
+    return profile.monthly_baseline(_sgb(t)[0])
 
 
 @query("p6_quality_scorecard")
-def _p6(spark, d):
-    return profile.quality_scorecard(_sgb(spark, d)[0])
+def _p6(t):
+    return profile.quality_scorecard(_sgb(t)[0])
 
 
 # ---- N: anomaly detection --------------------------------------------------
 @query("n1_category_stats")
-def _n1(spark, d):
-    st = anomaly.category_stats(_clean(spark, d))
+def _n1(t):
+    st = anomaly.category_stats(_clean(t))
     return st.select("product_category", "transaction_count",
                      round_double(F.col("mean_net_revenue"), 2).alias("mean_net_revenue"),
                      round_double(F.col("std_net_revenue"), 2).alias("std_net_revenue"),
@@ -244,73 +250,73 @@ def _n1(spark, d):
 
 
 @query("n2_zscore_scored")
-def _n2(spark, d):
-    return anomaly.zscore_scored(_clean(spark, d))
+def _n2(t):
+    return anomaly.zscore_scored(_clean(t))
 
 
 @query("n3_zscore_anomalies")
-def _n3(spark, d):
-    return anomaly.zscore_anomalies(_clean(spark, d))
+def _n3(t):
+    return anomaly.zscore_anomalies(_clean(t))
 
 
 @query("n4_iqr_stats")
-def _n4(spark, d):
-    return anomaly.iqr_summary(_clean(spark, d)).select("product_category", "q1", "median_val", "q3")
+def _n4(t):
+    return anomaly.iqr_summary(_clean(t)).select("product_category", "q1", "median_val", "q3")
 
 
 @query("n5_iqr_fences")
-def _n5(spark, d):
-    return anomaly.iqr_summary(_clean(spark, d))
+def _n5(t):
+    return anomaly.iqr_summary(_clean(t))
 
 
 @query("n6_iqr_outliers")
-def _n6(spark, d):
-    return anomaly.iqr_outliers(_clean(spark, d))
+def _n6(t):
+    return anomaly.iqr_outliers(_clean(t))
 
 
 @query("n7_zscore_flagged_ids")
-def _n7(spark, d):
-    return anomaly.zscore_flagged_ids(_clean(spark, d))
+def _n7(t):
+    return anomaly.zscore_flagged_ids(_clean(t))
 
 
 @query("n8_iqr_flagged_ids")
-def _n8(spark, d):
-    return anomaly.iqr_flagged_ids(_clean(spark, d))
+def _n8(t):
+    return anomaly.iqr_flagged_ids(_clean(t))
 
 
 @query("n9_flagged_by_both")
-def _n9(spark, d):
-    return anomaly.flagged_by_both(_clean(spark, d))
+def _n9(t):
+    return anomaly.flagged_by_both(_clean(t))
 
 
 @query("n10_highest_priority")
-def _n10(spark, d):
-    return anomaly.highest_priority(_clean(spark, d))
+def _n10(t):
+    return anomaly.highest_priority(_clean(t))
 
 
 # ---- R: deferred revenue ---------------------------------------------------
 @query("r1_deferred_lines")
-def _r1(spark, d):
-    return deferred.deferred_lines(_clean(spark, d))
+def _r1(t):
+    return deferred.deferred_lines(_clean(t))
 
 
 @query("r2_future_contracts")
-def _r2(spark, d):
-    fc = deferred.future_contracts(_clean(spark, d), AS_OF)
+def _r2(t):
+    fc = deferred.future_contracts(_clean(t), AS_OF)
     return fc.withColumn("monthly_amount", F.round("monthly_amount", 2).cast(MONEY))
 
 
 @query("r3_monthly_schedule")
-def _r3(spark, d):
-    ms = deferred.monthly_schedule(deferred.future_contracts(_clean(spark, d), AS_OF))
+def _r3(t):
+    ms = deferred.monthly_schedule(deferred.future_contracts(_clean(t), AS_OF))
     return ms.withColumn("monthly_amount", F.round("monthly_amount", 2).cast(MONEY))
 
 
 @query("r4_recognition_schedule")
-def _r4(spark, d):
-    return deferred.recognition_schedule(_clean(spark, d), AS_OF)
+def _r4(t):
+    return deferred.recognition_schedule(_clean(t), AS_OF)
 
 
 @query("r5_deferred_period_summary")
-def _r5(spark, d):
-    return deferred.deferred_period_summary(_clean(spark, d))
+def _r5(t):
+    return deferred.deferred_period_summary(_clean(t))
