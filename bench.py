@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerloom.plans import catalog  # noqa: E402
 from ledgerloom.plans.session import ensure_checkpoint_dir, get_spark  # noqa: E402
-from ledgerloom.sources import io  # noqa: E402
+from ledgerloom.sources import derive  # noqa: E402
 
 
 def main() -> None:
@@ -35,11 +35,8 @@ def main() -> None:
 
     times: dict[str, float] = {}
     t0 = time.perf_counter()
-    for name, df in catalog.inputs(spark, sf_dir).items():
-        df.write.mode("overwrite").parquet(f"{store}/{name}.parquet")
+    tables = derive.load_driver_tables(spark, sf_dir, store=store, buckets=2 * cpus)
     times["a5_derive_inputs"] = round(time.perf_counter() - t0, 3)
-
-    tables = io.load_inputs(spark, store)
     for name, op in catalog.OPS.items():
         t = time.perf_counter()
         op(tables).write.format("noop").mode("overwrite").save()

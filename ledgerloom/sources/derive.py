@@ -84,7 +84,12 @@ def fault_code(clean: DataFrame) -> DataFrame:
 
 
 def derive_ledger_and_bank(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Ledger postings and bank settlements for the deduplicated sales."""
+    """Ledger postings and bank settlements for the deduplicated sales.
+
+    Each sale yields zero to five postings and zero to three settlements;
+    they are generated in one pass (an array of candidate rows, exploded),
+    so the sales are read once per output table.
+    """
     fc = fault_code(clean)
     ok, f, tid = F.col("ok"), F.col("f"), F.col("transaction_id")
     post_date = F.date_add(F.col("transaction_date"),
@@ -94,48 +99,54 @@ def derive_ledger_and_bank(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
             .when(f == 8, F.lit("0.01"))
             .otherwise(F.lit("0.00"))).cast("decimal(12,2)")
     gl_net = _m(F.col("net_revenue") + adj)
+    zero = F.lit(0).cast("decimal(12,2)")
+    jnl = F.concat(F.lit("JNL-"), tid)
+    no_ref = F.lit(None).cast("string")
 
-    def posting(prefix, ref, account, pdate, net, tax, journal, who):
-        return (F.concat(F.lit(prefix), tid).alias("posting_id"), journal.alias("journal_id"),
-                ref.alias("source_reference"), F.lit(account).alias("account_type"),
-                pdate.alias("posting_date"), _m(net + tax).alias("debit_amount"),
-                _m(net).alias("net_amount"), _m(tax).alias("tax_posted"), who.alias("posted_by"))
+    def posting(when, prefix, ref, account, pdate, net, tax, journal, who):
+        row = F.struct(F.concat(F.lit(prefix), tid).alias("posting_id"),
+                       journal.alias("journal_id"), ref.alias("source_reference"),
+                       F.lit(account).alias("account_type"), pdate.alias("posting_date"),
+                       _m(net + tax).alias("debit_amount"), _m(net).alias("net_amount"),
+                       _m(tax).alias("tax_posted"), who.cast("string").alias("posted_by"))
+        return F.when(when, row)
 
     who = F.when(f == 0, F.lit("auto_post")).otherwise(F.lit("manual"))
-    jnl = F.concat(F.lit("JNL-"), tid)
-    zero = F.lit(0).cast("decimal(12,2)")
-    posted = fc.filter(f != 1)
-    main = posted.select(*posting("GL-", tid, L.ACCOUNT_REVENUE, post_date, gl_net,
-                                  F.col("tax_amount"), jnl, who))
-    second = posted.filter(f == 7).select(*posting(
-        "GL2-", tid, L.ACCOUNT_REVENUE, F.date_add(post_date, 1), F.lit("1.00").cast("decimal(12,2)"),
-        zero, F.concat(F.lit("JNL-ADJ-"), tid), F.lit("manual")))
-    tax_lines = posted.filter(ok % 17 == 0).select(*posting(
-        "GLT-", tid, "TAX", post_date, F.col("tax_amount"), zero, jnl, F.lit("auto_post")))
-    ledger_only = fc.filter(ok % 250 == 0).select(*posting(
-        "GLX-", F.concat(tid, F.lit("X")), L.ACCOUNT_REVENUE, post_date, F.col("net_revenue"),
-        F.col("tax_amount"), jnl, F.lit("manual")))
-    no_ref = fc.filter(ok % 333 == 0).select(*posting(
-        "GLN-", F.lit(None).cast("string"), L.ACCOUNT_REVENUE, post_date, F.col("net_revenue"),
-        F.col("tax_amount"), jnl, F.lit("manual")))
-    gl = main.unionByName(second).unionByName(tax_lines).unionByName(ledger_only).unionByName(no_ref)
+    postings = F.array(
+        posting(f != 1, "GL-", tid, L.ACCOUNT_REVENUE, post_date, gl_net, F.col("tax_amount"),
+                jnl, who),
+        posting(f == 7, "GL2-", tid, L.ACCOUNT_REVENUE, F.date_add(post_date, 1),
+                F.lit("1.00").cast("decimal(12,2)"), zero, F.concat(F.lit("JNL-ADJ-"), tid),
+                F.lit("manual")),
+        posting((f != 1) & (ok % 17 == 0), "GLT-", tid, "TAX", post_date, F.col("tax_amount"),
+                zero, jnl, F.lit("auto_post")),
+        posting(ok % 250 == 0, "GLX-", F.concat(tid, F.lit("X")), L.ACCOUNT_REVENUE, post_date,
+                F.col("net_revenue"), F.col("tax_amount"), jnl, F.lit("manual")),
+        posting(ok % 333 == 0, "GLN-", no_ref, L.ACCOUNT_REVENUE, post_date,
+                F.col("net_revenue"), F.col("tax_amount"), jnl, F.lit("manual")),
+    )
+    gl = fc.select(F.explode(F.filter(postings, lambda x: x.isNotNull())).alias("p")).select("p.*")
 
     settle_date = F.date_add(post_date, 2)
     bank_amt = _m(F.col("net_revenue") + F.when(f == 4, F.lit("-2.50"))
                   .when(f == 3, F.lit("5.00")).otherwise(F.lit("0.00")).cast("decimal(12,2)"))
     method = F.when(ok % 3 == 0, F.lit("BACS")).otherwise(F.lit("CARD"))
 
-    def settlement(prefix, ref, amount):
-        return (F.concat(F.lit(prefix), tid).alias("settlement_id"), ref.alias("reference_id"),
-                settle_date.alias("settlement_date"), _m(amount).alias("settled_amount"),
-                _m(amount * F.lit("0.01").cast("decimal(4,2)")).alias("fee_deducted"),
-                method.alias("payment_method"))
-
-    bank = (fc.filter(f != 2).select(*settlement("BNK-", tid, bank_amt))
-            .unionByName(fc.filter(ok % 260 == 0).select(
-                *settlement("BNKY-", F.concat(tid, F.lit("Y")), F.col("net_revenue"))))
-            .unionByName(fc.filter(ok % 370 == 0).select(
-                *settlement("BNKN-", F.lit(None).cast("string"), F.col("net_revenue")))))
+    def settlement(when, prefix, ref, amount):
+        row = F.struct(F.concat(F.lit(prefix), tid).alias("settlement_id"),
+                       ref.alias("reference_id"), settle_date.alias("settlement_date"),
+                       _m(amount).alias("settled_amount"),
+                       _m(amount * F.lit("0.01").cast("decimal(4,2)")).alias("fee_deducted"),
+                       method.alias("payment_method"))
+        return F.when(when, row)
+
+    settlements = F.array(
+        settlement(f != 2, "BNK-", tid, bank_amt),
+        settlement(ok % 260 == 0, "BNKY-", F.concat(tid, F.lit("Y")), F.col("net_revenue")),
+        settlement(ok % 370 == 0, "BNKN-", no_ref, F.col("net_revenue")),
+    )
+    bank = fc.select(F.explode(F.filter(settlements, lambda x: x.isNotNull())).alias("b")) \
+        .select("b.*")
     return schemas.conform(gl, schemas.GL), schemas.conform(bank, schemas.BANK)
 
 
@@ -157,13 +168,29 @@ def derive_dimensions(customer: DataFrame, nation: DataFrame, region: DataFrame,
     return schemas.conform(cust, schemas.CUSTOMERS), schemas.conform(prod, schemas.PRODUCTS)
 
 
-def load_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The five input tables built from the driver's parquet at ``sf_dir``."""
+def load_driver_tables(spark: SparkSession, sf_dir: str, store: str | None = None,
+                       buckets: int | None = None, prefix: str = "ll_") -> dict[str, DataFrame]:
+    """The five input tables built from the driver's parquet at ``sf_dir``.
+
+    Lazy by default.  With ``store`` (a folder on shared storage) the tables
+    are stored in dependency order -- sales first, ledger and bank from the
+    stored sales -- bucketed on the transaction key (``io.store_inputs``),
+    and returned as scans of the stored tables.
+    """
     from ..operators.dedup import sales_deduplicated
+    from .io import store_inputs
 
     rd = lambda n: _read(spark, sf_dir, n)
     sales = derive_sales(rd("lineitem"), rd("orders"), rd("part"))
-    gl, bank = derive_ledger_and_bank(sales_deduplicated(sales))
     customers, products = derive_dimensions(rd("customer"), rd("nation"), rd("region"), rd("part"))
-    return {"sales_transactions": sales, "gl_postings": gl, "bank_settlements": bank,
-            "dim_customers": customers, "dim_products": products}
+    if not store:
+        gl, bank = derive_ledger_and_bank(sales_deduplicated(sales))
+        return {"sales_transactions": sales, "gl_postings": gl, "bank_settlements": bank,
+                "dim_customers": customers, "dim_products": products}
+    nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    t = store_inputs({"sales_transactions": sales}, store, nb, prefix)
+    gl, bank = derive_ledger_and_bank(sales_deduplicated(t["sales_transactions"]))
+    t.update(store_inputs({"gl_postings": gl, "bank_settlements": bank,
+                           "dim_customers": customers, "dim_products": products},
+                          store, nb, prefix))
+    return t

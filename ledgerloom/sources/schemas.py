@@ -74,6 +74,13 @@ TABLES = {
 
 SALES_COLUMNS = [f.name for f in SALES.fields]
 
+# the transaction key each table is bucketed on when stored
+BUCKET_KEYS = {
+    "sales_transactions": "transaction_id",
+    "gl_postings": "source_reference",
+    "bank_settlements": "reference_id",
+}
+
 # id columns declared NOT NULL: checked as data quality, not trusted
 KEY_COLUMNS = {
     "sales_transactions": "transaction_id",
