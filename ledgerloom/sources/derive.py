@@ -26,8 +26,12 @@ def _m(c: Column) -> Column:
 
 
 def derive_sales(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
+    # Hash-partition the order lines on the order key (the shuffle a sort-merge
+    # join with orders does at scale anyway) so the per-line projection below
+    # runs in parallel even when the input is one large file.
     l = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                        "l_extendedprice", "l_tax", "l_returnflag", "l_shipdate")
+                        "l_extendedprice", "l_tax", "l_returnflag", "l_shipdate") \
+        .repartition("l_orderkey")
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     p = part.select("p_partkey", "p_name", "p_type", "p_retailprice")
     j = (l.join(o, l.l_orderkey == o.o_orderkey, "inner")
