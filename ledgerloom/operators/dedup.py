@@ -19,6 +19,9 @@ from ..functions.running import running_sum
 from ..sources.schemas import SALES_COLUMNS
 
 KEY = "transaction_id"
+# ids with more copies than this are numbered by the range-blocked running
+# count; smaller groups fit one task and use the plain window
+HOT_GROUP_ROWS = 1_000_000
 
 
 def dedup_order(mode: str = "reference") -> list[Column]:
@@ -52,32 +55,42 @@ def duplicate_summary(sales: DataFrame) -> DataFrame:
                      F.col(KEY).asc_nulls_first()))
 
 
-def _copies(sales: DataFrame) -> DataFrame:
-    """Rows of ids with more than one copy, with the copy count.
+def _copy_counts(sales: DataFrame) -> DataFrame:
+    """Copy count per repeated id (map-side combined); a NULL id is one group."""
+    return (sales.groupBy(F.col(KEY).alias("__k"))
+            .agg(F.count(F.lit(1)).alias("total_copies"))
+            .filter(F.col("total_copies") > 1))
 
-    The count is a map-side-combined aggregate; a NULL id is one group.
-    """
-    counts = (sales.groupBy(F.col(KEY).alias("__k"))
-              .agg(F.count(F.lit(1)).alias("total_copies"))
-              .filter(F.col("total_copies") > 1))
+
+def _with_counts(sales: DataFrame, counts: DataFrame) -> DataFrame:
     return sales.join(counts, sales[KEY].eqNullSafe(counts["__k"]), "inner").drop("__k")
 
 
-def _numbered(sales: DataFrame, mode: str) -> DataFrame:
+def _numbered(sales: DataFrame, mode: str, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Repeated-id rows with their row number inside the id.
 
-    A row number is a running count, so a hot id (one id holding a large
-    share of all rows) is spread over many range blocks instead of one task.
+    Ids with at most ``hot_rows`` copies are numbered by the plain window
+    (bounded groups; no shuffle when the table is bucketed on the id).  A
+    hot id -- one id holding a large share of all rows -- is numbered by a
+    running count over range blocks instead, so it is spread over many
+    tasks.  That path is only planned when such an id exists.
     """
-    rep = _copies(sales)
-    return running_sum(rep, F.lit(1).cast("bigint"), dedup_order(mode),
-                       partition_by=[KEY], out="row_number")
+    counts = _copy_counts(sales)
+    small = _with_counts(sales, counts.filter(F.col("total_copies") <= hot_rows))
+    w = Window.partitionBy(KEY).orderBy(*dedup_order(mode))
+    out = small.withColumn("row_number", F.row_number().over(w).cast("bigint"))
+    hot_counts = counts.filter(F.col("total_copies") > hot_rows)
+    if hot_counts.isEmpty():
+        return out
+    hot = running_sum(_with_counts(sales, hot_counts), F.lit(1).cast("bigint"),
+                      dedup_order(mode), partition_by=[KEY], out="row_number")
+    return out.unionByName(hot)
 
 
 def dedup_preview(sales: DataFrame, gl: DataFrame | None = None,
-                  mode: str = "full_rules") -> DataFrame:
+                  mode: str = "full_rules", hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Every copy of a repeated id, marked KEEP (row 1) or REMOVE."""
-    n = _numbered(sales, mode)
+    n = _numbered(sales, mode, hot_rows)
     return (n.select(KEY, "customer_id", "transaction_date", "net_revenue", "source_system",
                      "last_modified_date", "total_copies",
                      F.when(F.col("row_number") == 1, L.DEDUP_KEEP)
@@ -86,9 +99,10 @@ def dedup_preview(sales: DataFrame, gl: DataFrame | None = None,
             .orderBy(F.col(KEY).asc_nulls_first(), "row_number"))
 
 
-def dedup_audit_log(sales: DataFrame, as_of: datetime, mode: str = "reference") -> DataFrame:
+def dedup_audit_log(sales: DataFrame, as_of: datetime, mode: str = "reference",
+                    hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """D3: the rows the clean table drops, stamped for an append-only audit table."""
-    n = _numbered(sales, mode).filter(F.col("row_number") > 1)
+    n = _numbered(sales, mode, hot_rows).filter(F.col("row_number") > 1)
     return (n.select(F.lit(as_of).cast("timestamp_ntz").alias("removed_at"),
                      KEY, "customer_id", "transaction_date", "net_revenue", "source_system",
                      "last_modified_date", "total_copies",

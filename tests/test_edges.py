@@ -140,12 +140,17 @@ def test_dedup_invariants_with_hot_id(spark):
     assert clean.count() == sales.select("transaction_id").distinct().count()
     hot = clean.filter(F.col("transaction_id") == "HOT").first()
     assert hot.net_revenue == D("599.00")          # newest modified row is kept
-    prev = dedup.dedup_preview(sales)
-    assert prev.count() == 400
+    for hot_rows in (50, 10_000):   # blocked path for the hot id / plain window
+        prev = dedup.dedup_preview(sales, hot_rows=hot_rows)
+        assert prev.count() == 400
+        assert sorted(r.row_number for r in prev.collect()) == list(range(1, 401))
+        kept = prev.filter(F.col("dedup_action") == "KEEP").first()
+        assert kept.net_revenue == D("599.00")
+    prev = dedup.dedup_preview(sales, hot_rows=50)
     assert prev.filter(F.col("dedup_action") == "KEEP").count() == 1
     rn = sorted(r.row_number for r in prev.collect())
     assert rn == list(range(1, 401))
-    audit = dedup.dedup_audit_log(sales, datetime(2024, 2, 1))
+    audit = dedup.dedup_audit_log(sales, datetime(2024, 2, 1), hot_rows=50)
     assert audit.count() == 399
     assert audit.join(clean, ["transaction_id", "last_modified_date"], "left_semi").count() == 0
 
