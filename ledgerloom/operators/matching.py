@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import labels as L
 from ..functions.dates import days_between, period
 from ..functions.money import MONEY_TOTAL, money_sum
-from ..functions.running import running_sum
+from ..functions.running import HOT_ROWS, running_sum
 from .dedup import sales_deduplicated
 
 KEY = "transaction_id"
@@ -131,14 +131,18 @@ CUMULATIVE_ORDER = ["transaction_date", KEY, "customer_id", "product_category",
                     "posting_date", "settlement_date"]
 
 
-def cumulative_variance(recon: DataFrame, blocks: int | None = None) -> DataFrame:
+def cumulative_variance(recon: DataFrame, blocks: int | None = None,
+                        hot_rows: int = HOT_ROWS) -> DataFrame:
     """M7: running SUM(ABS(source - ledger)) by transaction date.
 
-    Range-blocked (see ``functions.running``): no single-partition window.
+    A running sum over daily totals (one row per day) plus the running sum
+    within each day; a day with more than ``hot_rows`` rows is range-blocked
+    (see ``functions.running``).  No single-partition window over rows.
     """
     order = [F.col(c).asc_nulls_first() for c in CUMULATIVE_ORDER]
     out = running_sum(recon, F.abs(F.col("source_vs_gl_variance")), order,
-                      out="cumulative_gl_variance", blocks=blocks)
+                      out="cumulative_gl_variance", blocks=blocks, hot_rows=hot_rows,
+                      segment="transaction_date")
     return out.withColumn("cumulative_gl_variance",
                           F.col("cumulative_gl_variance").cast(MONEY_TOTAL))
 

@@ -110,14 +110,15 @@ def test_one_row_and_constant_category_have_null_z(spark):
     assert got == {"A": (None, 0.0), "B": (None, 0.0), "C": (None, 0.0)}
 
 
-@pytest.mark.parametrize("blocks", [1, 3, 16])
-def test_running_sum_matches_window_under_skew(spark, blocks):
+@pytest.mark.parametrize("blocks,hot_rows", [(1, 100), (3, 100), (16, 100), (16, 10 ** 9),
+                                             (4, 0)])
+def test_running_sum_matches_window_under_skew(spark, blocks, hot_rows):
     # one hot key holds most rows; keys include NULL; order key is complete
     data = [("hot" if i % 10 else (None if i % 20 == 0 else f"k{i % 7}"), i, (i * 37) % 11)
             for i in range(3000)]
     df = spark.createDataFrame(data, "g string, o int, v int")
     got = running_sum(df, F.col("v"), [F.col("o").asc()], partition_by=["g"], out="run",
-                      total_out="tot", blocks=blocks)
+                      total_out="tot", blocks=blocks, hot_rows=hot_rows)
     w = Window.partitionBy("g").orderBy("o")
     ref = df.select("g", "o", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0))
                     .alias("run"), F.sum("v").over(Window.partitionBy("g")).alias("tot"))
@@ -127,6 +128,16 @@ def test_running_sum_matches_window_under_skew(spark, blocks):
     ref2 = df.select("o", F.sum("v").over(Window.orderBy("o").rowsBetween(
         Window.unboundedPreceding, 0)).alias("run"))
     assert flat.select("o", "run").exceptAll(ref2).count() == 0
+    # segmented: a coarse leading key (most rows on one "day") then the fine key
+    seg = df.withColumn("day", F.when(F.col("o") % 5 == 0, F.col("o") % 3).otherwise(F.lit(7)))
+    order = [F.col("day").asc_nulls_first(), F.col("o").asc()]
+    got3 = running_sum(seg, F.col("v"), order, out="run", total_out="tot", blocks=blocks,
+                       hot_rows=hot_rows, segment="day")
+    ref3 = seg.select("o", F.sum("v").over(Window.orderBy("day", "o").rowsBetween(
+        Window.unboundedPreceding, 0)).alias("run"), F.sum("v").over(Window.partitionBy())
+        .alias("tot"))
+    assert got3.select("o", "run", "tot").exceptAll(ref3).count() == 0
+    assert got3.count() == seg.count()
 
 
 def test_dedup_invariants_with_hot_id(spark):
