@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import labels as L
 from ..functions.money import round_double
-from ..functions.running import running_sum
+from ..functions.running import checkpointed, running_sum
 
 CAT = "product_category"
 NET = "net_revenue"
@@ -67,6 +67,7 @@ def percent_rank_in_category(rows: DataFrame, value: str = NET, out: str = "__pr
 
 def zscore_scored(clean: DataFrame) -> DataFrame:
     """Every row with a category, its z-score (3 dp) and percentile in category."""
+    clean = checkpointed(clean)
     stats = category_stats(clean).select(CAT, "mean_net_revenue", "std_net_revenue")
     rows = clean.filter(F.col(CAT).isNotNull()).select(
         "transaction_id", "customer_id", CAT, "transaction_date", NET)
@@ -166,6 +167,7 @@ def iqr_summary(clean: DataFrame, iqr_k: float = L.IQR_K) -> DataFrame:
 
 def iqr_outliers(clean: DataFrame, iqr_k: float = L.IQR_K) -> DataFrame:
     """Rows outside the fences, with the fence they cross and by how much."""
+    clean = checkpointed(clean)
     f = iqr_fences(iqr_stats(clean), iqr_k)
     j = _join_on_category(clean.filter(F.col(CAT).isNotNull()), f)
     x, up, lo = F.col(NET), F.col("upper_fence"), F.col("lower_fence")
@@ -187,6 +189,7 @@ def zscore_flagged_ids(clean: DataFrame, z_threshold: float = L.Z_THRESHOLD) ->
     The windowed mean / sd over each category (NULL category included) is
     the same as the category aggregate joined back on a NULL-safe key.
     """
+    clean = checkpointed(clean)
     stats = category_stats(clean).select(CAT, "mean_net_revenue", "std_net_revenue")
     j = _join_on_category(clean.select("transaction_id", CAT, NET), stats, null_safe=True)
     z = (_x() - F.col("mean_net_revenue")) / F.nullif(F.col("std_net_revenue"), F.lit(0.0))
@@ -196,6 +199,7 @@ def zscore_flagged_ids(clean: DataFrame, z_threshold: float = L.Z_THRESHOLD) ->
 
 def iqr_flagged_ids(clean: DataFrame, iqr_k: float = L.IQR_K) -> DataFrame:
     """Ids outside the interquartile fences of their category."""
+    clean = checkpointed(clean)
     f = iqr_fences(iqr_stats(clean), iqr_k).select(CAT, "lower_fence", "upper_fence")
     j = _join_on_category(clean.filter(F.col(CAT).isNotNull()).select("transaction_id", CAT, NET), f)
     x = F.col(NET)
@@ -205,12 +209,18 @@ def iqr_flagged_ids(clean: DataFrame, iqr_k: float = L.IQR_K) -> DataFrame:
 
 def flagged_by_both(clean: DataFrame) -> DataFrame:
     """Distinct ids flagged by both methods (INTERSECT; NULL equals NULL)."""
+    clean = checkpointed(clean)
     return zscore_flagged_ids(clean).select("transaction_id").intersect(
         iqr_flagged_ids(clean).select("transaction_id"))
 
 
 def highest_priority(clean: DataFrame) -> DataFrame:
-    """The sales rows of ids flagged by both methods, largest first."""
+    """The sales rows of ids flagged by both methods, largest first.
+
+    The clean table is read by both methods and by the final filter, so it
+    is materialised once (the original reads its view eight times).
+    """
+    clean = checkpointed(clean)
     both = flagged_by_both(clean)
     return (clean.join(both, "transaction_id", "left_semi")
             .select("transaction_id", "customer_id", CAT, "transaction_date", NET,
