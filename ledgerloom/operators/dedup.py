@@ -103,7 +103,9 @@ def dedup_audit_log(sales: DataFrame, as_of: datetime, mode: str = "reference",
                     hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """D3: the rows the clean table drops, stamped for an append-only audit table."""
     n = _numbered(sales, mode, hot_rows).filter(F.col("row_number") > 1)
-    return (n.select(F.lit(as_of).cast("timestamp_ntz").alias("removed_at"),
+    # a wall-clock literal: no time-zone conversion on the way in
+    stamp = F.lit(as_of.isoformat(sep=" ") if isinstance(as_of, datetime) else str(as_of))
+    return (n.select(stamp.cast("timestamp_ntz").alias("removed_at"),
                      KEY, "customer_id", "transaction_date", "net_revenue", "source_system",
                      "last_modified_date", "total_copies",
                      F.lit(L.REMOVAL_REASON).alias("removal_reason"),
