@@ -123,8 +123,10 @@ def iqr_stats(clean: DataFrame) -> DataFrame:
             .groupBy(CAT, NET).agg(F.count(F.lit(1)).alias("__n")))
     run = running_sum(hist, F.col("__n"), [F.col(NET).asc()], partition_by=[CAT],
                       out="__cum", total_out="__tot")
-    def k(q4):  # 0-based rank of the lower neighbour
-        return F.floor((F.col("__tot") - 1) * q4 / 4).cast("bigint")
+
+    def k(q4):  # 0-based rank of the lower neighbour: floor(q4 (N - 1) / 4), in integers
+        pos4 = (F.col("__tot") - 1) * q4
+        return ((pos4 - pos4 % 4) / 4).cast("bigint")
 
     def holds(r):
         return (F.col("__cum") - F.col("__n") <= r) & (r < F.col("__cum"))
