@@ -83,7 +83,8 @@ def _numbered(sales: DataFrame, mode: str, hot_rows: int = HOT_GROUP_ROWS) -> Da
     if hot_counts.isEmpty():
         return out
     hot = running_sum(_with_counts(sales, hot_counts), F.lit(1).cast("bigint"),
-                      dedup_order(mode), partition_by=[KEY], out="row_number")
+                      dedup_order(mode), partition_by=[KEY], out="row_number",
+                      hot_rows=hot_rows)
     return out.unionByName(hot)
 
 
