@@ -90,14 +90,25 @@ def _numbered(sales: DataFrame, mode: str, hot_rows: int = HOT_GROUP_ROWS) -> Da
 
 def dedup_preview(sales: DataFrame, gl: DataFrame | None = None,
                   mode: str = "full_rules", hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Every copy of a repeated id, marked KEEP (row 1) or REMOVE."""
+    """Every copy of a repeated id, marked KEEP (row 1) or REMOVE.
+
+    With ``gl``, ``has_gl_posting`` says whether any posting references the
+    id (the EXISTS rule, as a left join on the distinct references).  It is
+    the same for every copy of an id, so it cannot change which copy is kept.
+    """
     n = _numbered(sales, mode, hot_rows)
-    return (n.select(KEY, "customer_id", "transaction_date", "net_revenue", "source_system",
-                     "last_modified_date", "total_copies",
-                     F.when(F.col("row_number") == 1, L.DEDUP_KEEP)
-                      .otherwise(L.DEDUP_REMOVE).alias("dedup_action"),
-                     "row_number")
-            .orderBy(F.col(KEY).asc_nulls_first(), "row_number"))
+    cols = [KEY, "customer_id", "transaction_date", "net_revenue", "source_system",
+            "last_modified_date", "total_copies",
+            F.when(F.col("row_number") == 1, L.DEDUP_KEEP)
+             .otherwise(L.DEDUP_REMOVE).alias("dedup_action"),
+            "row_number"]
+    if gl is not None:
+        refs = (gl.select(F.col("source_reference").alias("__ref"))
+                .filter(F.col("__ref").isNotNull()).distinct()
+                .withColumn("__posted", F.lit(True)))
+        n = n.join(refs, n[KEY] == refs["__ref"], "left")
+        cols.append(F.coalesce(F.col("__posted"), F.lit(False)).alias("has_gl_posting"))
+    return n.select(*cols).orderBy(F.col(KEY).asc_nulls_first(), "row_number")
 
 
 def dedup_audit_log(sales: DataFrame, as_of: datetime, mode: str = "reference",

@@ -77,9 +77,9 @@ def test_p2_p4(sgb):
 
 def test_dedup_keeps_newest(sgb, clean):
     prev = rows(dedup.dedup_preview(sgb[0], sgb[1]), "transaction_id", "last_modified_date",
-                "dedup_action", "row_number", "total_copies")
-    assert prev == [("TXN-001", datetime(2024, 1, 5, 9), "KEEP", 1, 2),
-                    ("TXN-001", datetime(2024, 1, 4, 8), "REMOVE", 2, 2)]
+                "dedup_action", "row_number", "total_copies", "has_gl_posting")
+    assert prev == [("TXN-001", datetime(2024, 1, 5, 9), "KEEP", 1, 2, True),
+                    ("TXN-001", datetime(2024, 1, 4, 8), "REMOVE", 2, 2, True)]
     audit = dedup.dedup_audit_log(sgb[0], datetime(2024, 4, 1)).collect()
     assert [(r.transaction_id, r.last_modified_date, r.removal_reason) for r in audit] == [
         ("TXN-001", datetime(2024, 1, 4, 8), L.REMOVAL_REASON)]
