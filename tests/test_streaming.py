@@ -16,3 +16,14 @@ def test_incremental_append_reads_each_file_once(spark, fx):
     assert spark.read.parquet(table).count() == 24
     append_new_sales(spark, landing + "/*", table, ckpt)
     assert spark.read.parquet(table).count() == 24
+
+
+def test_write_reports(spark, fx):
+    from ledgerloom.plans.reports import write_reports
+    out = tempfile.mkdtemp(prefix="ledgerloom-reports-")
+    names = write_reports(fx, out, ["s2_period_scorecard", "m12_exception_breakdown"])
+    assert names == ["s2_period_scorecard", "m12_exception_breakdown"]
+    sc = spark.read.parquet(os.path.join(out, "s2_period_scorecard"))
+    assert sc.count() == 3 and "period" in sc.columns
+    assert os.path.isdir(os.path.join(out, "s2_period_scorecard", "period=2024-01"))
+    assert spark.read.parquet(os.path.join(out, "m12_exception_breakdown")).count() == 5
