@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ngram_join
+from . import mixing, ngram_join, packing, urlfilter
 from .storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,23 @@ def op1(spark, sf_dir):
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
 
 
+@query("op2_source_mixing")
+def op2(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.taken_copies(docs, "mix").select(
+        "doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
+
+
+@query("op8_best_fit_packing")
+def op8(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op9_url_filter")
+def op9(spark, sf_dir):
+    return urlfilter.judge(table(spark, sf_dir, "pages"))
+
+
 #: words are runs of [^\\x20\\x09-\\x0D]; A-Z are lower-cased one by one
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
@@ -41,3 +58,21 @@ reach AS (SELECT a AS d, b AS r FROM link UNION SELECT d, b FROM reach JOIN link
 SELECT documents.doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, least(documents.doc_id, min(r)) AS component_id
 FROM documents LEFT JOIN n ON n.doc_id = documents.doc_id LEFT JOIN reach ON d = documents.doc_id GROUP BY documents.doc_id
 """
+
+SQL["op2_source_mixing"] = """
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+per AS (SELECT source, CAST(sum(size) AS BIGINT) AS ss, CAST([3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS BIGINT) AS w
+        FROM d GROUP BY source),
+try AS (SELECT k.source, k.ss, k.w,
+          CAST((SELECT 3 * sum(ss) FROM per) - coalesce(sum(4 * j.ss) FILTER (j.ss * k.w < k.ss * j.w), 0) AS BIGINT) AS num,
+          CAST(sum(j.w) FILTER (j.ss * k.w >= k.ss * j.w) AS BIGINT) AS den
+        FROM per k CROSS JOIN per j GROUP BY ALL),
+lvl AS (SELECT num, den FROM try WHERE 4 * ss * den >= w * num ORDER BY CAST(ss AS DOUBLE) / w, num LIMIT 1),
+t AS (SELECT source, ss, CASE WHEN 4 * ss * den < w * num THEN CAST(2 * ss AS DOUBLE)
+        ELSE CAST(w * num AS DOUBLE) / (CAST(2 AS DOUBLE) * den) END AS target FROM per CROSS JOIN lvl),
+r AS (SELECT doc_id, size, ss, target, CASE WHEN ss > 0 THEN target / ss ELSE 0 END AS rate,
+        CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 8) AS BIGINT) / CAST(4294967296 AS DOUBLE) AS u
+      FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source)
+SELECT doc_id, size, ss AS source_size, target,
+  CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r
+"""

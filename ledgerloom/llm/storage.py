@@ -38,3 +38,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` begins with it."""
+    name = f"_{name}"
+    while any(c.lower().startswith(name) for c in df.columns):
+        name += "_"
+    return name
