@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .components import components
 from .storage import saved
-from .textops import SPACED, U64, chunks, mix, shingle_sets, shingles
+from .textops import SPACED, U64, chunks, mix, shingle_sets, shingles, sized_shingle_sets
 
 SLOT_BITS = 18  # shingle counters: a table of fixed size
 BITMAP_WORDS = 32  # 2,048 bits per set or node
@@ -62,11 +62,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         level[slots["slot"].to_numpy()] = np.clip(np.floor(4 * np.log2(1 + hits / np.median(hits))), 0, 255)
     level = docs.sparkSession.sparkContext.broadcast(level)
 
+    found = (docs.select("text").mapInArrow(_prefixes(width, num, den, level), "token long, n long, s1 long")
+             .repartition("token").sortWithinPartitions("token", "n", "s1").mapInArrow(runs(num, den), "leader long, s1 long"))
+    return by_units(docs, rows, found, width, num, den)
+
+
+def by_units(docs: DataFrame, rows: DataFrame, found: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Links decided within work units; see the module's text, steps 2 to 4.
+
+    docs: doc_id, text.  rows: doc_id and its set's size and sums n, s1, s2.  found: leader, s1
+    of the sets that belong to a unit, with repeats.  Returns doc_id, n_shingles, component_id.
+    """
     classes = rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id"))
-    runs = (docs.select("text").mapInArrow(_prefixes(width, num, den, level), "token long, s1 long")
-            .repartition("token").sortWithinPartitions("token", "s1")
-            .mapInArrow(_runs, "leader long, s1 long"))
-    members = (runs.groupBy("leader", "s1").agg(F.count("*").alias("times"))
+    members = (found.groupBy("leader", "s1").agg(F.count("*").alias("times"))
                .join(classes.where("class_id IS NOT NULL").select("s1", "class_id", "n"), "s1")
                .select("leader", "class_id", "n", "times"))
     units = saved(members)
@@ -117,10 +125,25 @@ def _need(n: int, num: int, den: int) -> int:
     return -(-num * n // den)
 
 
-def _set_sums(s: np.ndarray) -> tuple[int, int]:
+def set_sums_of(s: np.ndarray) -> tuple[int, int]:
     return int(mix(s, 1).sum().view(np.int64)), int(mix(s, 2).sum().view(np.int64))
 
 
+def first_sums(w, width: int) -> list[tuple[int, int]]:
+    """Per text of a chunk, the size of its set and the first sum over it."""
+    return [(len(s), set_sums_of(s)[0] if len(s) else 0) for _, s in shingle_sets(w, width)]
+
+
+def set_sums(width: int):
+    """doc_id, n, s1, s2 of (doc_id, text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [(len(s), *(set_sums_of(s) if len(s) else (0, 0))) for _, w in chunks(batch.column(1), SPACED) for _, s in shingle_sets(w, width)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in (zip(*sets) if sets else ((), (), ())))],
+                                             ["doc_id", "n", "s1", "s2"])
+    return run
+
+
 def _profiler(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = np.zeros(1 << SLOT_BITS, np.int64)
@@ -128,7 +151,7 @@ def _profiler(width: int):
             ns, s1, s2 = [], [], []
             for _, w in chunks(batch.column(1), SPACED):
                 for _, s in shingle_sets(w, width):
-                    a, b = _set_sums(s) if len(s) else (0, 0)
+                    a, b = set_sums_of(s) if len(s) else (0, 0)
                     ns.append(len(s))
                     s1.append(a)
                     s2.append(b)
@@ -151,49 +174,57 @@ def _prefixes(width: int, num: int, den: int, level):
         done: set[int] = set()  # sets of this task; copies need no second prefix
         for batch in batches:
             for _, w in chunks(batch.column(0), SPACED):
-                tokens, keys, lens = [], [], []
-                for _, s in shingle_sets(w, width):
-                    if not len(s) or (key := _set_sums(s)[0]) in done:
+                tokens, keys, sizes, lens = [], [], [], []
+                for _, s, size in sized_shingle_sets(w, width):
+                    if not len(s) or (key := set_sums_of(s)[0]) in done:
                         continue
                     done.add(key)
                     p = len(s) - _need(len(s), num, den) + 1
-                    rank = level.value[(s >> U64(64 - SLOT_BITS)).astype(np.int64)].astype(U64) << U64(56) | mix(s, 3) >> U64(8)
+                    often = level.value[(s >> U64(64 - SLOT_BITS)).astype(np.int64)].astype(U64)
+                    rank = often << U64(56) | (U64(255) - np.minimum(size, 255).astype(U64)) << U64(48) | mix(s, 3) >> U64(16)
                     tokens.append(s[np.argpartition(rank, p - 1)[:p]] if p < len(s) else s)
                     keys.append(key)
+                    sizes.append(len(s))
                     lens.append(min(p, len(s)))
                 if tokens:
+                    rows = (np.array(c, np.int64).repeat(lens) for c in (sizes, keys))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(keys, np.int64), lens))],
-                        ["token", "s1"])
+                        [pa.array(np.concatenate(tokens).view(np.int64)), *map(pa.array, rows)], ["token", "n", "s1"])
     return run
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(smallest set, set) of every run of one token that holds at least two sets."""
-    token = leader = None  # the run that goes on from the previous batch
-    alone = True  # its leader has not been sent
-    for batch in batches:
-        t, s = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        if not len(t):
-            continue
-        starts = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
-        first = s[starts]
-        goes_on = token is not None and t[0] == token
-        if goes_on:
-            first[0] = leader
-        of = np.repeat(first, np.diff(np.r_[starts, len(t)]))
-        other = s != of
-        lone = np.ones(len(starts), bool)
-        has = np.add.reduceat(other, starts) > 0
-        if goes_on and not alone:
-            lone[0] = False
-        send = first[has & lone]
-        out_l, out_s = np.r_[send, of[other]], np.r_[send, s[other]]
-        if len(out_l):
-            pairs = np.unique(np.stack((out_l, out_s), 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["leader", "s1"])
-        alone = not has[-1] and (alone if goes_on and len(starts) == 1 else True)
-        token, leader = t[-1], first[-1]
+def runs(num: int, den: int):
+    """(first set, set) of every run of one token that holds at least two sets.
+
+    Rows come sorted by (token, n, s1).  A run ends where the next set is too large to link
+    with the one before it.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token = n0 = leader = None  # the end of the previous batch, and the leader of its last run
+        alone = True  # that leader has not been sent
+        for batch in batches:
+            t, n, s = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            if not len(t):
+                continue
+            goes_on = token is not None and t[0] == token and den * n0 >= num * n[0]
+            starts = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (den * n[:-1] < num * n[1:])])
+            first = s[starts]
+            if goes_on:
+                first[0] = leader
+            of = np.repeat(first, np.diff(np.r_[starts, len(t)]))
+            other = s != of
+            has = np.add.reduceat(other, starts) > 0
+            unsent = np.ones(len(starts), bool)
+            if goes_on:
+                unsent[0] = alone
+            send = first[has & unsent]
+            pairs = np.stack((np.r_[send, of[other]], np.r_[send, s[other]]), 1)
+            if len(pairs):
+                pairs = np.unique(pairs, axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["leader", "s1"])
+            alone = not has[-1] and (alone if goes_on and len(starts) == 1 else True)
+            token, n0, leader = t[-1], n[-1], first[-1]
+    return run
 
 
 def _tree_join(docs: DataFrame, work: DataFrame, width: int, num: int, den: int) -> DataFrame:

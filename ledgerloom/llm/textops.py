@@ -123,24 +123,31 @@ def shingles(w: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
 
     A text of 1 to ``width - 1`` words has one shingle, its whole word sequence.
     """
+    return sized_shingles(w, width)[:2]
+
+
+def sized_shingles(w: Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`shingles`, and the bytes of each shingle's words."""
     h = w.hash
     m = max(0, len(h) - width + 1)
     sums = np.zeros(m, U64)
     for k in range(width):
         sums = sums * U64(_BASE) + h[k:k + m]
+    run = np.concatenate(([0], np.cumsum(w.end - w.start)))
     keep = w.doc[:m] == w.doc[width - 1:width - 1 + m] if m else np.zeros(0, bool)
-    full, full_doc = mix(sums[keep], width), w.doc[:m][keep]
+    full, full_doc, full_size = mix(sums[keep], width), w.doc[:m][keep], (run[width:][:m] - run[:m])[keep]
     counts = w.counts
     short = np.flatnonzero((counts > 0) & (counts < width))
     if not len(short):
-        return full, full_doc
+        return full, full_doc, full_size
     part = np.zeros(len(short), U64)
     for k in range(width - 1):
         has = counts[short] > k
         part[has] = part[has] * U64(_BASE) + h[w.first[short[has]] + k]
     part = mix(mix(part, 0x77) + counts[short].astype(U64), width)
+    size = run[w.first[short + 1]] - run[w.first[short]]
     order = np.argsort(np.concatenate((full_doc, short)), kind="stable")
-    return np.concatenate((full, part))[order], np.concatenate((full_doc, short))[order]
+    return tuple(np.concatenate(x)[order] for x in ((full, part), (full_doc, short), (full_size, size)))
 
 
 def shingle_sets(w: Words, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -149,3 +156,12 @@ def shingle_sets(w: Words, width: int) -> Iterator[tuple[int, np.ndarray]]:
     at = np.searchsorted(doc, np.arange(w.n_docs + 1))
     for i in range(w.n_docs):
         yield i, np.unique(h[at[i]:at[i + 1]])
+
+
+def sized_shingle_sets(w: Words, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """As :func:`shingle_sets`, and the bytes of each shingle's words."""
+    h, doc, size = sized_shingles(w, width)
+    at = np.searchsorted(doc, np.arange(w.n_docs + 1))
+    for i in range(w.n_docs):
+        s, first = np.unique(h[at[i]:at[i + 1]], return_index=True)
+        yield i, s, size[at[i]:at[i + 1]][first]
