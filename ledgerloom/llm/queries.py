@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, ngram_join, packing, urlfilter
+from . import minhash, mixing, ngram_join, packing, urlfilter
 from .storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,11 @@ def op2(spark, sf_dir):
         "doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
 
 
+@query("op4_minhash_fingerprints")
+def op4(spark, sf_dir):
+    return minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query("op8_best_fit_packing")
 def op8(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
