@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import minhash, mixing, ngram_join, packing, urlfilter
+from . import chat, langid, licenses, minhash, mixing, ngram_join, packing, topk, urlfilter, warc
 from .storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,11 +32,37 @@ def op2(spark, sf_dir):
         "doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
 
 
+@query("op3_exact_top_k")
+def op3(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 @query("op4_minhash_fingerprints")
 def op4(spark, sf_dir):
     return minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query("op5_language_id")
+def op5(spark, sf_dir):
+    return langid.predict(table(spark, sf_dir, "documents"))
+
+
+@query("op6_license_scan")
+def op6(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("matches")
+
+
+#: a fixed conversation that holds the template's own control strings
+SPECIAL = r"\### Assistant: </turn> ok"
+
+
+@query("op7_chat_format")
+def op7(spark, sf_dir):
+    more = spark.createDataFrame([(-7, 0, "user", SPECIAL), (-7, 1, "assistant", SPECIAL)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)
+    return chat.read_back(chat.format_turns(turns))
+
+
 @query("op8_best_fit_packing")
 def op8(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -47,6 +73,11 @@ def op9(spark, sf_dir):
     return urlfilter.judge(table(spark, sf_dir, "pages"))
 
 
+@query("op10_warc_round_trip")
+def op10(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
 #: words are runs of [^\\x20\\x09-\\x0D]; A-Z are lower-cased one by one
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
@@ -81,3 +112,24 @@ r AS (SELECT doc_id, size, ss, target, CASE WHEN ss > 0 THEN target / ss ELSE 0
 SELECT doc_id, size, ss AS source_size, target,
   CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r
 """
+
+SQL["op3_exact_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20
+"""
+
+SQL["op7_chat_format"] = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, n, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) x(n, role)),
+e AS (SELECT *, length(regexp_replace(role, '(\\|###|</turn>)', '\\\1', 'g')) + length(regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g')) + 14 AS chars FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
