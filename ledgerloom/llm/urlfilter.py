@@ -81,7 +81,7 @@ def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: tuple[tupl
 
     ``labelled`` (url, label; 1 is block) is by default the URLs of ``pages`` that a rule decides.
     """
-    action = F.create_map(*(F.lit(x) for a, r in rules for x in (r, a))) if rules else F.lit(None)
+    action = F.create_map(*(F.lit(x) for a, r in rules for x in (r, a))) if rules else F.lit(None).cast("map<string,string>")
     parts = with_parts(pages.select("page_id", "url"))
     ruled = parts.withColumn("rule", rule_column(rules))
     if labelled is None:
