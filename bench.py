@@ -11,13 +11,14 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerloom.plans import catalog  # noqa: E402
-from ledgerloom.plans.session import ensure_checkpoint_dir, get_spark  # noqa: E402
+from ledgerloom.plans.session import get_spark, shared_folder  # noqa: E402
 from ledgerloom.sources import derive  # noqa: E402
 
 
@@ -29,13 +30,14 @@ def main() -> None:
     spark = get_spark(f"local[{cpus}]", app="ledgerloom-bench", conf={
         "spark.sql.shuffle.partitions": str(2 * cpus),
         "spark.driver.memory": "16g",
+        "spark.checkpoint.dir": os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="ledgerloom-bench-"),
     })
     # stored inputs live beside the checkpoints, in the session's shared folder
-    store = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bench-inputs-{uuid.uuid4().hex}"
+    store = f"{shared_folder(spark).rstrip('/')}/bench-inputs-{uuid.uuid4().hex}"
 
     times: dict[str, float] = {}
     t0 = time.perf_counter()
-    tables = derive.load_driver_tables(spark, sf_dir, store=store, buckets=2 * cpus)
+    tables = derive.load_driver_tables(spark, sf_dir, store=store)
     build = round(time.perf_counter() - t0, 3)
     for name, op in catalog.OPS.items():
         t = time.perf_counter()

@@ -27,13 +27,17 @@ def days_between(start: Column, end: Column) -> Column:
 
 
 def iterated_month(start: Column, i: Column) -> Column:
-    """``start`` advanced one month at a time, ``i`` times, day clamped at each step."""
-    first = F.trunc(start, "MM")
-    m = F.add_months(first, i)
-    day = F.dayofmonth(start)
-    # the running minimum of month lengths only matters for days 29-31
-    shortest = F.array_min(F.transform(
-        F.sequence(F.lit(0), i),
-        lambda k: F.dayofmonth(F.last_day(F.add_months(first, k)))))
-    clamped = F.when(day <= 28, day).otherwise(F.least(day, shortest))
-    return F.make_date(F.year(m), F.month(m), clamped)
+    """``start`` advanced one month at a time, ``i`` times, day clamped at each step.
+
+    The day ends as the least of itself and the lengths of the months passed.  Two Februaries
+    in a row are never both leap, so the shortest is 28 days from the second one on; without a
+    February, what counts is whether a month of 30 days (4, 6, 9, 11) was passed.
+    """
+    m = F.add_months(F.trunc(start, "MM"), i)
+    first_feb = F.year(start) + F.when(F.month(start) >= 2, 1).otherwise(0)
+    last_feb = F.year(m) - F.when(F.month(m) < 2, 1).otherwise(0)
+    short = lambda d: 4 * F.year(d) + sum(F.when(F.month(d) >= k, 1).otherwise(0) for k in (4, 6, 9, 11))
+    shortest = (F.when(last_feb > first_feb, 28)
+                .when(last_feb == first_feb, F.dayofmonth(F.last_day(F.make_date(first_feb, F.lit(2), F.lit(1)))))
+                .when(short(m) > short(start), 30).otherwise(31))
+    return F.make_date(F.year(m), F.month(m), F.least(F.dayofmonth(start), shortest))

@@ -78,7 +78,6 @@ REVIEW = "🟡 REVIEW   — >10% deferred"
 IMMATERIAL = "🟢 IMMATERIAL"
 MATERIAL_ABOVE = 0.5
 REVIEW_ABOVE = 0.1
-MAX_RECURSION = 500
 
 # ---- fixed values: executive scorecard -------------------------------------
 RAG_GREEN = "GREEN"
@@ -93,7 +92,6 @@ TOP_HIGH_ABOVE = 10000
 TOP_MEDIUM_ABOVE = 1000
 TOP_N = 10
 CURRENCY = "£"
-PERIOD_FORMAT = "yyyy-MM"
 SUMMARY_DATE_FORMAT = "dd MMM yyyy"
 
 # ---- fixed values: row-count report ----------------------------------------

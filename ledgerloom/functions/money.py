@@ -3,7 +3,8 @@
 Output contract: row-level money is DECIMAL(18,2), money summed over a
 group is DECIMAL(38,2) (it grows with the data), counts are BIGINT and
 ratios, z-scores and quartiles are DOUBLE.  Money is summed in DECIMAL so
-totals are exact, then cast.
+totals are exact, then cast.  Ratios of counts and of money are rounded
+once, on whole numbers.
 """
 
 from pyspark.sql import Column, functions as F
@@ -11,9 +12,6 @@ from pyspark.sql.types import DecimalType
 
 MONEY = DecimalType(18, 2)
 MONEY_TOTAL = DecimalType(38, 2)
-# Doubles are rounded through an exact decimal so that a value such as
-# 1.005 rounds half-up the way a DECIMAL ROUND does, whatever the engine.
-EXACT = DecimalType(38, 6)
 
 
 def money(c: Column) -> Column:
@@ -24,23 +22,26 @@ def money_sum(c: Column) -> Column:
     return F.sum(c).cast(MONEY_TOTAL)
 
 
-def round_half_up(c: Column, scale: int) -> Column:
-    """ROUND a double half-up at ``scale`` digits; returns a DECIMAL."""
-    return F.round(c.cast(EXACT), scale)
-
-
 def round_double(c: Column, scale: int) -> Column:
-    return round_half_up(c, scale).cast("double")
+    """ROUND a double once, half-up on its decimal value."""
+    return F.round(c.cast("double"), scale)
 
 
-def ratio(num: Column, den: Column) -> Column:
-    """num / NULLIF(den, 0) computed in DOUBLE."""
-    return num.cast("double") / F.nullif(den, F.lit(0)).cast("double")
+def quotient(num: Column, den: Column, scale: int, digits: int = 0) -> Column:
+    """num / NULLIF(den, 0), rounded once and half away from zero to ``scale`` digits; DOUBLE.
+
+    Both are counts, or DECIMALs of at most ``digits`` fraction digits, so the quotient is
+    decided on whole numbers and a tie is never lost to binary or intermediate rounding.
+    """
+    whole = lambda c: (c.cast(f"decimal(38,{digits})") * (10 ** digits)).cast("decimal(38,0)")
+    n, d = whole(num), whole(den)
+    size = F.call_function("div", F.abs(n) * (2 * 10 ** scale) + F.abs(d), F.nullif(F.abs(d), F.lit(0)) * 2)
+    return F.signum(n) * F.signum(d) * size.cast("double") / float(10 ** scale)
 
 
-def pct(num: Column, den: Column) -> Column:
-    """100 * num / NULLIF(den, 0) in DOUBLE, multiplication first."""
-    return (F.lit(100.0) * num.cast("double")) / F.nullif(den, F.lit(0)).cast("double")
+def pct(num: Column, den: Column, scale: int, digits: int = 0) -> Column:
+    """100 * num / NULLIF(den, 0), rounded once; see :func:`quotient`."""
+    return quotient(num * 100, den, scale, digits)
 
 
 def pct_at_least(num: Column, den: Column, threshold: float) -> Column:

@@ -1,85 +1,98 @@
 """Outlier detection by z-score and by interquartile fences.
 
-All read the deduplicated sales.  Per-category statistics are plain
-aggregates (partial + final, a few rows per category) joined back to the
-rows.  Rank-type statistics (percent rank, quartiles, rank among flagged
-rows) are computed from a per-category histogram of values and a
-range-blocked running count (``functions.running``), so a category that
-holds most of the rows is still spread over many tasks and no task ever
-buffers a whole category.
+All read the deduplicated sales.  A row's z-score, percentile and fences depend only on its
+category and amount, so they are worked out on the histogram of (category, amount) and
+joined back once, on both columns.  Ranks and quartiles need the histogram in order: amounts
+have two decimals, so a segment of ``SEGMENT`` currency units holds at most a million
+different ones, and segment sums give every segment its offset (``functions.running``).
+Per-category statistics reach the histogram through its (category, segment) pairs, so
+neither sales rows nor histogram rows are ever dealt by the few category keys alone.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import labels as L
-from ..functions.money import round_double
-from ..functions.running import checkpointed, running_sum
+from ..functions.money import pct, quotient, round_double
+from ..functions.running import join_null_safe, running_sum
 
 CAT = "product_category"
 NET = "net_revenue"
-
-
-def _x() -> Column:
-    return F.col(NET).cast("double")
+SEGMENT = 10_000
+_SEG, _N = "__seg", "__n"
 
 
 def category_stats(clean: DataFrame) -> DataFrame:
     """Count, mean, sample standard deviation, min and max of net per category.
 
-    The mean is the exact DECIMAL sum over the count, taken in DOUBLE.
+    The mean is the exact DECIMAL sum over the count, taken in DOUBLE;
+    ``rounded_mean`` is that quotient rounded once to 2 dp.
     """
     return clean.groupBy(CAT).agg(
         F.count(F.lit(1)).alias("transaction_count"),
         (F.sum(NET).cast("double") / F.count(NET)).alias("mean_net_revenue"),
-        F.stddev_samp(_x()).alias("std_net_revenue"),
+        F.stddev_samp(F.col(NET).cast("double")).alias("std_net_revenue"),
         F.min(NET).alias("min_net_revenue"),
-        F.max(NET).alias("max_net_revenue"))
+        F.max(NET).alias("max_net_revenue"),
+        quotient(F.sum(NET), F.count(NET), 2, 2).alias("rounded_mean"))
 
 
-def _join_on_category(rows: DataFrame, stats: DataFrame, null_safe: bool = False) -> DataFrame:
-    s = stats.withColumnRenamed(CAT, "__cat")
-    cond = rows[CAT].eqNullSafe(s["__cat"]) if null_safe else rows[CAT] == s["__cat"]
-    return rows.join(s, cond, "inner").drop("__cat")
+def _histogram(clean: DataFrame) -> DataFrame:
+    """Rows per (category, amount), with the amount's segment; NULL amounts come first."""
+    seg = F.coalesce(F.floor(F.col(NET) / SEGMENT).cast("long"), F.lit(-(1 << 62)).cast("long"))
+    return clean.groupBy(CAT, NET).agg(F.count(F.lit(1)).alias(_N)).withColumn(_SEG, seg)
 
 
-def percent_rank_in_category(rows: DataFrame, value: str = NET, out: str = "__prank") -> DataFrame:
-    """PERCENT_RANK() OVER (PARTITION BY category ORDER BY value), rows with a category.
+def _with_category(hist: DataFrame, per_category: DataFrame) -> DataFrame:
+    """Per-category columns for every histogram row, dealt by (category, segment)."""
+    pairs = join_null_safe(hist.select(CAT, _SEG).distinct(), per_category, [CAT])
+    return join_null_safe(hist, pairs, [CAT, _SEG])
+
+
+def _ranked(hist: DataFrame, n: Column) -> DataFrame:
+    """The histogram with ``__cum`` (inclusive running count by amount) and ``__tot``."""
+    return running_sum(hist, n, [F.col(NET).asc_nulls_first()], [(_SEG, F.col(_SEG).asc())],
+                       partition_by=[CAT], out="__cum", total_out="__tot")
+
+
+def percent_rank_in_category(rows: DataFrame, out: str = "__prank") -> DataFrame:
+    """PERCENT_RANK() OVER (PARTITION BY category ORDER BY net), rows with a category."""
+    rows = rows.filter(F.col(CAT).isNotNull())
+    ranked = _ranked(_histogram(rows), F.col(_N))
+    rank = F.when(F.col("__tot") > 1, (F.col("__cum") - F.col(_N)).cast("double") / (F.col("__tot") - 1).cast("double")) \
+        .otherwise(F.lit(0.0))
+    return join_null_safe(rows, ranked.select(CAT, NET, rank.alias(out)), [CAT, NET])
+
+
+def _z() -> Column:
+    return (F.col(NET).cast("double") - F.col("mean_net_revenue")) / F.nullif(F.col("std_net_revenue"), F.lit(0.0))
+
+
+def _scored_values(clean: DataFrame) -> DataFrame:
+    """Per (category, amount): rounded mean, deviation, z and percentile, and the row count."""
+    clean = clean.filter(F.col(CAT).isNotNull())
+    stats = category_stats(clean).select(CAT, "mean_net_revenue", "std_net_revenue", "rounded_mean")
+    ranked = _ranked(_with_category(_histogram(clean), stats), F.col(_N))
+    below = F.col("__cum") - F.col(_N)
+    return ranked.select(
+        CAT, NET, _N, F.col("rounded_mean").alias("category_mean"),
+        round_double(F.col("std_net_revenue"), 2).alias("category_std_dev"),
+        round_double(_z(), 3).alias("z_score"),
+        F.when(F.col("__tot") > 1, pct(below, F.col("__tot") - 1, 2)).otherwise(F.lit(0.0)).alias("revenue_percentile"))
+
+
+_ROW = ["transaction_id", "customer_id", CAT, "transaction_date", NET]
 
-    rank - 1 is the number of rows with a smaller value (NULLs first), read
-    from a running count over the (category, value) histogram; the
-    histogram is joined back on (category, value).
-    """
-    hist = rows.groupBy(CAT, value).agg(F.count(F.lit(1)).alias("__n"))
-    run = running_sum(hist, F.col("__n"), [F.col(value).asc_nulls_first()], partition_by=[CAT],
-                      out="__cum", total_out="__tot")
-    pr = (run.select(F.col(CAT).alias("__c"), F.col(value).alias("__v"),
-                     F.when(F.col("__tot") > 1,
-                            (F.col("__cum") - F.col("__n")).cast("double")
-                            / (F.col("__tot") - 1).cast("double"))
-                      .otherwise(F.lit(0.0)).alias(out)))
-    cond = (rows[CAT] == pr["__c"]) & rows[value].eqNullSafe(pr["__v"])
-    return rows.join(pr, cond, "inner").drop("__c", "__v")
+
+def _rows_of(clean: DataFrame, values: DataFrame) -> DataFrame:
+    """The sales rows whose (category, amount) is among ``values``, with its columns."""
+    return join_null_safe(clean.select(*_ROW), values, [CAT, NET])
 
 
 def zscore_scored(clean: DataFrame) -> DataFrame:
     """Every row with a category, its z-score (3 dp) and percentile in category."""
-    clean = checkpointed(clean)
-    stats = category_stats(clean).select(CAT, "mean_net_revenue", "std_net_revenue")
-    rows = clean.filter(F.col(CAT).isNotNull()).select(
-        "transaction_id", "customer_id", CAT, "transaction_date", NET)
-    j = _join_on_category(rows, stats)
-    z = (_x() - F.col("mean_net_revenue")) / F.nullif(F.col("std_net_revenue"), F.lit(0.0))
-    j = percent_rank_in_category(j)
-    return j.select(
-        "transaction_id", "customer_id", CAT, "transaction_date", NET,
-        round_double(F.col("mean_net_revenue"), 2).alias("category_mean"),
-        round_double(F.col("std_net_revenue"), 2).alias("category_std_dev"),
-        round_double(z, 3).alias("z_score"),
-        round_double(F.col("__prank") * 100.0, 2).alias("revenue_percentile"))
+    return _rows_of(clean, _scored_values(clean).drop(_N))
 
 
 def severity_expr(z: Column) -> Column:
@@ -90,22 +103,22 @@ def severity_expr(z: Column) -> Column:
 
 def zscore_anomalies(clean: DataFrame, z_threshold: float = L.Z_THRESHOLD) -> DataFrame:
     """Rows with |rounded z| above the threshold, severity, direction and
-    RANK() by |z| within the category among the flagged rows."""
-    flagged = zscore_scored(clean).filter(F.abs(F.col("z_score")) > z_threshold) \
-        .withColumn("__az", F.abs(F.col("z_score")))
-    hist = flagged.groupBy(CAT, "__az").agg(F.count(F.lit(1)).alias("__n"))
-    run = running_sum(hist, F.col("__n"), [F.col("__az").desc()], partition_by=[CAT], out="__cum")
-    ranks = run.select(F.col(CAT).alias("__c"), F.col("__az").alias("__a"),
-                       (F.col("__cum") - F.col("__n") + 1).alias("anomaly_rank_in_category"))
-    j = flagged.join(ranks, (flagged[CAT] == ranks["__c"]) & (flagged["__az"] == ranks["__a"]))
-    return (j.select(
-        "transaction_id", "customer_id", CAT, "transaction_date", NET, "category_mean",
-        "category_std_dev", "z_score", "revenue_percentile",
-        severity_expr(F.col("z_score")).alias("anomaly_severity"),
-        F.when(F.col("z_score") > 0, L.DIRECTION_ABOVE).otherwise(L.DIRECTION_BELOW)
-         .alias("direction"),
-        F.col("anomaly_rank_in_category").cast("bigint").alias("anomaly_rank_in_category"))
-        .orderBy(F.abs(F.col("z_score")).desc(), F.col("transaction_id").asc_nulls_first()))
+    RANK() by |z| within the category among the flagged rows.
+
+    Scores have three decimals, so a whole unit of |z| holds at most a thousand values.
+    """
+    z = F.col("z_score")
+    flagged = _scored_values(clean).filter(F.abs(z) > z_threshold).withColumn("__az", F.abs(z))
+    sizes = flagged.groupBy(CAT, "__az").agg(F.sum(_N).alias("__m")).withColumn("__unit", F.floor("__az"))
+    ranks = running_sum(sizes, F.col("__m"), [F.col("__az").desc()], [("__unit", F.col("__unit").desc())],
+                        partition_by=[CAT], out="__cum", nullable=False)
+    ranks = ranks.select(CAT, "__az", (F.col("__cum") - F.col("__m") + 1).cast("bigint").alias("anomaly_rank_in_category"))
+    values = flagged.join(ranks, [CAT, "__az"]).select(
+        CAT, NET, "category_mean", "category_std_dev", "z_score", "revenue_percentile",
+        severity_expr(z).alias("anomaly_severity"),
+        F.when(z > 0, L.DIRECTION_ABOVE).otherwise(L.DIRECTION_BELOW).alias("direction"),
+        "anomaly_rank_in_category")
+    return _rows_of(clean, values).orderBy(F.abs(z).desc(), F.col("transaction_id").asc_nulls_first())
 
 
 _QUARTILES = {"q1": 1, "median_val": 2, "q3": 3}
@@ -116,28 +129,28 @@ def iqr_stats(clean: DataFrame) -> DataFrame:
 
     For N values the p-quantile sits at position h = p (N - 1); it is
     v[floor h] + (h - floor h)(v[floor h + 1] - v[floor h]).  Each needed
-    value is found in the value histogram by its running count, so only
-    a handful of rows per category reach the final aggregate.
+    value is found in the histogram by its running count.  NULL amounts do
+    not count; a category without amounts has NULL quartiles.
     """
-    hist = (clean.filter(F.col(NET).isNotNull())
-            .groupBy(CAT, NET).agg(F.count(F.lit(1)).alias("__n")))
-    run = running_sum(hist, F.col("__n"), [F.col(NET).asc()], partition_by=[CAT],
-                      out="__cum", total_out="__tot")
+    return _quartiles(_histogram(clean))
+
+
+def _quartiles(hist: DataFrame) -> DataFrame:
+    n = F.when(F.col(NET).isNotNull(), F.col(_N)).otherwise(F.lit(0))
+    run = _ranked(hist, n).withColumn("__upto", F.col("__cum")).withColumn("__from", F.col("__cum") - n)
+    total = F.col("__tot")
 
     def k(q4):  # 0-based rank of the lower neighbour: floor(q4 (N - 1) / 4), in integers
-        pos4 = (F.col("__tot") - 1) * q4
+        pos4 = (total - 1) * q4
         return ((pos4 - pos4 % 4) / 4).cast("bigint")
 
-    def holds(r):
-        return (F.col("__cum") - F.col("__n") <= r) & (r < F.col("__cum"))
+    def at(r):
+        return F.max(F.when((F.col("__from") <= r) & (r < F.col("__upto")), F.col(NET)))
 
-    need = reduce(lambda a, b: a | b,
-                  [holds(k(q4)) | holds(k(q4) + 1) for q4 in _QUARTILES.values()])
     aggs = [F.first("__tot").alias("__tot")]
     for name, q4 in _QUARTILES.items():
-        aggs += [F.max(F.when(holds(k(q4)), F.col(NET))).alias(f"__lo_{name}"),
-                 F.max(F.when(holds(k(q4) + 1), F.col(NET))).alias(f"__hi_{name}")]
-    g = run.filter(need).groupBy(CAT).agg(*aggs)
+        aggs += [at(k(q4)).alias(f"__lo_{name}"), at(k(q4) + 1).alias(f"__hi_{name}")]
+    g = run.groupBy(CAT).agg(*aggs)
     cols = [CAT]
     for name, q4 in _QUARTILES.items():
         rem = ((F.col("__tot") - 1) * q4) % 4
@@ -167,64 +180,47 @@ def iqr_summary(clean: DataFrame, iqr_k: float = L.IQR_K) -> DataFrame:
                            ("q1", "median_val", "q3", "iqr", "lower_fence", "upper_fence")])
 
 
+def _values_outside(clean: DataFrame, iqr_k: float) -> DataFrame:
+    """The (category, amount) pairs outside their category's fences, with the fences."""
+    hist = _histogram(clean.filter(F.col(CAT).isNotNull()))
+    values = _with_category(hist, iqr_fences(_quartiles(hist), iqr_k))
+    return values.filter((F.col(NET) > F.col("upper_fence")) | (F.col(NET) < F.col("lower_fence")))
+
+
 def iqr_outliers(clean: DataFrame, iqr_k: float = L.IQR_K) -> DataFrame:
     """Rows outside the fences, with the fence they cross and by how much."""
-    clean = checkpointed(clean)
-    f = iqr_fences(iqr_stats(clean), iqr_k)
-    j = _join_on_category(clean.filter(F.col(CAT).isNotNull()), f)
     x, up, lo = F.col(NET), F.col("upper_fence"), F.col("lower_fence")
-    out = j.filter((x > up) | (x < lo))
     dist = F.when(x > up, F.round(x - up, 2)).when(x < lo, F.round(lo - x, 2)).otherwise(F.lit(0))
-    return (out.select(
-        "transaction_id", "customer_id", CAT, "transaction_date", NET,
-        _d2("q1").alias("q1"), _d2("median_val").alias("median_revenue"), _d2("q3").alias("q3"),
-        _d2("iqr").alias("iqr"), _d2("lower_fence").alias("lower_fence"),
-        _d2("upper_fence").alias("upper_fence"),
+    values = _values_outside(clean, iqr_k).select(
+        CAT, NET, _d2("q1").alias("q1"), _d2("median_val").alias("median_revenue"), _d2("q3").alias("q3"),
+        _d2("iqr").alias("iqr"), _d2("lower_fence").alias("lower_fence"), _d2("upper_fence").alias("upper_fence"),
         F.when(x > up, L.IQR_HIGH).when(x < lo, L.IQR_LOW).otherwise(L.IQR_WITHIN).alias("iqr_flag"),
         dist.cast("double").alias("distance_from_fence"))
-        .orderBy(F.col("distance_from_fence").desc(), F.col("transaction_id").asc_nulls_first()))
+    return _rows_of(clean, values).orderBy(F.col("distance_from_fence").desc(), F.col("transaction_id").asc_nulls_first())
 
 
 def zscore_flagged_ids(clean: DataFrame, z_threshold: float = L.Z_THRESHOLD) -> DataFrame:
-    """Ids whose unrounded |z| exceeds the threshold.
-
-    The windowed mean / sd over each category (NULL category included) is
-    the same as the category aggregate joined back on a NULL-safe key.
-    """
-    clean = checkpointed(clean)
+    """Ids whose unrounded |z| exceeds the threshold; a NULL category is one, too."""
     stats = category_stats(clean).select(CAT, "mean_net_revenue", "std_net_revenue")
-    j = _join_on_category(clean.select("transaction_id", CAT, NET), stats, null_safe=True)
-    z = (_x() - F.col("mean_net_revenue")) / F.nullif(F.col("std_net_revenue"), F.lit(0.0))
-    return j.filter(F.abs(z) > z_threshold).select("transaction_id",
-                                                   F.lit(L.METHOD_Z).alias("method"))
+    values = _with_category(_histogram(clean), stats).filter(F.abs(_z()) > z_threshold).select(CAT, NET)
+    return _rows_of(clean, values).select("transaction_id", F.lit(L.METHOD_Z).alias("method"))
 
 
 def iqr_flagged_ids(clean: DataFrame, iqr_k: float = L.IQR_K) -> DataFrame:
     """Ids outside the interquartile fences of their category."""
-    clean = checkpointed(clean)
-    f = iqr_fences(iqr_stats(clean), iqr_k).select(CAT, "lower_fence", "upper_fence")
-    j = _join_on_category(clean.filter(F.col(CAT).isNotNull()).select("transaction_id", CAT, NET), f)
-    x = F.col(NET)
-    return j.filter((x > F.col("upper_fence")) | (x < F.col("lower_fence"))) \
-        .select("transaction_id", F.lit(L.METHOD_IQR).alias("method"))
+    return _rows_of(clean, _values_outside(clean, iqr_k).select(CAT, NET)).select(
+        "transaction_id", F.lit(L.METHOD_IQR).alias("method"))
 
 
 def flagged_by_both(clean: DataFrame) -> DataFrame:
     """Distinct ids flagged by both methods (INTERSECT; NULL equals NULL)."""
-    clean = checkpointed(clean)
     return zscore_flagged_ids(clean).select("transaction_id").intersect(
         iqr_flagged_ids(clean).select("transaction_id"))
 
 
 def highest_priority(clean: DataFrame) -> DataFrame:
-    """The sales rows of ids flagged by both methods, largest first.
-
-    The clean table is read by both methods and by the final filter, so it
-    is materialised once (the original reads its view eight times).
-    """
-    clean = checkpointed(clean)
+    """The sales rows of ids flagged by both methods, largest first."""
     both = flagged_by_both(clean)
     return (clean.join(both, "transaction_id", "left_semi")
-            .select("transaction_id", "customer_id", CAT, "transaction_date", NET,
-                    F.lit(L.BOTH_METHODS).alias("investigation_priority"))
+            .select(*_ROW, F.lit(L.BOTH_METHODS).alias("investigation_priority"))
             .orderBy(F.col(NET).desc(), F.col("transaction_id").asc()))

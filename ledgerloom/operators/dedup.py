@@ -19,9 +19,6 @@ from ..functions.running import running_sum
 from ..sources.schemas import SALES_COLUMNS
 
 KEY = "transaction_id"
-# ids with more copies than this are numbered by the range-blocked running
-# count; smaller groups fit one task and use the plain window
-HOT_GROUP_ROWS = 1_000_000
 
 
 def dedup_order(mode: str = "reference") -> list[Column]:
@@ -55,48 +52,31 @@ def duplicate_summary(sales: DataFrame) -> DataFrame:
                      F.col(KEY).asc_nulls_first()))
 
 
-def _copy_counts(sales: DataFrame) -> DataFrame:
-    """Copy count per repeated id (map-side combined); a NULL id is one group."""
-    return (sales.groupBy(F.col(KEY).alias("__k"))
-            .agg(F.count(F.lit(1)).alias("total_copies"))
-            .filter(F.col("total_copies") > 1))
+def _numbered(sales: DataFrame, mode: str) -> DataFrame:
+    """Rows of repeated ids (NULL is one) with ``total_copies`` and ``row_number`` in the id.
 
-
-def _with_counts(sales: DataFrame, counts: DataFrame) -> DataFrame:
-    return sales.join(counts, sales[KEY].eqNullSafe(counts["__k"]), "inner").drop("__k")
-
-
-def _numbered(sales: DataFrame, mode: str, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Repeated-id rows with their row number inside the id.
-
-    Ids with at most ``hot_rows`` copies are numbered by the plain window
-    (bounded groups; no shuffle when the table is bucketed on the id).  A
-    hot id -- one id holding a large share of all rows -- is numbered by a
-    running count over range blocks instead, so it is spread over many
-    tasks.  That path is only planned when such an id exists.
+    Copies are numbered by segments of (id, modification time[, preference], system): counts
+    per segment give each its offset, so an id with any number of copies is spread out.
     """
-    counts = _copy_counts(sales)
-    small = _with_counts(sales, counts.filter(F.col("total_copies") <= hot_rows))
-    w = Window.partitionBy(KEY).orderBy(*dedup_order(mode))
-    out = small.withColumn("row_number", F.row_number().over(w).cast("bigint"))
-    hot_counts = counts.filter(F.col("total_copies") > hot_rows)
-    if hot_counts.isEmpty():
-        return out
-    hot = running_sum(_with_counts(sales, hot_counts), F.lit(1).cast("bigint"),
-                      dedup_order(mode), partition_by=[KEY], out="row_number",
-                      hot_rows=hot_rows)
-    return out.unionByName(hot)
+    levels = [("last_modified_date", F.col("last_modified_date").desc_nulls_last())]
+    if mode == "full_rules":
+        sales = sales.withColumn("__pref", F.when(F.col("source_system") == L.PREFERRED_SOURCE_SYSTEM, 0).otherwise(1))
+        levels.append(("__pref", F.col("__pref").asc()))
+    levels.append(("source_system", F.col("source_system").asc_nulls_last()))
+    n = running_sum(sales, F.lit(1).cast("bigint"), dedup_order(mode), levels, partition_by=[KEY],
+                    out="row_number", total_out="total_copies")
+    return n.filter(F.col("total_copies") > 1)
 
 
 def dedup_preview(sales: DataFrame, gl: DataFrame | None = None,
-                  mode: str = "full_rules", hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                  mode: str = "full_rules") -> DataFrame:
     """Every copy of a repeated id, marked KEEP (row 1) or REMOVE.
 
     With ``gl``, ``has_gl_posting`` says whether any posting references the
     id (the EXISTS rule, as a left join on the distinct references).  It is
     the same for every copy of an id, so it cannot change which copy is kept.
     """
-    n = _numbered(sales, mode, hot_rows)
+    n = _numbered(sales, mode)
     cols = [KEY, "customer_id", "transaction_date", "net_revenue", "source_system",
             "last_modified_date", "total_copies",
             F.when(F.col("row_number") == 1, L.DEDUP_KEEP)
@@ -111,10 +91,9 @@ def dedup_preview(sales: DataFrame, gl: DataFrame | None = None,
     return n.select(*cols).orderBy(F.col(KEY).asc_nulls_first(), "row_number")
 
 
-def dedup_audit_log(sales: DataFrame, as_of: datetime, mode: str = "reference",
-                    hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def dedup_audit_log(sales: DataFrame, as_of: datetime, mode: str = "reference") -> DataFrame:
     """D3: the rows the clean table drops, stamped for an append-only audit table."""
-    n = _numbered(sales, mode, hot_rows).filter(F.col("row_number") > 1)
+    n = _numbered(sales, mode).filter(F.col("row_number") > 1)
     # a wall-clock literal: no time-zone conversion on the way in
     stamp = F.lit(as_of.isoformat(sep=" ") if isinstance(as_of, datetime) else str(as_of))
     return (n.select(stamp.cast("timestamp_ntz").alias("removed_at"),

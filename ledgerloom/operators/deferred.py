@@ -3,7 +3,8 @@
 Month counts are month *boundaries* crossed (``functions.dates``).  Money
 is DECIMAL throughout except the deferred share, which is a DOUBLE ratio
 of month counts; it is summed after rounding each row to 10 dp in DECIMAL
-so totals are exact and engine independent.
+so totals are exact and engine independent.  A deferred amount that is
+reported by itself is rounded once, on the exact quotient.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import labels as L
 from ..functions.dates import iterated_month, month_boundaries, period
-from ..functions.money import MONEY, MONEY_TOTAL, round_half_up
+from ..functions.money import MONEY, MONEY_TOTAL, pct, quotient
 
 START, END, TDATE, NET = "service_start_date", "service_end_date", "transaction_date", "net_revenue"
 
@@ -28,26 +29,35 @@ def monthly_amount() -> Column:
     return F.col(NET) / F.nullif(contract_months(), F.lit(0))
 
 
+def _deferred_months() -> Column:
+    """Months from the transaction's month to the end of the contract; none if it has ended."""
+    eom = F.last_day(F.col(TDATE))
+    return F.when(F.col(END) > eom, month_boundaries(eom, F.col(END))).otherwise(F.lit(0))
+
+
 def deferred_amount() -> Column:
     """Share of net that belongs after the transaction month (DOUBLE)."""
-    eom = F.last_day(F.col(TDATE))
-    share = (month_boundaries(eom, F.col(END)).cast("double")
-             / F.nullif(contract_months(), F.lit(0)).cast("double"))
-    return (F.when(F.col(END) > eom, F.col(NET).cast("double") * share)
+    share = _deferred_months().cast("double") / F.nullif(contract_months(), F.lit(0)).cast("double")
+    return (F.when(F.col(END) > F.last_day(F.col(TDATE)), F.col(NET).cast("double") * share)
              .otherwise(F.lit(0.0)))
 
 
 def deferred_lines(clean: DataFrame, clamp: bool = False) -> DataFrame:
     """Each contract line with months, monthly amount, deferred amount and flags.
 
-    ``clamp=True`` bounds the deferred amount to [0, net] (a contract that
-    starts after its transaction month can otherwise defer more than 100%).
+    ``clamp=True`` bounds the deferred amount between nothing and net, which is negative for a
+    refund (a contract that starts after its transaction month can otherwise defer more than
+    100%).
     """
+    net = F.col(NET)
+    within = lambda c, x: F.greatest(F.least(c, F.greatest(x, F.lit(0))), F.least(x, F.lit(0)))
     d = deferred_amount()
+    exact = F.when(F.col(END) > F.last_day(F.col(TDATE)),
+                   quotient(net * _deferred_months(), contract_months(), 2, 2)).otherwise(F.lit(0.0)).cast(MONEY)
     if clamp:
-        d = F.least(F.greatest(d, F.lit(0.0)), F.abs(F.col(NET).cast("double")))
+        d, exact = F.when(net.isNotNull(), within(d, net.cast("double"))), F.when(net.isNotNull(), within(exact, net)).cast(MONEY)
     rows = clean.filter(F.col(START).isNotNull() & F.col(END).isNotNull()) \
-        .withColumn("__d", d)
+        .withColumn("__d", d).withColumn("__exact", exact)
     ratio = F.col("__d") / F.nullif(F.col(NET), F.lit(0)).cast("double")
     monthly = F.round(monthly_amount(), 2).cast(MONEY)
     return (rows.select(
@@ -55,7 +65,7 @@ def deferred_lines(clean: DataFrame, clamp: bool = False) -> DataFrame:
         F.col(NET).cast(MONEY).alias("total_contract_value"), START, END,
         contract_months().alias("contract_months"),
         monthly.alias("monthly_recognised"), monthly.alias("recognised_this_period"),
-        round_half_up(F.col("__d"), 2).cast(MONEY).alias("deferred_to_future"),
+        F.col("__exact").alias("deferred_to_future"),
         F.when(F.col(END) > F.last_day(F.col(TDATE)), L.DEFERRED)
          .otherwise(L.FULLY_RECOGNISED).alias("recognition_status"),
         F.when(ratio > L.MATERIAL_ABOVE, L.MATERIAL).when(ratio > L.REVIEW_ABOVE, L.REVIEW)
@@ -74,30 +84,30 @@ def future_contracts(clean: DataFrame, as_of: date) -> DataFrame:
                     monthly_amount().alias("monthly_amount")))
 
 
-def monthly_schedule(contracts: DataFrame, max_steps: int = L.MAX_RECURSION) -> DataFrame:
+def monthly_schedule(contracts: DataFrame, max_steps: int | None = None) -> DataFrame:
     """One row per contract month, stepping one month at a time from the start.
 
     Step i is the start date advanced i months with the day clamped at each
     step; a row is kept for step 0 and for every later step on or before the
-    end date.  A contract that would need more than ``max_steps`` steps
-    raises, as a bounded recursion does.  Rows are generated per contract
-    inside the task (explode), so no join rounds are needed.
+    end date.  Every month is generated, however long the contract.  With
+    ``max_steps`` a contract of more steps fails the job, as a bounded
+    recursion does; the check is part of what is exploded, so no action can
+    prune it.  Rows are generated per contract inside the task.
     """
     n = F.greatest(F.lit(0), month_boundaries(F.col(START), F.col(END)))
-    steps = contracts.select("*", F.posexplode(
-        F.sequence(F.lit(0), F.least(n, F.lit(max_steps + 1)))).alias("__i", "__x"))
+    if max_steps is not None:
+        needed = n - F.when((n > 0) & (iterated_month(F.col(START), n) > F.col(END)), 1).otherwise(0)
+        failed = F.raise_error(F.lit(f"contract needs more than {max_steps} monthly steps")).cast("int")
+        n = F.when(needed > max_steps, failed).otherwise(n)
+    steps = contracts.select("*", F.explode(F.sequence(F.lit(0), n)).alias("__i"))
     d = iterated_month(F.col(START), F.col("__i"))
     kept = steps.withColumn("recognition_month_start", d) \
         .filter((F.col("__i") == 0) | (F.col("recognition_month_start") <= F.col(END)))
-    checked = F.when(F.col("__i") > max_steps,
-                     F.raise_error(F.lit(f"contract needs more than {max_steps} monthly steps"))) \
-        .otherwise(F.col("recognition_month_start"))
     return kept.select("transaction_id", "customer_id", "product_category", "monthly_amount",
-                       checked.cast("date").alias("recognition_month_start"), END)
+                       "recognition_month_start", END)
 
 
-def recognition_schedule(clean: DataFrame, as_of: date, max_steps: int = L.MAX_RECURSION
-                         ) -> DataFrame:
+def recognition_schedule(clean: DataFrame, as_of: date, max_steps: int | None = None) -> DataFrame:
     """Per future month, contracts, customers and revenue to recognise."""
     eom = F.last_day(F.lit(as_of))
     sched = monthly_schedule(future_contracts(clean, as_of), max_steps)
@@ -119,11 +129,10 @@ def deferred_period_summary(clean: DataFrame) -> DataFrame:
     deferred = deferred_amount().cast("decimal(38,10)")
     g = (clean.groupBy(period(F.col(TDATE)).alias("period"))
          .agg(F.sum(NET).alias("__b"), F.sum(deferred).alias("__d"), F.sum(recognised).alias("__r")))
-    pct = (F.lit(100.0) * F.col("__d").cast("double")) / F.nullif(F.col("__b"), F.lit(0)).cast("double")
     return (g.select(
         "period",
         F.round(F.col("__b"), 2).cast(MONEY_TOTAL).alias("total_billed"),
         F.round(F.col("__r"), 2).cast(MONEY_TOTAL).alias("recognised_this_period"),
         F.round(F.col("__d"), 2).cast(MONEY_TOTAL).alias("deferred_to_future"),
-        round_half_up(pct, 1).cast("double").alias("pct_deferred"))
+        pct(F.col("__d"), F.col("__b"), 1, 10).alias("pct_deferred"))
         .orderBy("period"))

@@ -5,7 +5,7 @@ aggregate, so duplicate rows are combined before any shuffle), then joined
 on the transaction id with two left outer joins.  As in the original
 analysis, ledger and bank are grouped by (id, date) but joined on id, so
 two posting dates times two settlement dates give four rows;
-``collapse=True`` groups by id only and gives one row per id.
+``collapse=True`` groups all three inputs by id only and gives one row per id.
 """
 
 from __future__ import annotations
@@ -17,17 +17,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import labels as L
 from ..functions.dates import days_between, period
 from ..functions.money import MONEY_TOTAL, money_sum
-from ..functions.running import HOT_ROWS, running_sum
+from ..functions.running import running_sum
 from .dedup import sales_deduplicated
 
 KEY = "transaction_id"
 
 
-def source_aggregated(sales: DataFrame) -> DataFrame:
-    """M1: sales lines summed per id, customer, date and category."""
+def source_aggregated(sales: DataFrame, collapse: bool = False) -> DataFrame:
+    """M1: sales lines summed per id, customer, date and category.
+
+    ``collapse=True`` sums per id alone and shows the smallest customer, date and category.
+    """
+    shown = ["customer_id", "transaction_date", "product_category"]
+    keys = [KEY] if collapse else [KEY, *shown]
+    extra = [F.min(c).alias(c) for c in shown] if collapse else []
     return (sales.filter(F.col("transaction_date").isNotNull() & F.col(KEY).isNotNull())
-            .groupBy(KEY, "customer_id", "transaction_date", "product_category")
-            .agg(money_sum(F.col("gross_revenue")).alias("gross_revenue"),
+            .groupBy(*keys)
+            .agg(*extra, money_sum(F.col("gross_revenue")).alias("gross_revenue"),
                  money_sum(F.col("net_revenue")).alias("net_revenue"),
                  money_sum(F.col("tax_amount")).alias("tax_amount"),
                  F.count(F.lit(1)).alias("line_item_count")))
@@ -121,30 +127,29 @@ def reconciliation(sales: DataFrame, gl: DataFrame, bank: DataFrame, source: str
         sales = sales_deduplicated(sales)
     elif source != "raw":
         raise ValueError(f"unknown source {source!r}")
-    joined = three_way_join(source_aggregated(sales), gl_aggregated(gl, collapse),
+    joined = three_way_join(source_aggregated(sales, collapse), gl_aggregated(gl, collapse),
                             bank_aggregated(bank, collapse))
     return reconciliation_status(joined, tolerance, timing_days)
 
 
-# complete key for the running total; NULL dates first
-CUMULATIVE_ORDER = ["transaction_date", KEY, "customer_id", "product_category",
-                    "posting_date", "settlement_date"]
+# complete key within a day
+CUMULATIVE_ORDER = [KEY, "customer_id", "product_category", "posting_date", "settlement_date"]
 
 
-def cumulative_variance(recon: DataFrame, blocks: int | None = None,
-                        hot_rows: int = HOT_ROWS) -> DataFrame:
+def cumulative_variance(recon: DataFrame) -> DataFrame:
     """M7: running SUM(ABS(source - ledger)) by transaction date.
 
-    A running sum over daily totals (one row per day) plus the running sum
-    within each day; a day with more than ``hot_rows`` rows is range-blocked
-    (see ``functions.running``).  No single-partition window over rows.
+    The order within a day is free; it begins with three hex digits of the key's MD5, so a day
+    falls into 4,096 segments and neither a hot day nor the whole table is ordered in one
+    task.  Dates are never NULL here (M1).
     """
-    order = [F.col(c).asc_nulls_first() for c in CUMULATIVE_ORDER]
-    out = running_sum(recon, F.abs(F.col("source_vs_gl_variance")), order,
-                      out="cumulative_gl_variance", blocks=blocks, hot_rows=hot_rows,
-                      segment="transaction_date")
-    return out.withColumn("cumulative_gl_variance",
-                          F.col("cumulative_gl_variance").cast(MONEY_TOTAL))
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in CUMULATIVE_ORDER])
+    rows = recon.withColumn("__hex", F.substring(F.md5(text), 1, 3))
+    out = running_sum(rows, F.abs(F.col("source_vs_gl_variance")), [F.col(c).asc_nulls_first() for c in CUMULATIVE_ORDER],
+                      [("transaction_date", F.col("transaction_date").asc()), ("__hex", F.col("__hex").asc())],
+                      out="cumulative_gl_variance", nullable=False).drop("__hex")
+    return out.withColumn("cumulative_gl_variance", F.col("cumulative_gl_variance").cast(MONEY_TOTAL)).select(
+        *recon.columns, "cumulative_gl_variance")
 
 
 def priority_flag_expr() -> Column:
@@ -169,7 +174,7 @@ def status_rank_expr() -> Column:
 
 def status_rank_sort(recon: DataFrame) -> DataFrame:
     """M9: exceptions first in a fixed status order, larger variance first."""
-    tie = [F.col(c).asc_nulls_first() for c in CUMULATIVE_ORDER[1:] + ["transaction_date"]
+    tie = [F.col(c).asc_nulls_first() for c in CUMULATIVE_ORDER + ["transaction_date"]
            if c in recon.columns]
     return recon.orderBy(status_rank_expr(), F.abs(F.col("source_vs_gl_variance")).desc(), *tie)
 
@@ -183,26 +188,31 @@ DETAIL_COLUMNS = [
 ]
 
 
+def detail_report(recon: DataFrame) -> DataFrame:
+    """M6 from a reconciliation: running variance, priority, review order."""
+    return status_rank_sort(variance_priority_flag(cumulative_variance(recon))).select(*DETAIL_COLUMNS)
+
+
 def reconciliation_detail(sales: DataFrame, gl: DataFrame, bank: DataFrame,
                           source: str = "raw", collapse: bool = False) -> DataFrame:
     """M6: the row-level reconciliation report, in review order."""
-    recon = reconciliation(sales, gl, bank, source, collapse)
-    out = variance_priority_flag(cumulative_variance(recon))
-    return status_rank_sort(out).select(*DETAIL_COLUMNS)
+    return detail_report(reconciliation(sales, gl, bank, source, collapse))
 
 
 def reconciliation_view(recon: DataFrame, path: str | None = None,
                         view_name: str = "vw_three_way_reconciliation") -> DataFrame:
-    """The stored reconciliation the scorecard reads three times.
+    """The reconciliation with its period, published as a view.
 
-    With ``path`` it is written once as parquet partitioned by period (so
-    the scorecard prunes by month and the lineage is cut) and read back;
-    otherwise it is registered as a temporary view.
+    With ``path`` it is stored once as parquet partitioned by period and the
+    view reads the stored rows.  Rows are rebalanced by period first: a month
+    has as many files as its size needs, not one per task.  Only the months
+    that are written are replaced.
     """
     out = recon.withColumn("period", period(F.col("transaction_date")))
     if path:
-        out.write.mode("overwrite").partitionBy("period").parquet(path)
-        out = recon.sparkSession.read.parquet(path)
+        (out.hint("rebalance", F.col("period")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("period").parquet(path))
+        out = recon.sparkSession.read.parquet(path).withColumn("period", F.col("period").cast("string"))
     out.createOrReplaceTempView(view_name)
     return out
 

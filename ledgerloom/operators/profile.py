@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import labels as L
 from ..functions.dates import period
-from ..functions.money import money_sum, pct, round_double
+from ..functions.money import money_sum, pct
 
 
 def _null_count(c: str):
@@ -45,8 +45,8 @@ def completeness(sales: DataFrame) -> DataFrame:
         *[_null_count(c).alias(f"null_{c}") for c in
           ("transaction_id", "customer_id", "product_code", "transaction_date",
            "gross_revenue", "net_revenue", "tax_amount")],
-        round_double(pct(filled("transaction_id"), n), 2).alias("pct_complete_transaction_id"),
-        round_double(pct(filled("gross_revenue"), n), 2).alias("pct_complete_gross_revenue"),
+        pct(filled("transaction_id"), n, 2).alias("pct_complete_transaction_id"),
+        pct(filled("gross_revenue"), n, 2).alias("pct_complete_gross_revenue"),
     )
 
 
@@ -77,8 +77,8 @@ def revenue_sign_mix(sales: DataFrame) -> DataFrame:
     g = (sales.groupBy(sign_label().alias("revenue_category"))
          .agg(F.count(F.lit(1)).alias("transaction_count"),
               money_sum(F.col("gross_revenue")).alias("total_value")))
-    share = pct(F.col("transaction_count"), F.sum("transaction_count").over(Window.partitionBy()))
-    return (g.withColumn("pct_of_total", round_double(share, 2))
+    share = pct(F.col("transaction_count"), F.sum("transaction_count").over(Window.partitionBy()), 2)
+    return (g.withColumn("pct_of_total", share)
             .orderBy(F.col("total_value").desc_nulls_last()))
 
 
@@ -121,6 +121,6 @@ def quality_scorecard(sales: DataFrame) -> DataFrame:
     return q.select(
         "total_rows", "null_ids", "null_amounts", "null_dates", "duplicate_count",
         (F.col("total_rows") - F.col("distinct_ids")).alias("duplicate_rows"),
-        round_double(pct(ni, F.col("total_rows")), 2).alias("pct_null_ids"),
-        round_double(pct(na, F.col("total_rows")), 2).alias("pct_null_amounts"),
+        pct(ni, F.col("total_rows"), 2).alias("pct_null_ids"),
+        pct(na, F.col("total_rows"), 2).alias("pct_null_amounts"),
         status.alias("quality_status"))

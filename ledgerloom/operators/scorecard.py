@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import labels as L
 from ..functions.dates import period
-from ..functions.money import MONEY_TOTAL, money_sum, pct, pct_at_least, round_double
+from ..functions.money import MONEY_TOTAL, money_sum, pct, pct_at_least
+
 
 def _matched():
     return F.col("reconciliation_status") == L.MATCHED
@@ -52,12 +53,12 @@ def period_scorecard(recon: DataFrame, rag: tuple[float, float] = (L.RAG_GREEN_A
         "period", "total_transactions",
         t.alias("total_revenue"), "matched_revenue", "unreconciled_variance",
         "missing_in_gl", "gl_variance", "bank_variance", "exception_count",
-        round_double(pct(m, t), 2).alias("reconciliation_rate_pct"),
+        pct(m, t, 2, 2).alias("reconciliation_rate_pct"),
         (F.col("unreconciled_variance") - prior).cast(MONEY_TOTAL).alias("variance_change_vs_prior"),
         F.when(pct_at_least(m, t, rag[0]), L.RAG_GREEN)
          .when(pct_at_least(m, t, rag[1]), L.RAG_AMBER)
          .otherwise(L.RAG_RED).alias("rag_status"),
-        round_double(pct(F.col("exception_count"), F.col("total_transactions")), 2)
+        pct(F.col("exception_count"), F.col("total_transactions"), 2)
         .alias("exception_rate_pct"))
         .orderBy("period"))
 
@@ -99,7 +100,7 @@ def executive_summary(recon: DataFrame) -> DataFrame:
         F.date_format("d1", L.SUMMARY_DATE_FORMAT).alias("period_end"),
         F.format_number(F.col("n"), 0).alias("transactions_tested"),
         F.concat(F.lit(L.CURRENCY), F.format_number(F.col("total"), 2)).alias("total_revenue_tested"),
-        F.concat(F.format_number(round_double(pct(F.col("matched"), F.col("total")), 2), 2),
+        F.concat(F.format_number(pct(F.col("matched"), F.col("total"), 2, 2), 2),
                  F.lit("%")).alias("reconciliation_rate"),
         F.concat(F.lit(L.CURRENCY), F.format_number(F.col("unrec"), 2)).alias("total_unreconciled"),
         F.format_number(F.col("exc"), 0).alias("exception_count"))

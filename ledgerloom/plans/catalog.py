@@ -48,15 +48,22 @@ def _sgb(t: Tables):
 
 
 def _clean(t: Tables):
-    return dedup.sales_deduplicated(t["sales_transactions"])
+    """The clean table: the stored one, where a run has stored it."""
+    return t.get("sales_deduplicated") or dedup.sales_deduplicated(t["sales_transactions"])
 
 
 def _recon(t: Tables, source="raw"):
+    """The reconciliation: the stored one, where a run has stored it."""
     s, g, b = _sgb(t)
-    return matching.reconciliation(s, g, b, source=source)
+    return t.get(f"reconciliation_{source}") or matching.reconciliation(s, g, b, source=source)
 
 
 # ---- A: inputs -------------------------------------------------------------
+@query("a1_null_keys")
+def _a1(t):
+    return io.null_key_counts(t)
+
+
 @query("a3_table_row_counts")
 def _a3(t):
     return io.table_row_counts(t)
@@ -120,12 +127,12 @@ def _m5(t):
 
 @query("m6_reconciliation_detail")
 def _m6(t):
-    return matching.reconciliation_detail(*_sgb(t), source="raw")
+    return matching.detail_report(_recon(t))
 
 
 @query("m6_reconciliation_detail_dedup")
 def _m6d(t):
-    return matching.reconciliation_detail(*_sgb(t), source="dedup")
+    return matching.detail_report(_recon(t, "dedup"))
 
 
 @query("m7_cumulative_variance")
@@ -244,7 +251,7 @@ def _p6(t):
 def _n1(t):
     st = anomaly.category_stats(_clean(t))
     return st.select("product_category", "transaction_count",
-                     round_double(F.col("mean_net_revenue"), 2).alias("mean_net_revenue"),
+                     F.col("rounded_mean").alias("mean_net_revenue"),
                      round_double(F.col("std_net_revenue"), 2).alias("std_net_revenue"),
                      "min_net_revenue", "max_net_revenue")
 

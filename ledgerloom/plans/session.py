@@ -1,16 +1,12 @@
 """Session defaults for local runs and tests.
 
 On a cluster the session comes from the platform; only settings that are
-unset are filled in here.  The checkpoint directory in particular is read
-from ``spark.checkpoint.dir`` and only set (to a fresh scratch folder)
-when the session has none, as in tests.
+unset are filled in here.  The checkpoint folder is read from
+``spark.checkpoint.dir``; the library never makes one up.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -34,17 +30,15 @@ def get_spark(master: str | None = None, app: str = "ledgerloom",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the session; a scratch one only if unset."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the session names it; an error if none."""
     sc = spark.sparkContext
-    cur = sc.getCheckpointDir()
-    if cur:
-        return cur
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    target = conf_dir or tempfile.mkdtemp(prefix="ledgerloom-ckpt-", dir=os.environ.get("TMPDIR"))
-    sc.setCheckpointDir(target)
+    named = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(named)
     return sc.getCheckpointDir()

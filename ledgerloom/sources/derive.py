@@ -38,7 +38,8 @@ def derive_sales(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> Dat
           .join(p, l.l_partkey == p.p_partkey, "inner"))
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     price = _m(F.col("l_extendedprice"))
-    tdate = F.col("o_orderdate").cast("date")
+    tdate = F.when(ok % 503 != 9, F.col("o_orderdate").cast("date"))
+    unpriced = pk % 307 == 11
     contract = F.col("p_type").isin("ECONOMY", "PROMO")
     sales = j.select(
         F.when(ok % 997 != 5, F.concat(F.lit("T"), ok.cast("string"), F.lit("-"),
@@ -46,7 +47,7 @@ def derive_sales(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> Dat
          .alias("transaction_id"),
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("customer_id"),
         F.when(ok % 211 != 0, F.col("p_name")).alias("product_code"),
-        F.when(pk % 601 != 3, F.col("p_type")).alias("product_category"),
+        F.when(unpriced, F.lit("UNPRICED")).when(pk % 601 != 3, F.col("p_type")).alias("product_category"),
         tdate.alias("transaction_date"),
         F.floor(F.col("l_quantity")).cast("int").alias("quantity"),
         F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"),
@@ -54,13 +55,14 @@ def derive_sales(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> Dat
             .when(pk % 199 == 0, F.lit(0))
             .when((F.col("l_returnflag") == "R") & (ok % 13 == 0), -price)
             .otherwise(price)).alias("gross_revenue"),
-        _m(F.when(pk % 97 == 0, price * 8).otherwise(price)).alias("net_revenue"),
+        _m(F.when(unpriced | (ok % 401 == 7), F.lit(None)).when(pk % 97 == 0, price * 8).otherwise(price)).alias("net_revenue"),
         _m(price * F.col("l_tax").cast("decimal(4,2)")).alias("tax_amount"),
         F.when(contract & (pk % 89 != 1),
                F.date_add(tdate, F.when(pk % 83 == 0, 45).otherwise(0)))
          .alias("service_start_date"),
         F.when(contract & (pk % 89 != 0),
-               F.date_add(tdate, F.when(pk % 79 == 0, -20).otherwise(46 + pk % 700).cast("int")))
+               F.date_add(tdate, F.when(pk % 79 == 0, -20).when(pk % 271 == 13, 20_000)
+                          .otherwise(46 + pk % 700).cast("int")))
          .alias("service_end_date"),
         F.when(sk % 2 == 0, F.lit("SYSTEM_A")).otherwise(F.lit("SYSTEM_B")).alias("source_system"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("last_modified_date"),
@@ -69,7 +71,9 @@ def derive_sales(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> Dat
 
 
 def _order_key(transaction_id: Column) -> Column:
-    return F.split_part(F.substring(transaction_id, 2, 1 << 20), F.lit("-"), F.lit(1)).cast("bigint")
+    """The number inside an id, which decides on planted faults; other ids take their CRC."""
+    digits = F.split_part(F.substring(transaction_id, 2, 1 << 20), F.lit("-"), F.lit(1))
+    return F.coalesce(digits.try_cast("bigint"), F.crc32(transaction_id.cast("binary")))
 
 
 def fault_code(clean: DataFrame) -> DataFrame:
@@ -172,14 +176,12 @@ def derive_dimensions(customer: DataFrame, nation: DataFrame, region: DataFrame,
     return schemas.conform(cust, schemas.CUSTOMERS), schemas.conform(prod, schemas.PRODUCTS)
 
 
-def load_driver_tables(spark: SparkSession, sf_dir: str, store: str | None = None,
-                       buckets: int | None = None, prefix: str = "ll_") -> dict[str, DataFrame]:
+def load_driver_tables(spark: SparkSession, sf_dir: str, store: str | None = None) -> dict[str, DataFrame]:
     """The five input tables built from the driver's parquet at ``sf_dir``.
 
     Lazy by default.  With ``store`` (a folder on shared storage) the tables
     are stored in dependency order -- sales first, ledger and bank from the
-    stored sales -- bucketed on the transaction key (``io.store_inputs``),
-    and returned as scans of the stored tables.
+    stored sales (``io.store_inputs``) -- and returned as scans of them.
     """
     from ..operators.dedup import sales_deduplicated
     from .io import store_inputs
@@ -191,10 +193,8 @@ def load_driver_tables(spark: SparkSession, sf_dir: str, store: str | None = Non
         gl, bank = derive_ledger_and_bank(sales_deduplicated(sales))
         return {"sales_transactions": sales, "gl_postings": gl, "bank_settlements": bank,
                 "dim_customers": customers, "dim_products": products}
-    nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    t = store_inputs({"sales_transactions": sales}, store, nb, prefix)
+    t = store_inputs({"sales_transactions": sales}, store)
     gl, bank = derive_ledger_and_bank(sales_deduplicated(t["sales_transactions"]))
     t.update(store_inputs({"gl_postings": gl, "bank_settlements": bank,
-                           "dim_customers": customers, "dim_products": products},
-                          store, nb, prefix))
+                           "dim_customers": customers, "dim_products": products}, store))
     return t

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import labels as L
 from . import schemas
@@ -26,30 +26,36 @@ def load_inputs(spark: SparkSession, path: str, fmt: str = "parquet",
     return out
 
 
-def store_inputs(tables: dict[str, DataFrame], path: str, buckets: int,
-                 prefix: str = "") -> dict[str, DataFrame]:
-    """Write the input tables bucketed on their transaction key and return them.
+def store_inputs(tables: dict[str, DataFrame], path: str, prefix: str = "") -> dict[str, DataFrame]:
+    """Write the input tables as parquet under ``path`` (shared storage) and return scans of them.
 
-    Sales are bucketed by ``transaction_id``, ledger by ``source_reference``
-    and bank by ``reference_id``, all with the same bucket count, so the
-    dedup window, the three per-key aggregates and both match joins read
-    co-partitioned data and need no shuffle.  Tables are registered in the
-    session catalog (bucketing lives in table metadata); files go under
-    ``path`` (shared storage).
+    Files are balanced by size alone.  The tables are deliberately not bucketed on the
+    transaction key: a bucketed scan has no exchange, so a hot or NULL id would sit in one
+    bucket and one task, where adaptive execution cannot split it.
     """
     out = {}
     for name, df in tables.items():
-        key = schemas.BUCKET_KEYS.get(name)
-        table = f"{prefix}{name}"
-        w = df.repartition(buckets, key) if key else df
-        w = w.write.mode("overwrite").format("parquet").option("path", f"{path.rstrip('/')}/{name}")
-        if key:
-            w = w.bucketBy(buckets, key).sortBy(key)
-        w.saveAsTable(table)
-        out[name] = df.sparkSession.table(table)
+        to = f"{path.rstrip('/')}/{prefix}{name}"
+        df.hint("rebalance").write.mode("overwrite").parquet(to)
+        out[name] = df.sparkSession.read.parquet(to)
     return out
 
 
+def null_key_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """(tbl, key_column, null_rows): NULLs in the id columns that are declared NOT NULL."""
+    parts = [tables[t].agg(F.count_if(F.col(c).isNull()).alias("null_rows"))
+             .select(F.lit(t).alias("tbl"), F.lit(c).alias("key_column"), "null_rows")
+             for t, c in schemas.KEY_COLUMNS.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def normalised_keys(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables with transaction references upper-cased and right-trimmed, as a collation
+    that ignores case and trailing spaces would compare them."""
+    return {t: df.withColumn(c, F.upper(F.rtrim(F.col(c)))) if (c := schemas.REFERENCE_COLUMNS.get(t)) else df
+            for t, df in tables.items()}
+
+
 def register_views(tables: dict[str, DataFrame]) -> None:
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
@@ -72,10 +78,11 @@ _RETAIL_RENAMES = {
 def load_online_retail(spark: SparkSession, path: str, vat_rate: str = "0.20") -> DataFrame:
     """Online-retail invoice lines (CSV) as a sales table.
 
-    One invoice line becomes one sales row keyed by the invoice number, so
-    the matching step aggregates lines to invoices.  Gross is quantity times
-    price; net and tax split it at ``vat_rate``; the country stands in for
-    the product category.  Dates in either published layout are accepted.
+    One invoice line becomes one sales row keyed by the invoice number and the
+    line's place in the invoice (by product, time, quantity and price), so lines
+    are not taken for copies of each other.  Gross is quantity times price; net
+    and tax split it at ``vat_rate``; the country stands in for the product
+    category.  Dates in either published layout are accepted.
     """
     raw = spark.read.option("header", "true").csv(path)
     for old, new in _RETAIL_RENAMES.items():
@@ -88,8 +95,10 @@ def load_online_retail(spark: SparkSession, path: str, vat_rate: str = "0.20") -
     gross = (qty * price).cast("decimal(12,2)")
     net = (gross / (F.lit(1) + F.lit(vat_rate).cast("decimal(4,2)"))).cast("decimal(12,2)")
     cust = F.regexp_replace(F.col("Customer ID"), r"\.0$", "")
+    place = F.row_number().over(Window.partitionBy("Invoice").orderBy(
+        "StockCode", "InvoiceDate", "Quantity", "Price", "Customer ID", "Country"))
     df = raw.select(
-        F.col("Invoice").alias("transaction_id"),
+        F.concat_ws("-", F.col("Invoice"), place.cast("string")).alias("transaction_id"),
         cust.alias("customer_id"),
         F.col("StockCode").alias("product_code"),
         F.col("Country").alias("product_category"),

@@ -74,8 +74,8 @@ TABLES = {
 
 SALES_COLUMNS = [f.name for f in SALES.fields]
 
-# the transaction key each table is bucketed on when stored
-BUCKET_KEYS = {
+# the column of each table that refers to a transaction
+REFERENCE_COLUMNS = {
     "sales_transactions": "transaction_id",
     "gl_postings": "source_reference",
     "bank_settlements": "reference_id",

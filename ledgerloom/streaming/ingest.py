@@ -9,11 +9,8 @@ which suits a scheduled batch pipeline.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import SparkSession
 
-from ..plans.session import ensure_checkpoint_dir
 from ..sources import schemas
 
 
@@ -22,11 +19,11 @@ def append_new_sales(spark: SparkSession, landing_dir: str, table_path: str,
                      max_files_per_trigger: int | None = None) -> None:
     """Copy files that landed in ``landing_dir`` since the last run into ``table_path``.
 
-    Rows are cast to the sales schema.  The stream checkpoint defaults to a
-    folder under the session's shared ``spark.checkpoint.dir``; pass the same
-    ``checkpoint_location`` on every run so files are read once.
+    Rows are cast to the sales schema.  The stream's own record of files read and batches
+    written belongs to the table; by default it is kept beside it, under a name that every
+    run derives alike.
     """
-    ckpt = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex}"
+    ckpt = checkpoint_location or f"{table_path.rstrip('/')}_ingest_state"
     reader = spark.readStream.schema(schemas.SALES).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", "true")

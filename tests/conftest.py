@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,7 +12,8 @@ sys.path.insert(0, ROOT)
 def spark():
     from ledgerloom.plans.session import get_spark
     s = get_spark("local[4]", app="ledgerloom-tests",
-                  conf={"spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "4"})
+                  conf={"spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "4",
+                        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="ledgerloom-tests-")})
     yield s
     s.stop()
 

@@ -1,5 +1,6 @@
 """Edge cases and shape equivalences (scalable forms against direct forms)."""
 
+import calendar
 import os
 import tempfile
 from datetime import date, datetime
@@ -7,13 +8,14 @@ from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import Window, functions as F
-from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from ledgerloom.functions import labels as L
 from ledgerloom.functions.dates import iterated_month, month_boundaries
+from ledgerloom.functions.money import pct, round_double
 from ledgerloom.functions.running import running_sum
-from ledgerloom.operators import anomaly, deferred, matching, scorecard
-from ledgerloom.sources import io, schemas
+from ledgerloom.operators import anomaly, dedup, deferred, matching, scorecard
+from ledgerloom.plans import session
+from ledgerloom.sources import derive, io, schemas
 
 
 def test_month_boundaries(spark):
@@ -44,17 +46,65 @@ def test_worked_deferral_example(spark):
         12, D("200.00"), D("2200.00"))
 
 
-def test_schedule_end_before_start_and_cap(spark):
-    c = spark.createDataFrame(
-        [("A", "C", "P", D("10.00"), date(2024, 5, 10), date(2024, 4, 1))],
-        "transaction_id string, customer_id string, product_category string, "
-        "monthly_amount decimal(12,2), service_start_date date, service_end_date date")
+CONTRACT = ("transaction_id string, customer_id string, product_category string, "
+            "monthly_amount decimal(12,2), service_start_date date, service_end_date date")
+
+
+def test_schedule_end_before_start(spark):
+    c = spark.createDataFrame([("A", "C", "P", D("10.00"), date(2024, 5, 10), date(2024, 4, 1))], CONTRACT)
     got = deferred.monthly_schedule(c).collect()
     assert [r.recognition_month_start for r in got] == [date(2024, 5, 10)]
-    long = c.withColumn("service_end_date", F.lit(date(2070, 1, 1)))
-    with pytest.raises(Exception, match="more than 500"):
-        deferred.monthly_schedule(long).collect()
-    assert deferred.monthly_schedule(long, max_steps=600).count() == 548
+
+
+def test_long_schedules_are_whole_under_every_action(spark):
+    c = spark.createDataFrame([("A", "C", "P", D("10.00"), date(2024, 5, 10), date(2070, 1, 1)),
+                               ("B", "C", "P", D("1.00"), date(2000, 1, 31), date(2099, 12, 31))], CONTRACT)
+    ms = deferred.monthly_schedule(c)
+    assert len(ms.collect()) == ms.count() == 548 + 1200
+    sums = {r[0]: r[1] for r in ms.groupBy("transaction_id").agg(F.sum("monthly_amount")).collect()}
+    assert sums == {"A": D("5480.00"), "B": D("1200.00")}
+
+
+def test_step_limit_fails_under_every_action(spark):
+    c = spark.createDataFrame([("A", "C", "P", D("10.00"), date(2024, 5, 10), date(2070, 1, 1))], CONTRACT)
+    limited = deferred.monthly_schedule(c, max_steps=500)
+    for act in (limited.count, limited.collect, limited.agg(F.sum("monthly_amount")).collect,
+                limited.select("transaction_id").collect):
+        with pytest.raises(Exception, match="more than 500"):
+            act()
+    assert deferred.monthly_schedule(c, max_steps=547).count() == 548
+
+
+def test_iterated_month_equals_stepping(spark):
+    starts = [date(y, m, d) for y in (1999, 2000, 2023) for m in range(1, 13) for d in (1, 28, 29, 30, 31)
+              if d <= calendar.monthrange(y, m)[1]]
+    df = spark.createDataFrame([(s,) for s in starts], "s date").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(40))))
+    got = {(r.s, r.i): r.d for r in df.withColumn("d", iterated_month(F.col("s"), F.col("i"))).collect()}
+    for s in starts:
+        d = s
+        for i in range(41):
+            assert got[s, i] == d
+            y, m = d.year + d.month // 12, d.month % 12 + 1
+            d = date(y, m, min(d.day, calendar.monthrange(y, m)[1]))
+
+
+def test_clamped_deferral_keeps_refunds(spark):
+    rows = [("X", "C", "P", "S", date(2024, 3, 1), 1, D("1.00"), D(v), D(v), D("0.00"), date(2024, 3, 1), date(2025, 2, 28),
+             "SYSTEM_A", datetime(2024, 3, 1)) for v in ("2000.00", "-2000.00")]
+    early = ("Y", "C", "P", "S", date(2024, 1, 1), 1, D("1.00"), D("100.00"), D("100.00"), D("0.00"), date(2024, 6, 1), date(2024, 8, 1),
+             "SYSTEM_A", datetime(2024, 3, 1))
+    df = spark.createDataFrame([*rows, early], schemas.SALES)
+    got = sorted(r.deferred_to_future for r in deferred.deferred_lines(df, clamp=True).collect())
+    assert got == [D("-1833.33"), D("100.00"), D("1833.33")]
+
+
+def test_ratios_are_rounded_once(spark):
+    df = spark.createDataFrame([(D("1.00"), D("800.00"), 1), (D("-1.00"), D("800.00"), 2), (D("2.65"), D("3.00"), 3), (D("1.00"), D("0.00"), 4)],
+                               "a decimal(38,2), b decimal(38,2), k int")
+    got = [r[0] for r in df.orderBy("k").select(pct(F.col("a"), F.col("b"), 2, 2)).collect()]
+    assert got == [0.13, -0.13, 88.33, None]
+    z = spark.createDataFrame([(-0.265499962,)], "z double").select(round_double(F.col("z"), 3)).first()[0]
+    assert z == -0.265
 
 
 def _recon_row(spark, src, gl, bank, post_lag):
@@ -110,38 +160,22 @@ def test_one_row_and_constant_category_have_null_z(spark):
     assert got == {"A": (None, 0.0), "B": (None, 0.0), "C": (None, 0.0)}
 
 
-@pytest.mark.parametrize("blocks,hot_rows", [(1, 100), (3, 100), (16, 100), (16, 10 ** 9),
-                                             (4, 0)])
-def test_running_sum_matches_window_under_skew(spark, blocks, hot_rows):
+def test_running_sum_matches_window_under_skew(spark):
     # one hot key holds most rows; keys include NULL; order key is complete
-    data = [("hot" if i % 10 else (None if i % 20 == 0 else f"k{i % 7}"), i, (i * 37) % 11)
+    data = [("hot" if i % 10 else (None if i % 20 == 0 else f"k{i % 7}"), i // 400, i // 100 if i % 3 else None, i, (i * 37) % 11)
             for i in range(3000)]
-    df = spark.createDataFrame(data, "g string, o int, v int")
-    got = running_sum(df, F.col("v"), [F.col("o").asc()], partition_by=["g"], out="run",
-                      total_out="tot", blocks=blocks, hot_rows=hot_rows)
-    w = Window.partitionBy("g").orderBy("o")
-    ref = df.select("g", "o", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0))
-                    .alias("run"), F.sum("v").over(Window.partitionBy("g")).alias("tot"))
-    assert got.select("g", "o", "run", "tot").exceptAll(ref).count() == 0
-    assert ref.exceptAll(got.select("g", "o", "run", "tot")).count() == 0
-    flat = running_sum(df, F.col("v"), [F.col("o").asc()], out="run", blocks=blocks)
-    ref2 = df.select("o", F.sum("v").over(Window.orderBy("o").rowsBetween(
-        Window.unboundedPreceding, 0)).alias("run"))
-    assert flat.select("o", "run").exceptAll(ref2).count() == 0
-    # segmented: a coarse leading key (most rows on one "day") then the fine key
-    seg = df.withColumn("day", F.when(F.col("o") % 5 == 0, F.col("o") % 3).otherwise(F.lit(7)))
-    order = [F.col("day").asc_nulls_first(), F.col("o").asc()]
-    got3 = running_sum(seg, F.col("v"), order, out="run", total_out="tot", blocks=blocks,
-                       hot_rows=hot_rows, segment="day")
-    ref3 = seg.select("o", F.sum("v").over(Window.orderBy("day", "o").rowsBetween(
-        Window.unboundedPreceding, 0)).alias("run"), F.sum("v").over(Window.partitionBy())
-        .alias("tot"))
-    assert got3.select("o", "run", "tot").exceptAll(ref3).count() == 0
-    assert got3.count() == seg.count()
+    df = spark.createDataFrame(data, "g string, a int, b int, o int, v int")
+    levels = [("a", F.col("a").desc()), ("b", F.col("b").asc_nulls_last())]
+    got = running_sum(df, F.col("v"), [F.col("o").asc()], levels, partition_by=["g"], out="run", total_out="tot").select("g", "o", "run", "tot")
+    w = Window.partitionBy("g").orderBy(F.col("a").desc(), F.col("b").asc_nulls_last(), "o").rowsBetween(Window.unboundedPreceding, 0)
+    ref = df.select("g", "o", F.sum("v").over(w).alias("run"), F.sum("v").over(Window.partitionBy("g")).alias("tot"))
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+    flat = running_sum(df, F.col("v"), [F.col("o").asc()], levels[:1], out="run", nullable=False).select("o", "run")
+    ref = df.select("o", F.sum("v").over(Window.orderBy(F.col("a").desc(), "o").rowsBetween(Window.unboundedPreceding, 0)).alias("run"))
+    assert flat.exceptAll(ref).count() == 0 and flat.count() == 3000
 
 
 def test_dedup_invariants_with_hot_id(spark):
-    from ledgerloom.operators import dedup
     base = datetime(2024, 1, 1)
     data = [("HOT" if i % 3 else f"T{i}", "C", None, "X", date(2024, 1, 1), 1, D("1.00"),
              D("1.00"), D(str(i)), D("0.00"), None, None, "SYSTEM_A",
@@ -151,23 +185,16 @@ def test_dedup_invariants_with_hot_id(spark):
     assert clean.count() == sales.select("transaction_id").distinct().count()
     hot = clean.filter(F.col("transaction_id") == "HOT").first()
     assert hot.net_revenue == D("599.00")          # newest modified row is kept
-    for hot_rows in (50, 10_000):   # blocked path for the hot id / plain window
-        prev = dedup.dedup_preview(sales, hot_rows=hot_rows)
-        assert prev.count() == 400
-        assert sorted(r.row_number for r in prev.collect()) == list(range(1, 401))
-        kept = prev.filter(F.col("dedup_action") == "KEEP").first()
-        assert kept.net_revenue == D("599.00")
-    prev = dedup.dedup_preview(sales, hot_rows=50)
-    assert prev.filter(F.col("dedup_action") == "KEEP").count() == 1
-    rn = sorted(r.row_number for r in prev.collect())
-    assert rn == list(range(1, 401))
-    audit = dedup.dedup_audit_log(sales, datetime(2024, 2, 1), hot_rows=50)
+    prev = dedup.dedup_preview(sales)
+    assert prev.count() == 400
+    assert sorted(r.row_number for r in prev.collect()) == list(range(1, 401))
+    assert [r.net_revenue for r in prev.filter(F.col("dedup_action") == "KEEP").collect()] == [D("599.00")]
+    audit = dedup.dedup_audit_log(sales, datetime(2024, 2, 1))
     assert audit.count() == 399
     assert audit.join(clean, ["transaction_id", "last_modified_date"], "left_semi").count() == 0
 
 
 def test_keep_null_keys_option(spark):
-    from ledgerloom.operators import dedup
     data = [(None, "C", None, "X", date(2024, 1, 1), 1, D("1.00"), D("1.00"), D("1.00"),
              D("0.00"), None, None, "SYSTEM_A", datetime(2024, 1, i + 1)) for i in range(3)]
     sales = spark.createDataFrame(data, schemas.SALES)
@@ -184,6 +211,10 @@ def test_collapse_gives_one_row_per_id(fx):
     one = matching.reconciliation(s, g2, b, collapse=True).filter(
         F.col("transaction_id") == "TXN-002")
     assert fan.count() == 2 and one.count() == 1
+    later = s.filter(F.col("transaction_id") == "TXN-002").withColumn("transaction_date", F.date_add("transaction_date", 40))
+    rows = matching.reconciliation(s.unionByName(later), g2, b, collapse=True).filter(F.col("transaction_id") == "TXN-002").collect()
+    net = s.filter(F.col("transaction_id") == "TXN-002").first().net_revenue
+    assert [r.source_net for r in rows] == [2 * net]
 
 
 def test_sinks_and_view(spark, fx):
@@ -192,30 +223,74 @@ def test_sinks_and_view(spark, fx):
                                     fx["bank_settlements"])
     v = matching.reconciliation_view(recon, path=os.path.join(out, "recon"))
     assert v.count() == 13 and "period" in v.columns
-    assert sorted(os.listdir(os.path.join(out, "recon")))[:1] == ["._SUCCESS.crc"] or True
+    files = [f for _, _, names in os.walk(os.path.join(out, "recon")) for f in names if f.endswith(".parquet")]
+    assert len(files) == 3  # one for each of the three months
+    matching.reconciliation_view(recon.filter("month(transaction_date) = 1"), path=os.path.join(out, "recon"))
+    assert spark.read.parquet(os.path.join(out, "recon")).count() == 13  # other months stay
     assert spark.table("vw_three_way_reconciliation").count() == 13
     io.write_outputs(scorecard.period_scorecard(recon), os.path.join(out, "sc"),
                      partition_by=["period"])
     assert spark.read.parquet(os.path.join(out, "sc")).count() == 3
-    t = io.load_inputs  # noqa: F841 - exercised below
     for name, df in fx.items():
         df.write.parquet(os.path.join(out, "in", f"{name}.parquet"))
     loaded = io.load_inputs(spark, os.path.join(out, "in"))
     assert {k: v.count() for k, v in loaded.items()} == {k: v.count() for k, v in fx.items()}
 
 
-def test_online_retail_loader(spark):
+def test_online_retail_lines_through_the_match(spark):
     d = tempfile.mkdtemp(prefix="ledgerloom-retail-")
     p = os.path.join(d, "retail.csv")
+    lines = [("85123A", 6, "2.55"), ("71053", 6, "3.39"), ("71053", 6, "3.39"), ("84406B", 8, "2.75"), ("POST", 1, "18.00")]
     with open(p, "w") as f:
         f.write("InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n")
-        f.write("536365,85123A,WHITE HANGING HEART,6,12/1/2010 8:26,2.55,17850.0,United Kingdom\n")
-        f.write("536365,71053,WHITE METAL LANTERN,6,12/1/2010 8:26,3.39,17850.0,United Kingdom\n")
+        for code, n, price in lines:
+            f.write(f"536365,{code},THING,{n},12/1/2010 8:26,{price},17850.0,United Kingdom\n")
+        f.write("C536379,D,Discount,-1,12/1/2010 9:41,27.50,14527.0,United Kingdom\n")
     df = io.load_online_retail(spark, p)
-    assert df.schema == schemas.SALES or [f.name for f in df.schema] == schemas.SALES_COLUMNS
-    r = df.orderBy("product_code").first()
-    assert (r.transaction_id, r.customer_id, r.transaction_date, r.gross_revenue) == (
-        "536365", "17850", date(2010, 12, 1), D("20.34"))
-    assert r.net_revenue + r.tax_amount == r.gross_revenue
-    src = matching.source_aggregated(df).first()
-    assert src.line_item_count == 2
+    assert [f.name for f in df.schema] == schemas.SALES_COLUMNS
+    rows = df.filter(F.col("customer_id") == "17850").orderBy("transaction_id").collect()
+    assert [r.transaction_id for r in rows] == [f"536365-{k}" for k in range(1, 6)]
+    assert sum(r.gross_revenue for r in rows) == D("95.98")
+    assert all(r.net_revenue + r.tax_amount == r.gross_revenue and r.transaction_date == date(2010, 12, 1) for r in rows)
+    clean = dedup.sales_deduplicated(df)
+    assert clean.count() == 6
+    gl, bank = derive.derive_ledger_and_bank(clean)
+    detail = matching.reconciliation_detail(df, gl, bank, source="dedup").collect()
+    assert len(detail) >= 6 and {r.transaction_id for r in detail} == {r.transaction_id for r in df.collect()}
+    assert all(abs(r.source_vs_gl_variance) <= 5 for r in detail)
+
+
+def test_null_keys_and_normalised_keys(spark, fx):
+    bad = dict(fx, sales_transactions=fx["sales_transactions"].withColumn(
+        "transaction_id", F.when(F.col("transaction_id") != "TXN-002", F.concat(F.lower("transaction_id"), F.lit("  ")))))
+    got = {r.tbl: r.null_rows for r in io.null_key_counts(bad).collect()}
+    assert got == {"sales_transactions": 1, "gl_postings": 0, "bank_settlements": 0, "dim_customers": 0, "dim_products": 0}
+    fixed = io.normalised_keys(bad)["sales_transactions"]
+    assert {r[0] for r in fixed.select("transaction_id").collect()} >= {"TXN-001", None}
+
+
+def test_a_session_without_shared_folder_is_an_error():
+    class Unset:
+        class sparkContext:  # noqa: N801
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default: default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Unset)
+
+
+def test_stored_inputs_spread_a_hot_id(spark):
+    """90% of the rows on one id: no scan task of the stored table holds more than its share."""
+    df = spark.range(200_000, numPartitions=8).select(
+        F.when(F.col("id") % 10 > 0, F.lit("HOT")).otherwise(F.concat(F.lit("T"), "id")).alias("transaction_id"),
+        F.md5(F.col("id").cast("string")).alias("customer_id"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500k")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        stored = io.store_inputs({"hot": df}, tempfile.mkdtemp(prefix="ledgerloom-hot-"))["hot"]
+        sizes = [r["count"] for r in stored.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) >= 4 and max(sizes) <= 0.4 * 200_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -1,10 +1,9 @@
-"""Plan checks: shuffle-free match on bucketed inputs, no Python UDFs,
-no cartesian products, single-partition steps only over bounded tables."""
+"""Plan checks with broadcasts off, that is the joins used at scale: no Python, no cartesian
+products, single-partition steps over bounded tables only, and no shuffle by category alone."""
 
 import contextlib
 import io
-import os
-import tempfile
+import re
 
 import pytest
 
@@ -12,24 +11,17 @@ from ledgerloom.plans import catalog
 from ledgerloom.sources import derive
 
 SF = "/root/testdata/sf0.001"
-pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
-# queries whose single-partition step runs over a bounded table: a one-row
-# global aggregate, one row per month or per day, or the four sign buckets
-BOUNDED_SINGLE_PARTITION = {
-    "a3_table_row_counts", "d5_dedup_validation", "p1_source_overview", "p2_completeness",
-    "p4_revenue_sign_mix", "p6_quality_scorecard", "s2_period_scorecard",
-    "s2_period_scorecard_dedup", "s4_executive_summary", "s4_executive_summary_dedup",
-    "m6_reconciliation_detail", "m6_reconciliation_detail_dedup", "m7_cumulative_variance",
-}
-SHUFFLE_FREE = {"m1_source_aggregated", "m2_gl_aggregated", "m3_bank_aggregated",
-                "m4_three_way_join", "m5_reconciliation_status", "d4_sales_deduplicated"}
+#: what a single-partition step may stand on: aggregates with one row in all, per month, per
+#: day, per system or per sign bucket
+BOUNDED = ("HashAggregate", "SortAggregate", "Project", "Sort", "Window", "Filter", "AQEShuffleRead", "ObjectHashAggregate")
 
 
 @pytest.fixture(scope="module")
-def stored(spark):
-    store = tempfile.mkdtemp(prefix="ledgerloom-plans-")
-    return derive.load_driver_tables(spark, SF, store=store, buckets=4, prefix="plan_")
+def stored(spark, tmp_path_factory):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield derive.load_driver_tables(spark, SF, store=str(tmp_path_factory.mktemp("inputs")))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def _plan(df) -> str:
@@ -42,10 +34,21 @@ def _plan(df) -> str:
 @pytest.mark.parametrize("name", sorted(catalog.OPS))
 def test_plan_shape(stored, name):
     plan = _plan(catalog.OPS[name](stored))
-    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
-                "BroadcastNestedLoopJoin"):
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastHashJoin", "Scan ExistingRDD"):
         assert bad not in plan
-    if name not in BOUNDED_SINGLE_PARTITION:
-        assert "SinglePartition" not in plan
-    if name in SHUFFLE_FREE:
-        assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "SinglePartition" in line:  # only aggregated rows reach it
+            below = re.sub(r"^[^A-Za-z]*", "", lines[i + 1])
+            assert below.startswith(BOUNDED), f"{name}: {below}"
+            assert any("Aggregate" in x for x in lines[i + 1:i + 4]), f"{name}: {below}"
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(catalog.OPS) if re.match(r"n\d", n)])
+def test_no_rows_are_dealt_by_the_few_categories_alone(stored, name):
+    lines = _plan(catalog.OPS[name](stored)).splitlines()
+    for i, line in enumerate(lines):
+        alone = re.search(r"Exchange hashpartitioning\((coalesce\()?product_category#\d+(, \), isnull\(product_category#\d+\))?, \d+\)", line)
+        if alone:
+            below = re.sub(r"^[^A-Za-z]*", "", lines[i + 1])
+            assert re.match("HashAggregate|SortAggregate|Project|ObjectHashAggregate", below), f"{name}: {below}"
