@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB SQL oracle on the sf0.001 tables."""
+"""Every analysis query against its DuckDB SQL oracle on the sf0.001 tables."""
 
 import os
 from collections import Counter
@@ -8,6 +8,7 @@ import pytest
 duckdb = pytest.importorskip("duckdb")
 
 import __spark_entry__ as E  # noqa: E402
+from ledgerloom.plans import catalog  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
@@ -33,7 +34,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     sql = E.oracle_sql().get(name)
