@@ -6,8 +6,9 @@ windows of ``WINDOW`` bytes from beginning to end (each overlaps the next by the
 width, so no filter position is lost); its probabilities are the windows' mean, weighted by
 their bytes.
 
-Training takes a bounded sample: of each language the ``DOCS_PER_LANG`` documents with the
-smallest hashes, and up to ``WINDOWS_PER_DOC`` evenly spaced windows of each.  Only text and
+Training takes a bounded sample: of each of the ``MOST_LANGS`` most frequent languages about
+``DOCS_PER_LANG`` documents, drawn by a hash of their doc_id (one text of a repeated one), and
+up to ``WINDOWS_PER_DOC`` evenly spaced windows of each.  Only text and
 non-null lang of documents with ``crc32(doc_id) mod 3 <> 1`` are learned from; the network
 sees bytes alone.  A null doc_id is neither learned from nor held out.
 
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .storage import fresh_name
 
@@ -33,11 +34,12 @@ TAPS = 4
 WIDTHS = (2, 3, 4)
 FILTERS = 12  # of each width
 EMBED = 8
+MOST_LANGS = 256
 DOCS_PER_LANG = 400
 WINDOWS_PER_DOC = 6
 EPOCHS = 8
 BATCH = 128
-MIN_SCORE = 0.3
+MIN_SCORE = 0.0
 
 
 class ByteCNN:
@@ -142,9 +144,14 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame) -> ByteCNN | None:
     """A network trained on a bounded sample of ``docs``; None if there is nothing to learn."""
     known = docs.select("doc_id", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    first = Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")
-    known = known.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= DOCS_PER_LANG).select(F.col("doc_id").alias("id"), F.col("lang").alias("of"))
-    texts = docs.select("doc_id", "lang", "text").join(known, (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of"))).select("doc_id", "lang", "text")
+    # distinct ids per language first, so that repeated rows neither fill nor multiply the sample
+    known = known.distinct()
+    langs = known.groupBy("lang").agg(F.count("*").alias("docs")).orderBy(F.desc("docs"), "lang").limit(MOST_LANGS)
+    draw = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("long") / float(1 << 32)
+    known = known.join(langs, "lang").where(draw * F.col("docs") < DOCS_PER_LANG)
+    known = known.select(F.col("doc_id").alias("id"), F.col("lang").alias("of"))
+    texts = docs.select("doc_id", "lang", "text").join(known, (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of")))
+    texts = texts.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,7 +209,8 @@ def predict(docs: DataFrame) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs`` with a language: letters, and a score of ``min_score`` at least."""
+    """The rows of ``docs`` with a language: a text that is not ``und``, and a score of at least
+    ``min_score`` (by default any: a low score alone does not make a text unclean)."""
     into = fresh_name(docs, "language")
     found = with_language(docs, fit(docs), into)
     return found.where(f"{into}.lang_pred <> 'und' AND {into}.score >= {min_score}").drop(into)
