@@ -142,8 +142,8 @@ def near_copy_classes(docs: DataFrame, num: int = 80, den: int = 100, rows_per_b
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = saved(docs.mapInArrow(ngram_join.set_sums(WIDTH), "doc_id long, n long, s1 long, s2 long"))
     runs = (docs.select("text").mapInArrow(_bands(rows_per_band), "token long, n long, s1 long")
-            .repartition("token").sortWithinPartitions("token", "n", "s1").mapInArrow(ngram_join.runs(num, den), "leader long, s1 long"))
-    return ngram_join.by_units(docs, rows, runs, WIDTH, num, den).select("doc_id", F.col("component_id").alias("class_id"))
+            .repartition("token").sortWithinPartitions("token", "n", "s1").mapInArrow(ngram_join.runs(num, den), "leader long, s1 long, times long"))
+    return ngram_join.by_units(docs, rows, runs, WIDTH, num, den, F.lit(1)).select("doc_id", F.col("component_id").alias("class_id"))
 
 
 def _bands(rows_per_band: int):

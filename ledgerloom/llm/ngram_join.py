@@ -6,8 +6,9 @@ at least ``num / den``.  The join is exact: no link between different texts is l
 1. *Sets.*  One scan gives every document's set size and a 128-bit sum over its shingles,
    and counts shingles in a table of fixed size.  Equal sets form a class, which the
    smallest doc_id represents; from here on copies cost nothing.
-2. *Work units.*  Two sets at the threshold share a shingle among the first
-   ``n - ceil(t n) + 1`` of each in any common order (the prefix principle).  The order puts
+2. *Work units.*  Two sets at the threshold share ``k`` shingles among the first
+   ``n - ceil(t n) + k`` of each in any common order (the prefix principle); ``k`` grows with
+   the set, and a set with fewer shared ones than its smallest partner's ``k`` is out.  The order puts
    shingles of frequent slots last, so common passages hardly ever enter a prefix.  Sorted
    runs of (shingle, set) are streamed; all sets of a run join the unit named by the run's
    smallest set.  Near copies share nearly all runs, so a set is in few units.
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import components
 from .storage import saved
@@ -43,6 +44,7 @@ BITMAP_WORDS = 32  # 2,048 bits per set or node
 FANOUT = 8
 BLOCK_SHINGLES = 500_000  # about 4 MB of hashes in a block
 TASK_SHINGLES = 1_500_000  # units handled by one traversal
+SHARED_STEP = 50  # one more shared prefix shingle is asked for every so many shingles of a set
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -63,23 +65,26 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     level = docs.sparkSession.sparkContext.broadcast(level)
 
     found = (docs.select("text").mapInArrow(_prefixes(width, num, den, level), "token long, n long, s1 long")
-             .repartition("token").sortWithinPartitions("token", "n", "s1").mapInArrow(runs(num, den), "leader long, s1 long"))
-    return by_units(docs, rows, found, width, num, den)
+             .repartition("token").sortWithinPartitions("token", "n", "s1").mapInArrow(runs(num, den), "leader long, s1 long, times long"))
+    smallest = F.ceil(F.col("n") * num / den)  # of a partner
+    return by_units(docs, rows, found, width, num, den, 1 + F.floor(smallest / SHARED_STEP))
 
 
-def by_units(docs: DataFrame, rows: DataFrame, found: DataFrame, width: int, num: int, den: int) -> DataFrame:
+def by_units(docs: DataFrame, rows: DataFrame, found: DataFrame, width: int, num: int, den: int, least: Column) -> DataFrame:
     """Links decided within work units; see the module's text, steps 2 to 4.
 
     docs: doc_id, text.  rows: doc_id and its set's size and sums n, s1, s2.  found: leader, s1
-    of the sets that belong to a unit, with repeats.  Returns doc_id, n_shingles, component_id.
+    of the sets that belong to a unit, and by how many runs (times).  least: how many runs a
+    set of size n must be part of.  Returns doc_id, n_shingles, component_id.
     """
+    found = saved(found.groupBy("leader", "s1").agg(F.sum("times").alias("times")))
     classes = rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id"))
-    members = (found.groupBy("leader", "s1").agg(F.count("*").alias("times"))
-               .join(classes.where("class_id IS NOT NULL").select("s1", "class_id", "n"), "s1")
-               .select("leader", "class_id", "n", "times"))
-    units = saved(members)
+    runs_of = found.groupBy("s1").agg(F.sum("times").alias("runs"))
+    able = classes.where("class_id IS NOT NULL").join(runs_of, "s1").where(F.col("runs") >= least).select("s1", "class_id", "n")
+    units = saved(found.join(able, "s1").select("leader", "class_id", "n", "times"))
     sizes = units.groupBy("leader").agg(
-        F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).alias("blocks"), F.max_by("class_id", F.struct("times", "class_id")).alias("hub"))
+        F.count("*").alias("members"), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).alias("blocks"),
+        F.max_by("class_id", F.struct("times", "class_id")).alias("hub")).where("members > 1").drop("members")
     placed = units.join(sizes, "leader").withColumn("block", F.pmod(F.xxhash64("class_id"), "blocks"))
     hubs = sizes.where("blocks > 1").select(
         "leader", F.col("hub").alias("class_id"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
@@ -179,7 +184,7 @@ def _prefixes(width: int, num: int, den: int, level):
                     if not len(s) or (key := set_sums_of(s)[0]) in done:
                         continue
                     done.add(key)
-                    p = len(s) - _need(len(s), num, den) + 1
+                    p = len(s) - _need(len(s), num, den) + 1 + len(s) // SHARED_STEP
                     often = level.value[(s >> U64(64 - SLOT_BITS)).astype(np.int64)].astype(U64)
                     rank = often << U64(56) | (U64(255) - np.minimum(size, 255).astype(U64)) << U64(48) | mix(s, 3) >> U64(16)
                     tokens.append(s[np.argpartition(rank, p - 1)[:p]] if p < len(s) else s)
@@ -194,7 +199,7 @@ def _prefixes(width: int, num: int, den: int, level):
 
 
 def runs(num: int, den: int):
-    """(first set, set) of every run of one token that holds at least two sets.
+    """(first set, set, number of runs) over runs of one token that hold at least two sets.
 
     Rows come sorted by (token, n, s1).  A run ends where the next set is too large to link
     with the one before it.
@@ -220,8 +225,8 @@ def runs(num: int, den: int):
             send = first[has & unsent]
             pairs = np.stack((np.r_[send, of[other]], np.r_[send, s[other]]), 1)
             if len(pairs):
-                pairs = np.unique(pairs, axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["leader", "s1"])
+                pairs, times = np.unique(pairs, axis=0, return_counts=True)
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, (pairs[:, 0], pairs[:, 1], times))), ["leader", "s1", "times"])
             alone = not has[-1] and (alone if goes_on and len(starts) == 1 else True)
             token, n0, leader = t[-1], n[-1], first[-1]
     return run
