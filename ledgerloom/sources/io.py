@@ -56,11 +56,6 @@ def normalised_keys(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
             for t, df in tables.items()}
 
 
-def register_views(tables: dict[str, DataFrame]) -> None:
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-
-
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(tbl, rows) for sales, ledger and bank: one global count each."""
     parts = [tables[t].agg(F.count(F.lit(1)).alias("rows"))
