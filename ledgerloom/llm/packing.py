@@ -10,9 +10,9 @@ sequence of length L costs ``L + L * L / quadratic + fixed``: linear layers, att
 the sequence itself.  In the end every bin is downsized to the smallest permitted length
 that holds its contents.
 
-Shards have about ``shard_rows`` documents whatever the input, so memory is bounded and a
-shard wastes at most its last few bins.  Cutting and sizes are DataFrame functions; only
-(doc_id, size) is shuffled.
+Shards have about ``shard_rows`` documents whatever the input, and a shard that many rows of
+one doc_id swell is packed in several goes, so memory is bounded and a shard wastes at most
+its last few bins.  Cutting and sizes are DataFrame functions; only (doc_id, size) is shuffled.
 
 A document without words (null, empty or blank text) gets one row with null bin.  Rows that
 repeat a doc_id are packed like others.  An empty table gives an empty one.
@@ -48,40 +48,44 @@ def pack(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, shard_rows: int =
     pieces = sized.withColumn("piece", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("size") / top) - 1)))).select(
         "doc_id", F.col("piece").cast("long").alias("piece"),
         F.least(F.lit(top), F.col("size") - F.col("piece") * top).cast("long").alias("n_tokens"))
-    none = F.lit(None).cast("long")
-    empty = pieces.where("n_tokens = 0").select("*", none.alias("bin_id"), none.alias("bin_offset"), none.alias("bin_capacity"))
-    dealt = pieces.where("n_tokens > 0").withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
-    packed = (dealt.repartition("shard").sortWithinPartitions("shard", F.desc("n_tokens"), "doc_id", "piece")
-              .select("shard", "doc_id", "piece", "n_tokens").mapInArrow(_packer(lengths), OUT))
-    return packed.union(empty)
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
+    return (dealt.repartition("shard").sortWithinPartitions("shard", F.desc("n_tokens"), "doc_id", "piece")
+            .select("shard", "doc_id", "piece", "n_tokens").mapInArrow(_packer(lengths, 8 * shard_rows), OUT))
 
 
-def _packer(lengths: tuple[int, ...]):
+def _packer(lengths: tuple[int, ...], most_rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held = None, []
+        shard, held, rows, bins = None, [], 0, 0
         for batch in batches:
             at = batch.column(0).to_numpy()
             cut = np.flatnonzero(np.diff(at)) + 1
             for lo, hi in zip(np.r_[0, cut], np.r_[cut, len(at)]):
-                if hi > lo:
-                    if at[lo] != shard and held:
-                        yield _packed(shard, held, lengths)
-                        held = []
-                    shard = int(at[lo])
-                    held.append(batch.slice(lo, hi - lo))
+                for start in range(lo, hi, most_rows):
+                    part = batch.slice(start, min(hi, start + most_rows) - start)
+                    if held and (at[lo] != shard or rows + len(part) > most_rows):
+                        packed, opened = _packed(shard, bins, held, lengths)
+                        yield packed
+                        held, rows, bins = [], 0, bins + opened
+                    if at[lo] != shard:
+                        shard, bins = int(at[lo]), 0
+                    held.append(part)
+                    rows += len(part)
         if held:
-            yield _packed(shard, held, lengths)
+            yield _packed(shard, bins, held, lengths)[0]
     return run
 
 
-def _packed(shard: int, held: list[pa.RecordBatch], lengths: tuple[int, ...]) -> pa.RecordBatch:
+def _packed(shard: int, bins_before: int, held: list[pa.RecordBatch], lengths: tuple[int, ...]) -> tuple[pa.RecordBatch, int]:
+    """The rows with their bins, and the number of bins; rows without words come last and have none."""
     t = pa.Table.from_batches(held).combine_chunks()
     sizes = t.column("n_tokens").to_numpy()
-    bins, offsets, caps = best_fit(sizes, lengths)
+    none = sizes == 0
+    bins, offsets, caps = (np.r_[x, np.zeros(none.sum(), np.int64)] for x in best_fit(sizes[~none], lengths))
+    opened = int(bins.max()) + 1 if not none.all() else 0
     col = lambda name: t.column(name).combine_chunks()
-    return pa.RecordBatch.from_arrays(
-        [col("doc_id"), col("piece"), col("n_tokens"), pa.array((np.int64(shard) << 32) + bins), pa.array(offsets), pa.array(caps)],
-        ["doc_id", "piece", "n_tokens", "bin_id", "bin_offset", "bin_capacity"])
+    new = (pa.array(x, mask=none) for x in ((np.int64(shard) << 32) + bins_before + bins, offsets, caps))
+    return pa.RecordBatch.from_arrays([col("doc_id"), col("piece"), col("n_tokens"), *new],
+                                      ["doc_id", "piece", "n_tokens", "bin_id", "bin_offset", "bin_capacity"]), opened
 
 
 def best_fit(sizes: np.ndarray, lengths: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -139,6 +139,13 @@ def test_language_id_on_held_out_texts(docs_of):
     assert nothing[0]["lang_pred"] == "und" and nothing[0]["score"] == 0.0
 
 
+def test_repeated_rows_do_not_swell_the_training_sample(docs_of):
+    rows = [(3, "ka lo mi zu " * 9, "xx")] * 300 + [(k, "thr ing ould wh " * 9, "yy") for k in range(10, 30)]
+    kept = langid.fit(docs_of(rows))
+    assert kept is not None and set(kept.labels) <= {"xx", "yy"}
+    assert langid.predict(docs_of(rows)).count() == len(rows)
+
+
 def test_windows_cover_every_filter_position():
     for n in (1, 3, 4, 255, 256, 257, 509, 510, 5000):
         raw = bytes(i % 251 for i in range(n))
@@ -240,6 +247,18 @@ def test_packing_places_every_word_once(docs_of):
     assert packing.pack(docs_of([])).count() == 0
 
 
+def test_packing_of_one_doc_id_in_all_rows(docs_of):
+    got = packing.pack(docs_of([(7, "w w w")] * 200 + [(7, None)] * 50), lengths=(8, 16), shard_rows=4).collect()
+    assert sum(r["n_tokens"] for r in got) == 800 and sum(r["bin_id"] is None for r in got) == 50
+    used = defaultdict(list)
+    for r in got:
+        if r["bin_id"] is not None:
+            used[r["bin_id"], r["bin_capacity"]].append((r["bin_offset"], r["n_tokens"]))
+    assert len({b for b, _ in used}) == len(used)
+    for (_, capacity), pieces in used.items():
+        assert sorted(o for o, _ in pieces) == list(range(0, 4 * len(pieces), 4)) and 4 * len(pieces) <= capacity
+
+
 def test_best_fit_equals_a_plain_search():
     rnd = np.random.default_rng(1)
     sizes = -np.sort(-rnd.integers(1, 65, 200))
