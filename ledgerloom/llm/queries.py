@@ -133,3 +133,14 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+SQL["op10_warc_round_trip"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS response FROM p)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || substr(hex, 5 * (i // 4) + 1, 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31), 1)), '') AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM response THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM response THEN response END AS refers_to
+FROM r
+"""

@@ -24,7 +24,7 @@ def test_query(spark, name):
     if name not in queries.SQL:
         return
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "conversations"):
+    for table in ("documents", "embeddings", "conversations", "pages"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     rel = con.sql(queries.SQL[name])
     assert sorted(rel.columns) == sorted(df.columns)
