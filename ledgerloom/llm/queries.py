@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -144,3 +145,43 @@ SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
   CASE WHEN page_id IS DISTINCT FROM response THEN response END AS refers_to
 FROM r
 """
+
+
+def _pattern(template: str) -> str:
+    """A license template as a regular expression over words that each stand between two spaces."""
+    out = ""
+    for part in re.findall(r"<<[^>]*>>|[^<]+", template):
+        if part == "<<optional>>":
+            out += "(?:"
+        elif part == "<<end>>":
+            out += ")?"
+        elif part.startswith("<<any"):
+            out += f"(?: [^ ]+ ){{0,{part[5:-2].strip()}}}"
+        else:
+            out += "".join(f" {word} " for word in re.findall("[0-9a-z]+", part))
+    return out
+
+
+def _license_sql() -> str:
+    marks = {"".join(f" {w} " for w in phrase.split()): label for phrase, label in licenses.PHRASES.items()}
+    times = [f"(length(t) - length(replace(t, '{m}', ''))) // {len(m)}" for m in marks]
+    # words before the first place, and before the last one by way of the reversed text
+    first = [f"CASE WHEN contains(t, '{m}') THEN len(regexp_extract_all(left(t, instr(t, '{m}') - 1), ' [^ ]+ ')) END" for m in marks]
+    last = [f"CASE WHEN contains(t, '{m}') THEN n - {len(m.split())} - len(regexp_extract_all(left(reverse(t), instr(reverse(t), '{m[::-1]}') - 1), ' [^ ]+ ')) END"
+            for m in marks]
+    base = ", ".join(f"CASE WHEN contains(t, '{m}') THEN '{label}' END" for m, label in marks.items())
+    own = ", ".join(f"CASE WHEN regexp_matches(t, '{_pattern(x)}') THEN '{licenses.LABELS.get(name, name)}' END" for name, x in licenses.TEMPLATES.items())
+    joined = "array_to_string(list_sort(list_distinct(list_filter({}, lambda x: x IS NOT NULL))), ',')"
+    return f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+t AS (SELECT doc_id, len(ws) AS n, CASE WHEN len(ws) > 0 THEN ' ' || array_to_string(ws, '  ') || ' ' ELSE '' END AS t FROM w),
+f AS (SELECT doc_id, n, {' + '.join(times)} AS places, least({', '.join(first)}) AS a, greatest({', '.join(last)}) AS z, [{base}] AS base, [{own}] AS own FROM t)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(places AS BIGINT) AS n_base, CAST(a AS BIGINT) AS first_word, CAST(z AS BIGINT) AS last_word,
+  {joined.format('base')} AS base_labels, {joined.format('list_concat(base, own)')} AS labels,
+  CASE WHEN len(list_filter(own, lambda x: x IS NOT NULL)) > 0 THEN CAST(1 AS DOUBLE) WHEN places > 0 THEN CAST(0.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS score
+FROM f
+"""
+
+
+SQL["op6_license_scan"] = _license_sql()
