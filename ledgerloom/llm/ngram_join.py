@@ -22,9 +22,9 @@ at least ``num / den``.  The join is exact: no link between different texts is l
 
 Definitions: words are lower-cased (A-Z) runs of ``[^\\x20\\x09-\\x0D]``.  A text with fewer
 than ``width`` words has its whole word sequence as one shingle.  Null, empty and blank texts
-have the empty set and link with nothing.  Rows that repeat a doc_id count as one document
-each and link by their own texts; a null doc_id takes part and sorts after all others.
-Shingles are compared by 64-bit hashes.
+have the empty set and link with nothing.  Rows that repeat a doc_id are rows of one document, which
+links by each of its texts.  A row without doc_id has no component, or that of equal texts; it
+does not link otherwise.  Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -81,30 +81,31 @@ def by_units(docs: DataFrame, rows: DataFrame, found: DataFrame, width: int, num
     classes = rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id"))
     runs_of = found.groupBy("s1").agg(F.sum("times").alias("runs"))
     able = classes.where("class_id IS NOT NULL").join(runs_of, "s1").where(F.col("runs") >= least).select("s1", "class_id", "n")
-    units = saved(found.join(able, "s1").select("leader", "class_id", "n", "times"))
-    sizes = units.groupBy("leader").agg(
+    units = saved(found.join(able, "s1").select("leader", "class_id", "s1", "n", "times"))
+    # kept, so that the join below has two plain shuffles, of which a large unit can be split
+    sizes = saved(units.groupBy("leader").agg(
         F.count("*").alias("members"), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).alias("blocks"),
-        F.max_by("class_id", F.struct("times", "class_id")).alias("hub")).where("members > 1").drop("members")
+        F.max_by(F.struct("class_id", "s1"), F.struct("times", "class_id", "s1")).alias("hub")).where("members > 1").drop("members"))
     placed = units.join(sizes, "leader").withColumn("block", F.pmod(F.xxhash64("class_id"), "blocks"))
     hubs = sizes.where("blocks > 1").select(
-        "leader", F.col("hub").alias("class_id"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    work = placed.select("leader", "class_id", "block").union(hubs.select("leader", "class_id", "block")).distinct()
+        "leader", "hub.class_id", "hub.s1", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    work = placed.select("leader", "class_id", "s1", "block").union(hubs).distinct()
     joined = _tree_join(docs, work.withColumn("part", F.lit(0)).withColumn("root", F.col("class_id")), width, num, den)
     links = saved(joined)
     roots = saved(components(links))
 
     # units of several blocks: sets outside the largest component against every block
     large = placed.where("blocks > 1").join(roots.withColumnRenamed("node", "class_id"), "class_id", "left").select(
-        "leader", "class_id", "n", "block", "blocks", F.coalesce("root", "class_id").alias("root"))
+        "leader", "class_id", "s1", "n", "block", "blocks", F.coalesce("root", "class_id").alias("root"))
     core = large.groupBy("leader", "root").agg(F.count("*").alias("c")).groupBy("leader").agg(
         F.max_by("root", F.struct("c", "root")).alias("core"))
     rest = saved(large.join(core, "leader").where("root <> core"))
     if not rest.isEmpty():
         parts = rest.groupBy("leader").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).alias("parts"))
         every = large.join(parts, "leader").select(
-            "leader", "class_id", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "root")
+            "leader", "class_id", "s1", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "root")
         outer = rest.join(parts, "leader").select(
-            "leader", "class_id", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+            "leader", "class_id", "s1", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
             F.pmod(F.hash("class_id"), "parts").alias("part"), "root")
         more = _tree_join(docs, every.union(outer).distinct(), width, num, den)
         roots = saved(components(links.union(more)))
@@ -234,7 +235,7 @@ def runs(num: int, den: int):
 
 def _tree_join(docs: DataFrame, work: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """(a, b) links found in each (leader, block, part); ``root`` is the known component."""
-    texts = docs.join(work, docs["doc_id"] == work["class_id"]).select("leader", "block", "part", "class_id", "root", "text")
+    texts = docs.join(work, docs["doc_id"] == work["class_id"]).select("leader", "block", "part", "class_id", "s1", "root", "text")
     return (texts.repartition("leader", "block", "part").sortWithinPartitions("leader", "block", "part")
             .mapInArrow(_traverser(width, num, den), "a long, b long"))
 
@@ -242,18 +243,24 @@ def _tree_join(docs: DataFrame, work: DataFrame, width: int, num: int, den: int)
 def _traverser(width: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[tuple, int, int, np.ndarray]] = []
-        weight, last = 0, None
+        weight, last, seen = 0, None, set()
         for batch in batches:
             keys = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
-            ids, roots = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            for at, w in chunks(batch.column(5), SPACED):
+            ids, sums, roots = (batch.column(i).to_pylist() for i in range(3, 6))
+            for at, w in chunks(batch.column(6), SPACED):
                 for i, s in shingle_sets(w, width):
-                    key = keys[at + i]
-                    if weight >= TASK_SHINGLES and key != last:
-                        yield _links(held, num, den)
-                        held, weight = [], 0
-                    held.append((key, ids[at + i], roots[at + i], s))
-                    weight, last = weight + len(s) + BITMAP_WORDS, key
+                    key, row = keys[at + i], at + i
+                    if key != last:
+                        if weight >= TASK_SHINGLES:
+                            yield _links(held, num, den)
+                            held, weight = [], 0
+                        last, seen = key, set()
+                    # of rows that repeat a doc_id, one with the set that is meant
+                    if (ids[row], sums[row]) in seen or not len(s) or set_sums_of(s)[0] != sums[row]:
+                        continue
+                    seen.add((ids[row], sums[row]))
+                    held.append((key, ids[row], roots[row], s))
+                    weight += len(s) + BITMAP_WORDS
         if held:
             yield _links(held, num, den)
     return run

@@ -103,6 +103,14 @@ def test_empty_table_and_repeated_rows(docs_of):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [2, 9, None]
 
 
+def test_one_doc_id_in_very_many_rows(docs_of):
+    text = " ".join(f"w{i}" for i in range(50))
+    near = text.replace("w49", "x")
+    df = docs_of([(4, text)] * 300 + [(9, near), (11, near), (4, "a b c d e f g"), (2, "a b c d e f g")])
+    got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in ngram_join.jaccard_components(df, width=3, num=90, den=100).collect()}
+    assert got == {(4, 48): 4, (9, 48): 4, (11, 48): 4, (4, 5): 2, (2, 5): 2}
+
+
 def test_components_of_chains_and_stars(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (None, 3), (200, 100)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
