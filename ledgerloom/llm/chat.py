@@ -145,12 +145,19 @@ def read_back(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         now: _Conversation | None = None
         for batch in batches:
             done = []
-            for conv, ids, mask in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "input_ids", "loss_mask"))):
+            starts = batch.column("input_ids").offsets.to_numpy()
+            starts = starts - starts[0]
+            ids, mask = (batch.column(c).flatten().to_numpy() for c in ("input_ids", "loss_mask"))
+            seps = np.flatnonzero(ids == codec.sep)  # no role or text can hold one
+            if len(seps) != len(batch) or (ids[starts[:-1]] != codec.turn).any() or (ids[starts[1:] - 1] != codec.end).any():
+                raise ValueError("a turn lacks its marks")
+            for i, conv in enumerate(batch.column("conv_id").to_pylist()):
                 if now is None or now.conv != conv:
                     if now is not None:
                         done.append(now.result())
                     now = _Conversation(conv, codec)
-                now.add(ids, mask)
+                turn = slice(starts[i], starts[i + 1])
+                now.add(ids[starts[i] + 1:seps[i]], ids[seps[i] + 1:starts[i + 1] - 1], ids[turn][mask[turn] == 1])
             if done:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names)
         if now is not None:
@@ -166,12 +173,10 @@ class _Conversation:
         self.turns = self.loss_chars = self.chars = 0
         self.all, self.loss = hashlib.sha256(), hashlib.sha256()
 
-    def add(self, ids: list[int], mask: list[int]) -> None:
-        sep = ids.index(self.codec.sep)
-        if ids[0] != self.codec.turn or ids[-1] != self.codec.end:
-            raise ValueError("a turn lacks its marks")
-        role, text = self.codec.decode(ids[1:sep]), self.codec.decode(ids[sep + 1:-1])
-        learned = unescape(self.codec.decode([i for i, m in zip(ids, mask) if m]))
+    def add(self, role_ids: np.ndarray, text_ids: np.ndarray, learned_ids: np.ndarray) -> None:
+        role, text = (self.codec.decode(x.tolist()) for x in (role_ids, text_ids))
+        same = np.array_equal(learned_ids, text_ids)
+        learned = unescape(text if same else self.codec.decode(learned_ids.tolist()))
         self.turns += 1
         self.chars += len(role) + len(text) + sum(map(len, MARKS))
         self.all.update(f"{unescape(role)}\n{unescape(text)}\n".encode())
