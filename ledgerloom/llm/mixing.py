@@ -11,7 +11,8 @@ one row per source is ordered as a whole; documents are never windowed, and a ho
 summed by partial aggregates.
 
 A document is taken floor(rate) times, ``rate = target / source words``, and once more with
-probability equal to the fraction.  The draw is a hash of seed and doc_id, so reruns and
+probability equal to the fraction.  The targets are computed first and reach the documents by
+broadcast if there are at most ``MOST_BROADCAST`` sources, else by a shuffled join.  The draw is a hash of seed and doc_id, so reruns and
 repeated rows of a document agree.  Only DataFrame functions are used.
 
 Null text has 0 words.  A source without words has target 0 and is taken 0 times.  A null
@@ -23,10 +24,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .storage import fresh_name
+from .storage import fresh_name, saved
 
 WEIGHTS = (3, 1, 2)
 SEED = "mix-1"
+MOST_BROADCAST = 100_000  # sources
 
 
 def n_words(text: Column) -> Column:
@@ -63,7 +65,9 @@ def source_targets(sizes: DataFrame, share: tuple[int, int] = (3, 2), cap: int =
 def taken_copies(docs: DataFrame, into: str, share: tuple[int, int] = (3, 2), cap: int = 2, seed: str = SEED) -> DataFrame:
     """``docs`` with a struct ``into`` of size, source_size, target and copies."""
     docs = docs.withColumn(into, n_words(F.col("text")))
-    per = source_targets(docs.select("source", F.col(into).alias("size")), share, cap).select(F.struct("*").alias(f"{into}_per"))
+    per = saved(source_targets(docs.select("source", F.col(into).alias("size")), share, cap).select(F.struct("*").alias(f"{into}_per")))
+    if per.count() <= MOST_BROADCAST:  # a checked size; beyond it the join shuffles
+        per = F.broadcast(per)
     found = docs.join(per, docs["source"].eqNullSafe(per[f"{into}_per"]["source"]))
     target, total = F.col(f"{into}_per.target"), F.col(f"{into}_per.source_size")
     rate = F.when(total > 0, target / total).otherwise(F.lit(0.0))
