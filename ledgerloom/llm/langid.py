@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .storage import fresh_name
+from .storage import fresh_name, saved
 
 WINDOW = 256
 TAPS = 4
@@ -149,7 +149,9 @@ def fit(docs: DataFrame) -> ByteCNN | None:
     langs = known.groupBy("lang").agg(F.count("*").alias("docs")).orderBy(F.desc("docs"), "lang").limit(MOST_LANGS)
     draw = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("long") / float(1 << 32)
     known = known.join(langs, "lang").where(draw * F.col("docs") < DOCS_PER_LANG)
-    known = known.select(F.col("doc_id").alias("id"), F.col("lang").alias("of"))
+    # twice as many rows as are expected at most: a bound on what is broadcast
+    known = saved(known.select(F.col("doc_id").alias("id"), F.col("lang").alias("of")).limit(2 * MOST_LANGS * DOCS_PER_LANG))
+    known = F.broadcast(known)
     texts = docs.select("doc_id", "lang", "text").join(known, (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of")))
     texts = texts.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
