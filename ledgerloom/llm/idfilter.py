@@ -1,0 +1,51 @@
+"""A filter of fixed size over ids: rows it rules out need no shuffle to be told apart.
+
+The ids' hashes set bits in a table of 2^26 bits (8 MB), which is broadcast.  A row whose bit is
+unset surely has none of the ids.  The others *may* have one, and go through an exact join.  With
+ever more ids the table fills up and rules out fewer rows; results never depend on it.  A null
+id is never ruled out.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+
+from .textops import U64, mix
+
+BITS = 26
+
+
+def _places(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    h = mix(ids.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False).view(U64), 0x1D) >> U64(64 - BITS)
+    return (h >> U64(6)).astype(np.int64), U64(1) << (h & U64(63))
+
+
+class IdFilter:
+    def __init__(self, ids: DataFrame):
+        """``ids`` has one column of integers."""
+        def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                word, bit = _places(batch.column(0).drop_null())
+                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit.view(np.int64))], ["word", "bits"])
+
+        # at most 2^20 rows
+        found = ids.mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+        table = np.zeros(1 << (BITS - 6), U64)
+        table[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(U64)
+        self.table = ids.sparkSession.sparkContext.broadcast(table)
+
+    def rows(self, df: DataFrame, column: str, may_have: bool) -> DataFrame:
+        """The rows of ``df`` that may have one of the ids, or else those that surely have none."""
+        table = self.table
+
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = batch.column(column)
+                word, bit = _places(ids)
+                hit = ((table.value[word] & bit) != 0) | ids.is_null().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(hit == may_have))
+        return df.mapInArrow(pick, df.schema)

@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import components
+from .idfilter import IdFilter
 from .storage import saved
 from .textops import SPACED, U64, chunks, mix, shingle_sets, shingles, sized_shingle_sets
 
@@ -121,9 +122,12 @@ def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) ->
 
     Rows that repeat the kept doc_id with the same text are copies too; one of them stays.
     """
-    found = jaccard_components(docs, width=width, num=num, den=den)
+    found = saved(jaccard_components(docs, width=width, num=num, den=den).select("doc_id", "component_id"))
     out = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(out, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    again = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    suspects = IdFilter(out.union(again))  # only their texts are shuffled
+    rest = suspects.rows(docs, "doc_id", True).join(out, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    return suspects.rows(docs, "doc_id", False).unionByName(rest.select(docs.columns))
 
 
 def _need(n: int, num: int, den: int) -> int:
@@ -235,6 +239,7 @@ def runs(num: int, den: int):
 
 def _tree_join(docs: DataFrame, work: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """(a, b) links found in each (leader, block, part); ``root`` is the known component."""
+    docs = IdFilter(work.select("class_id")).rows(docs, "doc_id", True)
     texts = docs.join(work, docs["doc_id"] == work["class_id"]).select("leader", "block", "part", "class_id", "s1", "root", "text")
     return (texts.repartition("leader", "block", "part").sortWithinPartitions("leader", "block", "part")
             .mapInArrow(_traverser(width, num, den), "a long, b long"))
