@@ -15,7 +15,7 @@ from ledgerloom.llm.storage import new_folder, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without letters or without a likely language go."""
+    """Documents with a language; those without letters, and those the network takes for no language's, go."""
     return langid.keep_known(docs)
 
 

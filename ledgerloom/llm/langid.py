@@ -17,16 +17,23 @@ response is the sum of two table rows.
 
 A text that is null or has no letter is ``und`` with score 0; so is every text if nothing can
 be learned.  Repeated rows are judged alike; an empty table gives an empty one.
+
+As a pipeline stage (``keep_known``) the network learns one class more: texts without a language
+(``noise.py``).  A text goes if that class is likelier than a limit, which is a half or what nearly
+all (``PASSING``) of the sample's labelled texts stay below, whichever is more.  The shorter a
+text, the less it says, so there is a limit for each of several lengths, from pieces of that length.
 """
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .noise import noise
 from .storage import fresh_name, saved
 
 WINDOW = 256
@@ -39,7 +46,10 @@ DOCS_PER_LANG = 400
 WINDOWS_PER_DOC = 6
 EPOCHS = 8
 BATCH = 128
-MIN_SCORE = 0.0
+PASSING = 0.995  # share of the labelled texts that is to pass
+PIECES = (8, 16, 32, 64, 128, WINDOW)  # bytes of the pieces that the limits are set by
+LEAST_ROWS, MOST_NOISE = 4000, 20_000  # rows of a reject class's training
+TRIALS = 2000  # labelled pieces of each length
 
 
 class ByteCNN:
@@ -47,6 +57,7 @@ class ByteCNN:
         rng = np.random.default_rng(seed)
         n = FILTERS * len(WIDTHS)
         self.labels = labels
+        self.limits = None  # per length of PIECES, with a last class for texts without a language
         self.mask = np.zeros((TAPS, 1, n), np.float32)
         for k, width in enumerate(WIDTHS):
             self.mask[:width, :, k * FILTERS:(k + 1) * FILTERS] = 1
@@ -141,8 +152,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame) -> ByteCNN | None:
-    """A network trained on a bounded sample of ``docs``; None if there is nothing to learn."""
+def sampled(docs: DataFrame) -> pa.Table:
+    """(doc, k, lang, raw): windows of a bounded sample of the labelled documents."""
     known = docs.select("doc_id", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     # distinct ids per language first, so that repeated rows neither fill nor multiply the sample
     known = known.distinct()
@@ -166,12 +177,52 @@ def fit(docs: DataFrame) -> ByteCNN | None:
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 4, kinds)], ["doc", "k", "lang", "raw"])
 
-    sample = texts.mapInArrow(cut, "doc long, k long, lang string, raw binary").toArrow().sort_by([("lang", "ascending"), ("doc", "ascending"), ("k", "ascending")])
+    return texts.mapInArrow(cut, "doc long, k long, lang string, raw binary").toArrow().sort_by([("lang", "ascending"), ("doc", "ascending"), ("k", "ascending")])
+
+
+def _rows(pieces: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(p.ljust(WINDOW, b"\0") for p in pieces), np.uint8).reshape(-1, WINDOW)
+
+
+def fit(docs: DataFrame, reject: bool = False) -> ByteCNN | None:
+    """A network trained on a bounded sample of ``docs``; None if there is nothing to learn.
+
+    reject: with a last class for texts without a language, and limits for it.
+    """
+    sample = sampled(docs)
     if not len(sample):
         return None
     labels, target = np.unique(np.array(sample.column("lang").to_pylist(), object).astype(str), return_inverse=True)
-    model = ByteCNN(labels.tolist())
-    model.train(np.frombuffer(b"".join(sample.column("raw").to_pylist()), np.uint8).reshape(-1, WINDOW), target)
+    raw = sample.column("raw").to_pylist()
+    if not reject:
+        model = ByteCNN(labels.tolist())
+        model.train(_rows(raw), target)
+        return model
+    model = ByteCNN([*labels.tolist(), "und"])
+    rnd = random.Random(7)
+    raw = [r.rstrip(b"\0") for r in raw]
+
+    def piece(text: bytes, n: int) -> bytes:
+        at = rnd.randint(0, max(0, len(text) - n))
+        return text[at:at + n]
+
+    some = lambda: int(2 ** rnd.uniform(3, 8))
+    picks = list(range(len(raw))) + [rnd.randrange(len(raw)) for _ in range(max(len(raw) // 2, LEAST_ROWS - len(raw)))]
+    # pieces of texts; in half of them keys, numbers or the like stand beside words, which is a language still
+    clean = raw + [piece(raw[i], some()) for i in picks[len(raw):]]
+    for k in range(len(raw), len(clean), 2):
+        beside = noise(rnd, "", rnd.randint(4, 16 + len(clean[k])))
+        clean[k] = b" ".join((beside, clean[k]) if rnd.random() < 0.5 else (clean[k], beside))[:WINDOW]
+    bad = [noise(rnd, raw[i].decode(errors="ignore"), some() if k % 3 == 0 else WINDOW)
+           for k, i in enumerate(rnd.choices(picks, k=min(len(picks), MOST_NOISE)))]
+    model.train(_rows(clean + bad), np.r_[target[picks], np.full(len(bad), len(labels))])
+    tables = model.tables()
+    model.limits = []
+    for n in PIECES:
+        tried = [piece(r, n) for r in rnd.sample(raw, min(TRIALS, len(raw)))]
+        limit = max(0.5, float(np.quantile(model.judge(tried, tables)[:, -1], PASSING, method="higher")))
+        # mislabelled rows must not lift it to where nothing goes; short pieces do say too little
+        model.limits.append(min(limit, 0.9) if n >= 64 else limit)
     return model
 
 
@@ -192,9 +243,14 @@ def with_language(docs: DataFrame, model: ByteCNN | None, into: str) -> DataFram
             langs, scores = [], []
             for at in range(0, len(texts), 256):
                 part = texts.slice(at, 256).to_pylist()
-                p = model.judge([t.encode() if has_letter(t) else b"" for t in part], tables)
-                best = p.argmax(1)
+                raw = [t.encode() if has_letter(t) else b"" for t in part]
+                p = model.judge(raw, tables)
                 known = p.max(1) > 0
+                if model.limits is not None:
+                    size = np.searchsorted(PIECES, [len(r) for r in raw], "right") - 1
+                    known &= p[:, -1] <= np.array(model.limits)[np.maximum(size, 0)]
+                    p = p[:, :-1]
+                best = p.argmax(1)
                 langs += [model.labels[b] if k else "und" for b, k in zip(best, known)]
                 scores += np.minimum(p.max(1), 1.0).tolist()
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
@@ -210,9 +266,9 @@ def predict(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), f"{into}.lang_pred", f"{into}.score")
 
 
-def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs`` with a language: a text that is not ``und``, and a score of at least
-    ``min_score`` (by default any: a low score alone does not make a text unclean)."""
+def keep_known(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with a language: a text with a letter that the network does not
+    take for one without any."""
     into = fresh_name(docs, "language")
-    found = with_language(docs, fit(docs), into)
-    return found.where(f"{into}.lang_pred <> 'und' AND {into}.score >= {min_score}").drop(into)
+    found = with_language(docs, fit(docs, reject=True), into)
+    return found.where(f"{into}.lang_pred <> 'und'").drop(into)
