@@ -3,9 +3,9 @@
 Rules are ``action host/path``.  A rule fits its host and all subdomains, if the URL's path
 starts with the rule's path; of several, the longest wins.  The other URLs are judged by
 boosted trees on lexical features: lengths, depth, digit ratio, entropy, parameter counts,
-hyphens, labels, and statistics of the host's suffixes in the labelled URLs (smoothed share
-of blocked ones by last label and by first path segment).  Training takes a bounded sample
-of labelled URLs (``train_rows``, smallest hashes first; a repeated URL counts once).
+hyphens, labels, and statistics of the host's suffixes in all labelled URLs (smoothed share
+of blocked ones by last label and by first path segment; a repeated URL counts once).  Only
+the trees' training takes a bounded sample of them (``train_rows``, smallest hashes first).
 Without an URL of either kind the more frequent label, or else allow, is the answer.
 
 Features, rules and the trees run as DataFrame and ``pyspark.ml`` operations only.
@@ -67,7 +67,12 @@ def features(urls: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
         "f_params": count(query, "[^&]+"), "f_fragment": F.contains(url, F.lit("#")).cast("double"),
         "f_https": url.startswith("https:").cast("double"),
     }
-    return urls.withColumns(found).withColumns({"suffix": F.substring_index(host, ".", -1), "lead": F.regexp_extract(path, "^/([^/]*)", 1)})
+    return with_ends(urls.withColumns(found))
+
+
+def with_ends(urls: DataFrame) -> DataFrame:
+    """``urls`` with the host's last label and the path's first segment."""
+    return urls.withColumns({"suffix": F.substring_index("host", ".", -1), "lead": F.regexp_extract("path", "^/([^/]*)", 1)})
 
 
 def _blocked_share(rows: DataFrame, key: str) -> DataFrame:
@@ -86,15 +91,16 @@ def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: tuple[tupl
     ruled = parts.withColumn("rule", rule_column(rules))
     if labelled is None:
         labelled = ruled.where("rule IS NOT NULL").select("url", (action[F.col("rule")] == "block").cast("double").alias("label"))
-    sample = (labelled.select("url", F.col("label").cast("double").alias("label")).where("label IS NOT NULL")
-              .groupBy("url").agg(F.max("label").alias("label"))
-              .orderBy(F.md5(F.coalesce("url", F.lit(""))), "url").limit(train_rows))
-    train = saved(features(with_parts(sample)))
-    n, blocked = train.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+    known = saved(labelled.select("url", F.col("label").cast("double").alias("label")).where("label IS NOT NULL")
+                  .groupBy("url").agg(F.max("label").alias("label")))
+    total = lambda df: df.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+    train = saved(features(with_parts(known.orderBy(F.md5(F.coalesce("url", F.lit(""))), "url").limit(train_rows))))
+    n, blocked = total(train)
     rows = features(ruled)
     if 0 < blocked < n:
-        # at most train_rows values each
-        shares = {key: _blocked_share(train, key) for key in ("suffix", "lead")}
+        # of all labelled URLs: as many values as there are, so no broadcast is asked for
+        ends = with_ends(with_parts(known))
+        shares = {key: saved(_blocked_share(ends, key)) for key in ("suffix", "lead")}
         names = [c for c in train.columns if c.startswith("f_")] + ["f_suffix", "f_lead"]
 
         def vectors(df):
@@ -106,6 +112,7 @@ def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: tuple[tupl
         model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=7, cacheNodeIds=False).fit(vectors(train))
         rows = model.transform(vectors(rows)).withColumn("score", vector_to_array("probability")[1])
     else:
-        rows = rows.withColumn("score", F.lit(float(n > 0 and blocked == n)))
+        n, blocked = total(known)
+        rows = rows.withColumn("score", F.lit(float(2 * blocked > n)))
     verdict = F.coalesce(action[F.col("rule")], F.when(F.col("score") > 0.5, "block").otherwise("allow"))
     return rows.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")
