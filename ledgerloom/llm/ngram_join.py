@@ -22,9 +22,9 @@ at least ``num / den``.  The join is exact: no link between different texts is l
 
 Definitions: words are lower-cased (A-Z) runs of ``[^\\x20\\x09-\\x0D]``.  A text with fewer
 than ``width`` words has its whole word sequence as one shingle.  Null, empty and blank texts
-have the empty set and link with nothing.  Rows that repeat a doc_id are rows of one document, which
-links by each of its texts.  A row without doc_id has no component, or that of equal texts; it
-does not link otherwise.  Shingles are compared by 64-bit hashes.
+have the empty set and link with nothing.  Rows that repeat a doc_id each have the component of
+their own text; a shared doc_id is no link.  A row without doc_id has no component, or that of
+equal texts; it does not link otherwise.  Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -34,10 +34,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .components import components
 from .idfilter import IdFilter
-from .storage import saved
+from .storage import fresh_name, saved
 from .textops import SPACED, U64, chunks, mix, shingle_sets, shingles, sized_shingle_sets
 
 SLOT_BITS = 18  # shingle counters: a table of fixed size
@@ -54,6 +55,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     ``component_id`` is the smallest doc_id reachable by links, the document's own included.
     """
+    return row_components(docs, id_col, text_col, width, num, den).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def row_components(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
+    """(doc_id, n, s1, s2, root, component_id) of every row; see ``by_units``."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     seen = saved(docs.mapInArrow(_profiler(width), "doc_id long, n long, s1 long, s2 long, slot int, hits long"))
     rows = seen.where("slot IS NULL").select("doc_id", "n", "s1", "s2")
@@ -76,7 +82,8 @@ def by_units(docs: DataFrame, rows: DataFrame, found: DataFrame, width: int, num
 
     docs: doc_id, text.  rows: doc_id and its set's size and sums n, s1, s2.  found: leader, s1
     of the sets that belong to a unit, and by how many runs (times).  least: how many runs a
-    set of size n must be part of.  Returns doc_id, n_shingles, component_id.
+    set of size n must be part of.  Returns doc_id, n, s1, s2, root, component_id.  Sets are told
+apart by s1, as one doc_id may stand for several; ``root`` is a component's smallest s1.
     """
     found = saved(found.groupBy("leader", "s1").agg(F.sum("times").alias("times")))
     classes = rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id"))
@@ -91,13 +98,13 @@ def by_units(docs: DataFrame, rows: DataFrame, found: DataFrame, width: int, num
     hubs = sizes.where("blocks > 1").select(
         "leader", "hub.class_id", "hub.s1", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     work = placed.select("leader", "class_id", "s1", "block").union(hubs).distinct()
-    joined = _tree_join(docs, work.withColumn("part", F.lit(0)).withColumn("root", F.col("class_id")), width, num, den)
+    joined = _tree_join(docs, work.withColumn("part", F.lit(0)).withColumn("root", F.col("s1")), width, num, den)
     links = saved(joined)
     roots = saved(components(links))
 
     # units of several blocks: sets outside the largest component against every block
-    large = placed.where("blocks > 1").join(roots.withColumnRenamed("node", "class_id"), "class_id", "left").select(
-        "leader", "class_id", "s1", "n", "block", "blocks", F.coalesce("root", "class_id").alias("root"))
+    large = placed.where("blocks > 1").join(roots.withColumnRenamed("node", "s1"), "s1", "left").select(
+        "leader", "class_id", "s1", "n", "block", "blocks", F.coalesce("root", "s1").alias("root"))
     core = large.groupBy("leader", "root").agg(F.count("*").alias("c")).groupBy("leader").agg(
         F.max_by("root", F.struct("c", "root")).alias("core"))
     rest = saved(large.join(core, "leader").where("root <> core"))
@@ -111,23 +118,37 @@ def by_units(docs: DataFrame, rows: DataFrame, found: DataFrame, width: int, num
         more = _tree_join(docs, every.union(outer).distinct(), width, num, den)
         roots = saved(components(links.union(more)))
 
-    classes = classes.join(roots.withColumnRenamed("node", "class_id"), "class_id", "left").select(
-        "n", "s1", "s2", F.coalesce("root", "class_id").alias("component_id"))
+    linked = roots.withColumnRenamed("node", "s1")
+    names = linked.join(able, "s1").groupBy("root").agg(F.min("class_id").alias("component_id"))
+    linked = linked.join(names, "root")
+    classes = classes.join(linked, "s1", "left").select(
+        "n", "s1", "s2", F.coalesce("root", "s1").alias("root"), F.coalesce("component_id", "class_id").alias("component_id"))
     return rows.join(classes, ["n", "s1", "s2"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "n", "s1", "s2", "root", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The documents whose doc_id names their component: one of each group of near copies.
+    """One row of each component: one of each group of near copies.
 
-    Rows that repeat the kept doc_id with the same text are copies too; one of them stays.
+    It has the component's smallest doc_id (none, if no row has any) and, of several such rows,
+    the smallest set.  Blank texts have no component; of those, equal rows of a doc_id are one.
     """
-    found = saved(jaccard_components(docs, width=width, num=num, den=den).select("doc_id", "component_id"))
-    out = found.where("doc_id <> component_id").select("doc_id").distinct()
-    again = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    suspects = IdFilter(out.union(again))  # only their texts are shuffled
-    rest = suspects.rows(docs, "doc_id", True).join(out, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
-    return suspects.rows(docs, "doc_id", False).unionByName(rest.select(docs.columns))
+    found = saved(row_components(docs, "doc_id", "text", width, num, den).select("doc_id", "n", "s1", "s2", "root"))
+    # rows are known by doc_id and set, as rows of one doc_id may be in several components
+    row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "n", "s1", "s2")
+    kept = saved(found.where("n > 0").groupBy("root").agg(F.min(row).alias("row")).select("row.doc_id", "row.n", "row.s1", "row.s2"))
+    again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    out = found.where("n > 0 AND doc_id IS NOT NULL").select("doc_id").join(kept, "doc_id", "left_anti")
+    suspects = IdFilter(out.union(again).distinct())  # only their texts are shuffled; rows without doc_id are among them
+    into = fresh_name(docs, "set")
+    schema = StructType([*docs.schema.fields, *(StructField(f"{into}_{c}", LongType()) for c in ("n", "s1", "s2"))])
+    rows = suspects.rows(docs, "doc_id", True).mapInArrow(_with_set_sums(width, schema.names), schema)
+    key = ["doc_id", *(f"{into}_{c}" for c in ("n", "s1", "s2"))]
+    kept = kept.toDF("kept_id", "kept_n", "kept_s1", "kept_s2")
+    mine = rows.where(f"{into}_n > 0").select(F.struct(*schema.names).alias("r"), *(F.col(k).alias(f"k{i}") for i, k in enumerate(key)))
+    mine = mine.join(kept, [F.col(f"k{i}").eqNullSafe(F.col(c)) for i, c in enumerate(kept.columns)], "left_semi").select("r.*").dropDuplicates(key)
+    blank = rows.where(f"{into}_n = 0").dropDuplicates(["doc_id", "text"])
+    return suspects.rows(docs, "doc_id", False).unionByName(mine.select(docs.columns)).unionByName(blank.select(docs.columns))
 
 
 def _need(n: int, num: int, den: int) -> int:
@@ -154,6 +175,15 @@ def set_sums(width: int):
     return run
 
 
+def _with_set_sums(width: int, names: list[str]):
+    """Batches with a column ``text``, and its set's n, s1, s2 as last columns."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [(len(s), *(set_sums_of(s) if len(s) else (0, 0))) for _, w in chunks(batch.column("text"), SPACED) for _, s in shingle_sets(w, width)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.int64()) for c in (zip(*sets) if sets else ((), (), ())))], names)
+    return run
+
+
 def _profiler(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = np.zeros(1 << SLOT_BITS, np.int64)
@@ -238,7 +268,7 @@ def runs(num: int, den: int):
 
 
 def _tree_join(docs: DataFrame, work: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(a, b) links found in each (leader, block, part); ``root`` is the known component."""
+    """(a, b) links between sets (s1) found in each (leader, block, part); ``root`` is the known component."""
     docs = IdFilter(work.select("class_id")).rows(docs, "doc_id", True)
     texts = docs.join(work, docs["doc_id"] == work["class_id"]).select("leader", "block", "part", "class_id", "s1", "root", "text")
     return (texts.repartition("leader", "block", "part").sortWithinPartitions("leader", "block", "part")
@@ -251,7 +281,7 @@ def _traverser(width: int, num: int, den: int):
         weight, last, seen = 0, None, set()
         for batch in batches:
             keys = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
-            ids, sums, roots = (batch.column(i).to_pylist() for i in range(3, 6))
+            sums, roots = (batch.column(i).to_pylist() for i in (4, 5))
             for at, w in chunks(batch.column(6), SPACED):
                 for i, s in shingle_sets(w, width):
                     key, row = keys[at + i], at + i
@@ -261,10 +291,10 @@ def _traverser(width: int, num: int, den: int):
                             held, weight = [], 0
                         last, seen = key, set()
                     # of rows that repeat a doc_id, one with the set that is meant
-                    if (ids[row], sums[row]) in seen or not len(s) or set_sums_of(s)[0] != sums[row]:
+                    if sums[row] in seen or not len(s) or set_sums_of(s)[0] != sums[row]:
                         continue
-                    seen.add((ids[row], sums[row]))
-                    held.append((key, ids[row], roots[row], s))
+                    seen.add(sums[row])
+                    held.append((key, sums[row], roots[row], s))
                     weight += len(s) + BITMAP_WORDS
         if held:
             yield _links(held, num, den)
@@ -279,7 +309,7 @@ def _links(held: list, num: int, den: int) -> pa.RecordBatch:
     _, comp = np.unique(np.array([held[i][2] for i in order]), return_inverse=True)
     found = SignatureTree(unit[order], [held[i][3] for i in order], num, den).links(comp)
     a, b = (ids[[p[k] for p in found]] if found else np.zeros(0, np.int64) for k in (0, 1))
-    keep = a != b  # a repeated row of one document
+    keep = a != b  # a hub that stands in its own block twice
     return pa.RecordBatch.from_arrays([pa.array(a[keep], pa.int64()), pa.array(b[keep], pa.int64())], ["a", "b"])
 
 

@@ -1,7 +1,7 @@
 import base64
 import random
 
-from ledgerloom.llm import langid, urlfilter
+from ledgerloom.llm import langid, ngram_join, urlfilter
 
 
 # ---- URLs ------------------------------------------------------------------
@@ -35,3 +35,18 @@ def test_stage_rejects_texts_without_a_language(docs_of):
     assert not {d for d in kept if d >= 2000}
     clean = {r[0] for r in rows if r[0] < 2000}
     assert len(clean & kept) >= 0.98 * len(clean)
+
+
+# ---- near copies -----------------------------------------------------------
+def test_keep_one_drops_by_row(docs_of):
+    text = " ".join(f"w{i}" for i in range(50))
+    near = text.replace("w49", "x")
+    rows = [(4, text)] * 300 + [(9, near), (11, near), (4, "a b c d e f g"), (2, "a b c d e f g")]
+    kept = ngram_join.keep_one(docs_of(rows), width=3, num=90, den=100)
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(2, "a b c d e f g"), (4, text)]
+    # 4 is the smallest doc_id of two components, and stands in one of them twice; rows without doc_id are copies too
+    other = " ".join(f"v{i}" for i in range(50))
+    rows = [(4, text), (4, near), (4, other), (9, other.replace("v49", "x")), (None, text), (None, "q r s"), (None, "Q r s"), (6, ""), (6, ""), (7, "z")]
+    kept = ngram_join.keep_one(docs_of(rows), width=3, num=90, den=100)
+    got = sorted(((r["doc_id"], r["text"].lower()) for r in kept.collect()), key=str)
+    assert [d for d, _ in got] == [4, 4, 6, 7, None] and {t[0] for d, t in got if d == 4} == {"v", "w"}
