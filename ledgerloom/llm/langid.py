@@ -268,7 +268,14 @@ def predict(docs: DataFrame) -> DataFrame:
 
 def keep_known(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with a language: a text with a letter that the network does not
-    take for one without any."""
+    take for one without any.  If nothing can be learned, every text with a letter stays."""
+    model = fit(docs, reject=True)
+    if model is None:
+        return docs.where(F.arrow_udf("boolean")(_lettered)(F.col("text")))
     into = fresh_name(docs, "language")
-    found = with_language(docs, fit(docs, reject=True), into)
+    found = with_language(docs, model, into)
     return found.where(f"{into}.lang_pred <> 'und'").drop(into)
+
+
+def _lettered(texts: pa.Array) -> pa.Array:
+    return pa.array([has_letter(t) for t in texts.to_pylist()], pa.bool_())

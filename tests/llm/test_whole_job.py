@@ -50,3 +50,10 @@ def test_keep_one_drops_by_row(docs_of):
     kept = ngram_join.keep_one(docs_of(rows), width=3, num=90, den=100)
     got = sorted(((r["doc_id"], r["text"].lower()) for r in kept.collect()), key=str)
     assert [d for d, _ in got] == [4, 4, 6, 7, None] and {t[0] for d, t in got if d == 4} == {"v", "w"}
+
+
+def test_stage_keeps_texts_where_nothing_can_be_learned(docs_of):
+    docs = docs_of([(1, "kalo mizu", None), (2, "12 34", None), (3, None, None), (4, "", None), (None, "zu", None)])
+    kept = langid.keep_known(docs)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {1, None}
