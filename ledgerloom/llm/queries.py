@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, langid, licenses, minhash, mixing, ngram_join, packing, topk, urlfilter, warc
+from . import chat, langid, licenses, minhash, mixing, ngram_join, packing, spelling, topk, urlfilter, warc
 from .storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,11 @@ def op10(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
 
+@query("op13_spelling_variants")
+def op13(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"), min_length=5, min_count=3, ratio=2, drop_every=97)
+
+
 #: words are runs of [^\\x20\\x09-\\x0D]; A-Z are lower-cased one by one
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
@@ -185,3 +190,23 @@ FROM f
 
 
 SQL["op6_license_scan"] = _license_sql()
+
+SQL["op13_spelling_variants"] = r"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t),
+r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents),
+u AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || run)) AS x FROM r GROUP BY doc_id, run),
+h AS (SELECT run, n, xor(4294967295, list_reduce(range(1, len(x), 2), lambda c, i: xor(c >> 8, t[1 + (xor(c, CAST('0x' || substr(x, i, 2) AS BIGINT)) & 255)]), 4294967295)) AS h
+  FROM u CROSS JOIN crc),
+d AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, 2 + h % length(run)) ELSE run END AS word, n FROM h),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM d GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3),
+cut AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+link AS (SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT cut.word, w.word, w.n FROM cut JOIN w ON w.word = rest UNION SELECT w.word, cut.word, cut.n FROM cut JOIN w ON w.word = rest),
+best AS (SELECT word, count(*) AS n_near, min_by(other, (-n, other)) AS other, max(n) AS n FROM link GROUP BY word),
+f AS (SELECT w.word, CASE WHEN best.n >= 2 * w.n THEN other END AS form, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best.n >= 2 * w.n THEN best.n END AS form_n
+  FROM w LEFT JOIN best USING (word)),
+path AS (SELECT word, form AS goal FROM f UNION ALL SELECT path.word, form FROM path JOIN f ON f.word = goal WHERE goal IS NOT NULL)
+SELECT f.word, form, coalesce(goal, f.word) AS root, n, n_near, form_n
+FROM f LEFT JOIN (SELECT path.word, goal FROM path JOIN f ON f.word = goal WHERE f.form IS NULL) ends USING (word)
+"""
