@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, langid, licenses, minhash, mixing, ngram_join, packing, spelling, topk, urlfilter, warc
+from . import chat, langid, licenses, minhash, mixing, ngram_join, packing, spelling, topk, treap, urlfilter, warc
 from .storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,11 @@ def op10(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
 
+@query("op12_ranked_search")
+def op12(spark, sf_dir):
+    return treap.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 @query("op13_spelling_variants")
 def op13(spark, sf_dir):
     return spelling.variants(table(spark, sf_dir, "documents"), min_length=5, min_count=3, ratio=2, drop_every=97)
@@ -191,6 +196,21 @@ FROM f
 
 SQL["op6_license_scan"] = _license_sql()
 
+SQL["op12_ranked_search"] = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents WHERE text IS NOT NULL),
+d AS (SELECT row_number() OVER () AS k, doc_id, ws, CAST(len(ws) AS BIGINT) AS n FROM t WHERE len(ws) > 0),
+s AS (SELECT CAST(count(*) AS BIGINT) AS nd, CAST(sum(n) AS BIGINT) AS nl FROM d),
+tf AS (SELECT k, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT k, doc_id, n, unnest(ws) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * nd + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf CROSS JOIN s GROUP BY term, nd),
+i AS (SELECT DISTINCT it, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM (SELECT row_number() OVER () AS it, * FROM benchmark)),
+p AS (SELECT it, item_id, k, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * nd) // nl)))) AS BIGINT) AS score
+  FROM i JOIN w USING (term) JOIN tf USING (term) CROSS JOIN s GROUP BY it, item_id, k, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY it ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM p WHERE score > 0)
+SELECT * FROM r WHERE rank <= 50
+"""
+
 SQL["op13_spelling_variants"] = r"""
 WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t),
 r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run

@@ -1,0 +1,91 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from ledgerloom.llm import treap
+from ledgerloom.llm.pieces import cut_long
+from ledgerloom.llm.textops import ALNUM
+
+
+def terms(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", low)
+
+
+def brute(docs, items, k):
+    tf = [(d, Counter(terms(t))) for d, t in docs]
+    tf = [(d, c) for d, c in tf if c]
+    N, L = len(tf), sum(c.total() for _, c in tf)
+    df = Counter(t for _, c in tf for t in c)
+    out = []
+    for item, text in items:
+        scores = []
+        for d, c in tf:
+            m = 50 + 50 * c.total() * N // L
+            s = sum(math.floor(1000 * math.log((2 * N + 2) / (2 * df[t] + 1))) * (10 ** 9 * c[t] // (1000 * c[t] + 20 * m))
+                    for t in set(terms(text)) if t in c)
+            if s > 0:
+                scores.append((-s, d is None, d or 0, d))
+        out += [(item, r + 1, x[3], -x[0]) for r, x in enumerate(sorted(scores, key=lambda x: x[:3])[:k])]
+    return out
+
+
+def some_rows(seed, n, vocabulary):
+    rnd = random.Random(seed)
+    return [(i, " ".join(rnd.choices(vocabulary, weights=[1 / (k + 1) for k in range(len(vocabulary))], k=rnd.choice((1, 5, 40))))) for i in range(n)]
+
+
+@pytest.mark.parametrize("at_once", [1 << 20, 30])
+def test_against_all_documents(spark, docs_of, monkeypatch, at_once):
+    """Ties, repeated and null doc_ids, copies, empty texts; one group of items and several."""
+    monkeypatch.setattr(treap, "TERMS", at_once)
+    vocabulary = [f"w{k}" for k in range(80)] + ["Über", "ÜBER", "É9"]
+    docs = some_rows(1, 150, vocabulary)
+    docs += [(1000 + k, docs[7][1]) for k in range(30)] + [(3, "w1 w2"), (3, "w1 w2"), (None, "w1 w50"), (5, None), (6, ""), (8, ".;"), (9, "w5 " * 5000)]
+    items = some_rows(2, 12, vocabulary) + [(90, docs[7][1]), (91, ""), (92, None), (93, "nowhere"), (94, "W1, w1! é9 Über")]
+    table = spark.createDataFrame([(*r, "x") for r in items], "item_id long, text string, doc_id string")
+    got = sorted(map(tuple, treap.search(docs_of(docs), table, k=10).collect()), key=lambda r: r[:2])
+    assert got == brute(docs, items, 10)
+
+
+def test_empty_tables(spark, docs_of):
+    items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    assert treap.search(docs_of([]), items).collect() == []
+    assert treap.search(docs_of([(1, None), (2, " ")]), items).collect() == []
+    assert treap.search(docs_of([(1, "a")]), items.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("opened", [1, 3, 500])
+def test_best_columns_of_random_grids(monkeypatch, opened):
+    monkeypatch.setattr(treap, "OPENED", opened)
+    rng = np.random.default_rng(opened)
+    for _ in range(30):
+        n_rows, n_cols = rng.integers(1, 40, 2)
+        grid = rng.integers(1, 9, (n_rows, n_cols)) * (rng.random((n_rows, n_cols)) < 0.4)
+        row, col = np.nonzero(grid)
+        if not len(row):
+            continue
+        depth = max(1, int(max(n_rows, n_cols) - 1).bit_length())
+        tree = treap.K2Treap(row, col, grid[row, col], depth)
+        rows = rng.permutation(n_rows)[:rng.integers(1, n_rows + 1)]
+        weight = rng.integers(1, 5, len(rows))
+        scores = weight @ grid[rows]
+        cols, found = treap.best_columns(tree, treap.Paths(rows, weight, depth), 3)
+        assert (scores[cols] == found).all() and len(set(cols)) == len(cols)
+        least = max(1, sorted(scores)[-3:][0])
+        assert set(np.flatnonzero(scores >= least)) == set(cols[found >= least])
+
+
+def test_long_texts_are_cut_between_words():
+    texts = ["", None, "ab " * 50, "x" * 100 + " é" * 60, "short"]
+    seen = {}
+    for rows, part in cut_long(pa.array(texts), ALNUM, 64):
+        for row, text in zip(rows.tolist(), part.to_pylist()):
+            seen[row] = [*seen.get(row, []), text or ""]
+    assert ["".join(seen[k]) for k in range(5)] == [t or "" for t in texts]
+    assert [w for t in seen[3] for w in t.split()] == texts[3].split() and len(seen[2]) > 1
