@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, langid, licenses, minhash, mixing, ngram_join, packing, spelling, topk, treap, urlfilter, warc
+from . import chat, langid, licenses, minhash, mixing, ngram_join, packing, spelling, topk, toxicity, treap, urlfilter, warc
 from .storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,11 @@ def op10(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
 
+@query("op11_toxicity")
+def op11(spark, sf_dir):
+    return toxicity.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op12_ranked_search")
 def op12(spark, sf_dir):
     return treap.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)

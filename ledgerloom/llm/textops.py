@@ -80,6 +80,11 @@ def word_hash(word: str) -> int:
     return int(_hashes(raw, np.zeros(1, np.int64), np.array([len(raw)]))[0])
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hashes of spans of bytes, as of words."""
+    return _hashes(data, start, end)
+
+
 def _hashes(data, start, end):
     run = np.zeros(len(data) + 1, U64)
     np.cumsum(_VALUE[data] * _POW.upto(len(data)), dtype=U64, out=run[1:])
