@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import labels as L
 from ..functions.dates import iterated_month, month_boundaries, period
@@ -107,16 +107,77 @@ def monthly_schedule(contracts: DataFrame, max_steps: int | None = None) -> Data
                        "recognition_month_start", END)
 
 
+def _month_no(d: Column) -> Column:
+    return F.year(d) * 12 + F.month(d)
+
+
+def contract_spans(contracts: DataFrame, max_steps: int | None = None) -> DataFrame:
+    """The contracts with ``first`` and ``last``, the numbers of their first and last recognition month.
+
+    These are the months of :func:`monthly_schedule`, which are consecutive: only the last step can
+    fall after the end date.  With ``max_steps`` a contract of more steps fails the job.
+    """
+    n = F.greatest(F.lit(0), month_boundaries(F.col(START), F.col(END)))
+    steps = n - F.when((n > 0) & (iterated_month(F.col(START), n) > F.col(END)), 1).otherwise(0)
+    if max_steps is not None:
+        failed = F.raise_error(F.lit(f"contract needs more than {max_steps} monthly steps")).cast("int")
+        steps = F.when(steps > max_steps, failed).otherwise(steps)
+    first = _month_no(F.col(START))
+    return contracts.withColumn("first", first).withColumn("last", first + steps)
+
+
+def _swept(spans: DataFrame, counted: dict[str, str]) -> DataFrame:
+    """Per month in which something changes: (month, amount, amounts, lines, *counted) as changes.
+
+    ``counted``: output column -> the column whose distinct values are counted; NULL is none.  Spans of
+    one value may overlap; what of a span the ones before it have not covered is one up and one down.
+    A value's spans are first brought down to the longest for each first month, so however many rows
+    it has, no more of them come together than there are months.
+    """
+    none = F.lit(None)
+    zero = F.lit(0).cast("bigint")
+    amount, some = F.col("monthly_amount"), F.col("monthly_amount").isNotNull().cast("bigint")
+    entry = lambda kind, value, start, last, a, n, lines: F.struct(
+        F.lit(kind).alias("kind"), value.cast("string").alias("value"), start.alias("start"), last.cast("int").alias("last"),
+        a.alias("amount"), n.alias("amounts"), lines.cast("bigint").alias("lines"))
+    sums = [entry(0, none, F.col("first"), none, amount, some, F.lit(1)),
+            entry(0, none, F.col("last") + 1, none, -amount, -some, F.lit(-1))]
+    values = [F.when(F.col(c).isNotNull(), entry(k, F.col(c), F.col("first"), F.col("last"), none, zero, zero))
+              for k, c in enumerate(counted.values(), start=1)]
+    e = spans.select(F.explode(F.array_compact(F.array(*sums, *values))).alias("e")).select("e.*")
+    e = e.groupBy("kind", "value", "start").agg(F.max("last").alias("last"), *[F.sum(c).alias(c) for c in ("amount", "amounts", "lines")])
+    before = Window.partitionBy("kind", "value").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    e = e.withColumn("covered", F.max("last").over(before))
+    new = F.greatest(F.col("start"), F.coalesce(F.col("covered") + 1, F.col("start")))
+    change = lambda month, up: F.struct(month.alias("month"), F.lit(up).cast("bigint").alias("up"))
+    changes = F.when(F.col("kind") == 0, F.array(change(F.col("start"), 0))) \
+        .when(F.col("last") >= new, F.array(change(new, 1), change(F.col("last") + 1, -1)))
+    e = e.select("kind", "amount", "amounts", "lines", F.explode(changes).alias("c")).select("*", "c.*")
+    return e.groupBy("month").agg(
+        *[F.sum(c).alias(c) for c in ("amount", "amounts", "lines")],
+        *[F.sum(F.when(F.col("kind") == k, F.col("up")).otherwise(0)).alias(c) for k, c in enumerate(counted, start=1)])
+
+
 def recognition_schedule(clean: DataFrame, as_of: date, max_steps: int | None = None) -> DataFrame:
-    """Per future month, contracts, customers and revenue to recognise."""
-    eom = F.last_day(F.lit(as_of))
-    sched = monthly_schedule(future_contracts(clean, as_of), max_steps)
-    return (sched.filter(F.col("recognition_month_start") > eom)
-            .groupBy(period(F.col("recognition_month_start")).alias("recognition_period"))
-            .agg(F.count_distinct("transaction_id").alias("contracts_recognising"),
-                 F.count_distinct("customer_id").alias("customers"),
-                 F.round(F.sum("monthly_amount"), 2).cast(MONEY_TOTAL).alias("revenue_to_recognise"))
-            .orderBy("recognition_period"))
+    """Per future month, contracts, customers and revenue to recognise.
+
+    A sweep over the months: contracts add their amount at their first month and take it back after
+    their last, and running sums over the months with a change give every month in between.  No
+    contract is spread out over its months.
+    """
+    now = as_of.year * 12 + as_of.month
+    spans = contract_spans(future_contracts(clean, as_of), max_steps)
+    spans = spans.withColumn("first", F.greatest("first", F.lit(now + 1))).where(F.col("first") <= F.col("last"))
+    counted = {"contracts_recognising": "transaction_id", "customers": "customer_id"}
+    run = Window.orderBy("month")  # one row a month of the calendar at most
+    level = [F.sum(c).over(run.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(c)
+             for c in ("amount", "amounts", "lines", *counted)]
+    months = _swept(spans, counted).select(F.col("month").alias("__from"), (F.lead("month").over(run) - 1).alias("__to"), *level)
+    months = months.where(F.col("lines") > 0).select("*", F.explode(F.sequence("__from", "__to")).alias("__m"))
+    m0 = F.col("__m") - 1
+    day = F.make_date(F.floor(m0 / 12).cast("int"), m0 % 12 + 1, F.lit(1))
+    total = F.when(F.col("amounts") > 0, F.round(F.col("amount"), 2).cast(MONEY_TOTAL))
+    return months.select(period(day).alias("recognition_period"), *counted, total.alias("revenue_to_recognise")).orderBy("recognition_period")
 
 
 def deferred_period_summary(clean: DataFrame) -> DataFrame:
