@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import MONEY, round_double
 from ..operators import anomaly, dedup, deferred, matching, profile, scorecard
-from ..sources import derive, io
+from ..sources import derive, io, quarantine, schemas
 
 # as-of date used for the deferred-revenue schedule and the audit stamp
 AS_OF = date(1998, 6, 30)
@@ -69,6 +69,12 @@ def _a3(t):
     return io.table_row_counts(t)
 
 
+@query("a1_rejected_rows")
+def _a1r(t):
+    found = derive.delivered(t)
+    return quarantine.reason_counts({n: quarantine.mark(found[n], s, [schemas.KEY_COLUMNS[n]]) for n, s in schemas.TABLES.items()})
+
+
 # ---- D: deduplication ------------------------------------------------------
 @query("d1_duplicate_summary")
 def _d1(t):

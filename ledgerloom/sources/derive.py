@@ -198,3 +198,16 @@ def load_driver_tables(spark: SparkSession, sf_dir: str, store: str | None = Non
     t.update(store_inputs({"gl_postings": gl, "bank_settlements": bank,
                            "dim_customers": customers, "dim_products": products}, store))
     return t
+
+
+def delivered(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables as text, as files would deliver them, with values that cannot be read planted by rule."""
+    text = {t: df.select("*", *[F.col(c).cast("string").alias("__" + c) for c in df.columns]) for t, df in tables.items()}
+    bad = {
+        "sales_transactions": {"net_revenue": (F.col("quantity") == 13, F.lit("n/a")), "quantity": (F.col("quantity") == 13, F.lit("13.5")),
+                               "transaction_date": (F.col("quantity") == 17, F.lit("1998-02-30"))},
+        "gl_postings": {"debit_amount": (F.dayofmonth("posting_date") == 13, F.concat("__debit_amount", F.lit("x")))},
+        "bank_settlements": {"fee_deducted": ((F.col("payment_method") == "BACS") & (F.dayofmonth("settlement_date") == 7), F.lit("0.005"))},
+    }
+    return {t: text[t].select(*[F.when(*bad.get(t, {})[c]).otherwise(F.col("__" + c)).alias(c) if c in bad.get(t, {}) else F.col("__" + c).alias(c)
+                                for c in df.columns]) for t, df in tables.items()}

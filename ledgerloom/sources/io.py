@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import labels as L
-from . import schemas
+from . import quarantine, schemas
 
 
 def load_inputs(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -70,30 +71,32 @@ _RETAIL_RENAMES = {
 }
 
 
-def load_online_retail(spark: SparkSession, path: str, vat_rate: str = "0.20") -> DataFrame:
-    """Online-retail invoice lines (CSV) as a sales table.
+_RETAIL = ["Invoice", "StockCode", "Description", "Quantity", "InvoiceDate", "Price", "Customer ID", "Country"]
 
-    One invoice line becomes one sales row keyed by the invoice number and the
-    line's place in the invoice (by product, time, quantity and price), so lines
-    are not taken for copies of each other.  Gross is quantity times price; net
-    and tax split it at ``vat_rate``; the country stands in for the product
-    category.  Dates in either published layout are accepted.
-    """
-    raw = spark.read.option("header", "true").csv(path)
-    for old, new in _RETAIL_RENAMES.items():
-        if old in raw.columns:
-            raw = raw.withColumnRenamed(old, new)
-    ts = F.coalesce(F.try_to_timestamp(F.col("InvoiceDate"), F.lit("yyyy-MM-dd HH:mm:ss")),
-                    F.try_to_timestamp(F.col("InvoiceDate"), F.lit("M/d/yyyy H:mm")))
-    qty = F.col("Quantity").cast("int")
-    price = F.col("Price").cast("decimal(10,2)")
-    gross = (qty * price).cast("decimal(12,2)")
+
+def _retail_text(spark: SparkSession, path: str) -> DataFrame:
+    """The lines as text under the names of the newer layout."""
+    names = spark.read.option("header", "true").csv(path).columns
+    rows = quarantine.read_text(spark, path, names)
+    return rows.withColumnsRenamed({old: new for old, new in _RETAIL_RENAMES.items() if old in names})
+
+
+def _retail_time() -> Column:
+    return F.coalesce(F.try_to_timestamp(F.col("InvoiceDate"), F.lit("yyyy-MM-dd HH:mm:ss")),
+                      F.try_to_timestamp(F.col("InvoiceDate"), F.lit("M/d/yyyy H:mm")))
+
+
+def _retail_sales(raw: DataFrame, vat_rate: str) -> DataFrame:
+    ts = _retail_time()
+    qty = F.col("Quantity").try_cast("int")
+    price = F.col("Price").try_cast("decimal(10,2)")
+    gross = (qty * price).try_cast("decimal(12,2)")
     net = (gross / (F.lit(1) + F.lit(vat_rate).cast("decimal(4,2)"))).cast("decimal(12,2)")
     cust = F.regexp_replace(F.col("Customer ID"), r"\.0$", "")
     place = F.row_number().over(Window.partitionBy("Invoice").orderBy(
         "StockCode", "InvoiceDate", "Quantity", "Price", "Customer ID", "Country"))
     df = raw.select(
-        F.concat_ws("-", F.col("Invoice"), place.cast("string")).alias("transaction_id"),
+        F.concat("Invoice", F.lit("-"), place.cast("string")).alias("transaction_id"),
         cust.alias("customer_id"),
         F.col("StockCode").alias("product_code"),
         F.col("Country").alias("product_category"),
@@ -111,6 +114,35 @@ def load_online_retail(spark: SparkSession, path: str, vat_rate: str = "0.20") -
     return schemas.conform(df, schemas.SALES)
 
 
+def load_online_retail(spark: SparkSession, path: str, vat_rate: str = "0.20") -> DataFrame:
+    """Online-retail invoice lines (CSV) as a sales table.
+
+    One invoice line becomes one sales row keyed by the invoice number and the
+    line's place in the invoice (by product, time, quantity and price), so lines
+    are not taken for copies of each other; a line without an invoice has no key.
+    Gross is quantity times price; net and tax split it at ``vat_rate``; the
+    country stands in for the product category.  Dates in either published layout
+    are accepted.  Every line is kept: values that cannot be read are NULL.
+    """
+    return _retail_sales(_retail_text(spark, path), vat_rate)
+
+
+def load_online_retail_checked(spark: SparkSession, path: str, vat_rate: str = "0.20") -> tuple[DataFrame, DataFrame]:
+    """(sales, rejected): as :func:`load_online_retail`, of the lines without a fault alone.
+
+    rejected: (reasons, line) of lines that are malformed, have no invoice or whose quantity, price, amount
+    or date cannot be read.  Places are counted among the accepted lines of an invoice.
+    """
+    raw = _retail_text(spark, path)
+    text = StructType([f for f in raw.schema.fields if f.name in _RETAIL])
+    qty, price = F.col("Quantity").try_cast("int"), F.col("Price").try_cast("decimal(10,2)")
+    exact = price == F.col("Price").try_cast("decimal(38,12)")
+    faults = {"bad Quantity": qty.isNull(), "bad Price": price.isNull() | ~exact, "bad InvoiceDate": _retail_time().isNull(),
+              "bad amount": qty.isNotNull() & price.isNotNull() & (qty * price).try_cast("decimal(12,2)").isNull()}
+    checked = quarantine.mark(raw, text, ["Invoice"], faults)
+    return _retail_sales(checked.accepted, vat_rate), checked.rejected
+
+
 def write_outputs(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
     """Write a report or audit table; ``mode='append'`` for audit logs.
