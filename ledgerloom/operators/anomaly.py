@@ -2,7 +2,7 @@
 
 All read the deduplicated sales.  A row's z-score, percentile and fences depend only on its
 category and amount, so they are worked out on the histogram of (category, amount) and
-joined back once, on both columns.  Ranks and quartiles need the histogram in order: amounts
+joined back once, on both columns.  Quartiles are selected by value ranges.  Ranks need the histogram in order: amounts
 have two decimals, so a segment of ``SEGMENT`` currency units holds at most a million
 different ones, and segment sums give every segment its offset (``functions.running``).
 Per-category statistics reach the histogram through its (category, segment) pairs, so
@@ -11,7 +11,9 @@ neither sales rows nor histogram rows are ever dealt by the few category keys al
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import labels as L
 from ..functions.money import pct, quotient, round_double
@@ -125,39 +127,81 @@ _QUARTILES = {"q1": 1, "median_val": 2, "q3": 3}
 
 
 def iqr_stats(clean: DataFrame) -> DataFrame:
-    """Exact linear-interpolation quartiles of net per category (DECIMAL).
+    """Exact linear-interpolation quartiles of net per category (DECIMAL), by selection.
 
     For N values the p-quantile sits at position h = p (N - 1); it is
-    v[floor h] + (h - floor h)(v[floor h + 1] - v[floor h]).  Each needed
-    value is found in the histogram by its running count.  NULL amounts do
-    not count; a category without amounts has NULL quartiles.
+    v[floor h] + (h - floor h)(v[floor h + 1] - v[floor h]).  A histogram of value ranges brackets all
+    positions of all categories at once; then only rows inside a bracket are looked at again,
+    and nothing is ordered but their values.  NULL amounts do not count; a category without
+    amounts has NULL quartiles.
     """
-    return _quartiles(_histogram(clean))
+    return _quartiles(clean)
 
 
-def _quartiles(hist: DataFrame) -> DataFrame:
-    n = F.when(F.col(NET).isNotNull(), F.col(_N)).otherwise(F.lit(0))
-    run = _ranked(hist, n).withColumn("__upto", F.col("__cum")).withColumn("__from", F.col("__cum") - n)
-    total = F.col("__tot")
+#: leading bits of an amount's smallest units that tell its value range
+RANGE_BITS = 12
 
-    def k(q4):  # 0-based rank of the lower neighbour: floor(q4 (N - 1) / 4), in integers
-        pos4 = (total - 1) * q4
-        return ((pos4 - pos4 % 4) / 4).cast("bigint")
 
-    def at(r):
-        return F.max(F.when((F.col("__from") <= r) & (r < F.col("__upto")), F.col(NET)))
+def _value_range(amount: Column) -> Column:
+    """A number for the range of values that ``amount`` is in; it grows with the amount.
 
-    aggs = [F.first("__tot").alias("__tot")]
-    for name, q4 in _QUARTILES.items():
-        aggs += [at(k(q4)).alias(f"__lo_{name}"), at(k(q4) + 1).alias(f"__hi_{name}")]
-    g = run.groupBy(CAT).agg(*aggs)
-    cols = [CAT]
+    Ranges below 2^RANGE_BITS units hold one value each; every doubling above has 2^(RANGE_BITS - 1)
+    ranges.  So a histogram has some ten thousand ranges at most whatever the amounts, parts of it add up,
+    and a range holds few values next to what lies beyond it.
+    """
+    units = F.abs((amount * 100).cast("decimal(38,0)"))
+    # doubles are exact at the powers of two that matter: leading bits are taken from the whole number
+    drop = F.greatest(F.length(F.conv(units.cast("string"), 10, 2)) - RANGE_BITS, F.lit(0))
+    lead = F.call_function("div", units, F.pow(F.lit(2.0), drop).cast("decimal(38,0)"))
+    place = drop * (1 << (RANGE_BITS - 1)) + lead
+    return F.when(amount < 0, -place).otherwise(place).cast("long")
+
+
+_RANGE, _TOT, _BEFORE = "__range", "__tot", "__before"
+
+
+def _lower(q4: int, step: int = 0) -> Column:
+    """The place, from 0, of a quartile's lower neighbour: floor(q4 (N - 1) / 4), in integers; or ``step`` above."""
+    pos4 = (F.col(_TOT) - 1) * q4
+    return ((pos4 - pos4 % 4) / 4).cast("bigint") + step
+
+
+def _places() -> list[Column]:
+    return [_lower(q4, step) for q4 in _QUARTILES.values() for step in (0, 1)]
+
+
+def _holds_a_place(n: Column) -> Column:
+    """Whether a quartile's neighbour is among ``n`` values that stand after ``__before`` others."""
+    held = [(F.col(_BEFORE) <= p) & (p < F.col(_BEFORE) + n) for p in _places()]
+    return reduce(lambda a, b: a | b, held)
+
+
+def _quartiles(clean: DataFrame) -> DataFrame:
+    amounts = clean.select(CAT, NET).withColumn(_RANGE, _value_range(F.col(NET)))
+    ranges = amounts.groupBy(CAT, _RANGE).agg(F.count(NET).alias(_N))
+    upto = Window.partitionBy(CAT).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = ranges.select("*", (F.sum(_N).over(upto) - F.col(_N)).alias(_BEFORE), F.sum(_N).over(Window.partitionBy(CAT)).alias(_TOT))
+    brackets = ranges.where(_holds_a_place(F.col(_N))).select(CAT, _RANGE, _TOT, _BEFORE)
+    # a NULL category is one, and NULL amounts have no range: the join keys are the histogram's
+    key = lambda df: df.withColumn("__no_cat", F.col(CAT).isNull()).withColumn("__cat", F.coalesce(CAT, F.lit("")))
+    inside = key(amounts.where(F.col(NET).isNotNull())).drop(CAT).join(key(brackets), ["__no_cat", "__cat", _RANGE])
+    values = inside.groupBy(CAT, _RANGE, NET, _TOT, _BEFORE).agg(F.count(F.lit(1)).alias(_N))
+    within = Window.partitionBy(CAT, _RANGE).orderBy(NET).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    values = values.withColumn(_BEFORE, F.col(_BEFORE) + F.sum(_N).over(within) - F.col(_N))
+
+    def at(place):
+        return F.max(F.when((F.col(_BEFORE) <= place) & (place < F.col(_BEFORE) + F.col(_N)), F.col(NET)))
+
+    found = [at(_lower(q4, step)).alias(f"__{side}_{name}") for name, q4 in _QUARTILES.items() for step, side in enumerate(("lo", "hi"))]
+    g = values.groupBy(CAT).agg(F.first(_TOT).alias(_TOT), *found)
+    cols = []
     for name, q4 in _QUARTILES.items():
-        rem = ((F.col("__tot") - 1) * q4) % 4
+        rem = ((F.col(_TOT) - 1) * q4) % 4
         lo, hi = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
         cols.append(F.when(rem == 0, lo.cast("decimal(38,6)"))
                     .otherwise((lo + (hi - lo) * rem / 4).cast("decimal(38,6)")).alias(name))
-    return g.select(*cols)
+    empty = ranges.where(F.col(_TOT) == 0).select(CAT, *[F.lit(None).cast("decimal(38,6)").alias(name) for name in _QUARTILES])
+    return g.select(CAT, *cols).unionByName(empty)
 
 
 def iqr_fences(stats: DataFrame, iqr_k: float = L.IQR_K) -> DataFrame:
@@ -183,7 +227,7 @@ def iqr_summary(clean: DataFrame, iqr_k: float = L.IQR_K) -> DataFrame:
 def _values_outside(clean: DataFrame, iqr_k: float) -> DataFrame:
     """The (category, amount) pairs outside their category's fences, with the fences."""
     hist = _histogram(clean.filter(F.col(CAT).isNotNull()))
-    values = _with_category(hist, iqr_fences(_quartiles(hist), iqr_k))
+    values = _with_category(hist, iqr_fences(_quartiles(clean.filter(F.col(CAT).isNotNull())), iqr_k))
     return values.filter((F.col(NET) > F.col("upper_fence")) | (F.col(NET) < F.col("lower_fence")))
 
 

@@ -46,7 +46,11 @@ def period_scorecard(recon: DataFrame, rag: tuple[float, float] = (L.RAG_GREEN_A
     RAG is decided on the exact (unrounded) value-weighted rate.  The LAG
     window runs over one row per month, a table bounded by the calendar.
     """
-    s = period_summary(recon)
+    return scorecard_of(period_summary(recon), rag)
+
+
+def scorecard_of(s: DataFrame, rag: tuple[float, float] = (L.RAG_GREEN_AT, L.RAG_AMBER_AT)) -> DataFrame:
+    """S2 from S1."""
     m, t = F.col("matched_revenue"), F.col("total_revenue_source")
     prior = F.lag("unreconciled_variance").over(Window.orderBy("period"))
     return (s.select(
@@ -95,6 +99,11 @@ def executive_summary(recon: DataFrame) -> DataFrame:
     a = recon.agg(F.min("transaction_date").alias("d0"), F.max("transaction_date").alias("d1"),
                   F.count(F.lit(1)).alias("n"), total.alias("total"), matched.alias("matched"),
                   unrec.alias("unrec"), exc.alias("exc"))
+    return summary_text(a)
+
+
+def summary_text(a: DataFrame) -> DataFrame:
+    """S4 from one row of d0, d1, n, total, matched, unrec and exc."""
     return a.select(
         F.date_format("d0", L.SUMMARY_DATE_FORMAT).alias("period_start"),
         F.date_format("d1", L.SUMMARY_DATE_FORMAT).alias("period_end"),

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.money import MONEY, round_double
-from ..operators import anomaly, dedup, deferred, matching, profile, scorecard
+from ..operators import anomaly, dedup, deferred, fanout, matching, profile, scorecard
 from ..sources import derive, io, quarantine, schemas
 
 # as-of date used for the deferred-revenue schedule and the audit stamp
@@ -189,6 +189,21 @@ def _m13(t):
     return matching.exception_type_summary(_recon(t))
 
 
+@query("m14_status_totals")
+def _m14(t):
+    return fanout.status_totals(*_sgb(t))
+
+
+@query("s2_scorecard_from_totals")
+def _s2t(t):
+    return fanout.period_scorecard(fanout.status_totals(*_sgb(t)))
+
+
+@query("s4_summary_from_totals_dedup")
+def _s4t(t):
+    return fanout.executive_summary(fanout.status_totals(*_sgb(t), source="dedup"))
+
+
 # ---- S: scorecard ----------------------------------------------------------
 @query("s1_period_summary")
 def _s1(t):
