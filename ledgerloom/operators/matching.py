@@ -200,17 +200,18 @@ def reconciliation_detail(sales: DataFrame, gl: DataFrame, bank: DataFrame,
 
 
 def reconciliation_view(recon: DataFrame, path: str | None = None,
-                        view_name: str = "vw_three_way_reconciliation") -> DataFrame:
+                        view_name: str = "vw_three_way_reconciliation", only_written_months: bool = True) -> DataFrame:
     """The reconciliation with its period, published as a view.
 
     With ``path`` it is stored once as parquet partitioned by period and the
     view reads the stored rows.  Rows are rebalanced by period first: a month
     has as many files as its size needs, not one per task.  Only the months
-    that are written are replaced.
+    that are written are replaced; with ``only_written_months=False`` the whole
+    table is, so that no month of an earlier run stays behind.
     """
     out = recon.withColumn("period", period(F.col("transaction_date")))
     if path:
-        (out.hint("rebalance", F.col("period")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (out.hint("rebalance", F.col("period")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only_written_months else "static")
          .partitionBy("period").parquet(path))
         out = recon.sparkSession.read.parquet(path).withColumn("period", F.col("period").cast("string"))
     out.createOrReplaceTempView(view_name)

@@ -99,8 +99,7 @@ def _d4(t):
 
 @query("d5_dedup_validation")
 def _d5(t):
-    s = _sgb(t)[0]
-    return dedup.dedup_validation(s, dedup.sales_deduplicated(s))
+    return dedup.dedup_validation(_sgb(t)[0], _clean(t))
 
 
 # ---- M: three-way match ----------------------------------------------------

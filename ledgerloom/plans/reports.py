@@ -4,6 +4,9 @@ The clean sales and the reconciliations are stored once and all reports read the
 tables; the reconciliation is published as a view.  Outputs with a ``period`` column are
 partitioned by it so report readers prune by month.  The audit log keeps every run: its rows
 go to the partition of their ``run_id``, and running one id again replaces just that one.
+
+A run into the folder of an earlier one replaces its tables in place; ``publish.publish_reports`` gives
+every run a folder of its own and shows it to readers when it is whole.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ def store_shared(tables: dict[str, DataFrame], out_dir: str) -> dict[str, DataFr
     found = dict(tables, sales_deduplicated=clean)
     for source, rows in zip(SOURCES, (sales, clean)):
         recon = matching.reconciliation(rows, gl, bank)
-        view = matching.reconciliation_view(recon, f"{out_dir}/_reconciliation_{source}", f"vw_three_way_reconciliation_{source}")
+        view = matching.reconciliation_view(recon, f"{out_dir}/_reconciliation_{source}", f"vw_three_way_reconciliation_{source}",
+                                            only_written_months=False)
         found[f"reconciliation_{source}"] = view.drop("period")
     return found
 

@@ -147,8 +147,11 @@ def write_outputs(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
     """Write a report or audit table; ``mode='append'`` for audit logs.
 
-    Partition scorecard-style outputs by ``period`` so readers prune.
+    Partition scorecard-style outputs by ``period`` so readers prune.  Rows are rebalanced by the
+    partition columns first: a partition has as many files as its size needs, not one per task.
     """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -1,0 +1,57 @@
+"""Runs into one place: no stale months, and no half runs for readers."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.plans import catalog, publish, reports
+
+NAMES = ["s2_period_scorecard", "m12_exception_breakdown", "d3_dedup_audit_log"]
+
+
+def january(fx):
+    return dict(fx, sales_transactions=fx["sales_transactions"].where(F.month("transaction_date") == 1))
+
+
+def test_a_second_run_over_fewer_months_shows_no_earlier_month(spark, fx, tmp_path):
+    reports.write_reports(fx, str(tmp_path), NAMES)
+    assert spark.read.parquet(f"{tmp_path}/s2_period_scorecard").count() == 3
+    reports.write_reports(january(fx), str(tmp_path), NAMES)
+    assert [str(r.period) for r in spark.read.parquet(f"{tmp_path}/s2_period_scorecard").collect()] == ["2024-01"]
+    assert spark.read.parquet(f"{tmp_path}/_reconciliation_raw").count() == 5
+    assert spark.read.parquet(f"{tmp_path}/m12_exception_breakdown").agg(F.sum("transaction_count")).first()[0] == 5
+
+
+def test_readers_see_whole_runs_only(spark, fx, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    assert publish.current(spark, root) is None
+    with pytest.raises(ValueError, match="nothing is published"):
+        publish.read_report(spark, root, NAMES[0])
+    first = publish.publish_reports(fx, root, NAMES, run_id="a")
+    assert publish.current(spark, root) == first and publish.read_report(spark, root, NAMES[0]).count() == 3
+
+    def broken(t):
+        raise RuntimeError("in the middle")
+
+    monkeypatch.setitem(catalog.OPS, "m12_exception_breakdown", broken)
+    with pytest.raises(RuntimeError, match="in the middle"):
+        publish.publish_reports(january(fx), root, NAMES, run_id="b")
+    # the scorecard of the failed run is written, but nobody reads it
+    assert publish.current(spark, root) == first
+    assert sorted(r.period for r in publish.read_report(spark, root, NAMES[0]).collect()) == ["2024-01", "2024-02", "2024-03"]
+    monkeypatch.undo()
+
+    second = publish.publish_reports(january(fx), root, NAMES, run_id="b")
+    assert publish.current(spark, root) == second != first
+    assert [r.period for r in publish.read_report(spark, root, NAMES[0]).collect()] == ["2024-01"]
+    # the version before is still there for those who read it
+    assert spark.read.parquet(f"{first}/{NAMES[0]}").count() == 3
+
+
+def test_the_audit_log_holds_the_published_runs(spark, fx, tmp_path):
+    root = str(tmp_path)
+    assert publish.audit_log(spark, root).collect() == []
+    for run in ("a", "b", "b"):
+        publish.publish_reports(fx, root, NAMES[2:], run_id=run)
+    log = publish.audit_log(spark, root)
+    assert sorted((r.run_id, r.transaction_id) for r in log.collect()) == [("a", "TXN-001"), ("b", "TXN-001")]
+    assert [r.run_id for r in publish.published(spark, root).orderBy("n").collect()] == ["a", "b", "b"]
