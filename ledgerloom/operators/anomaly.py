@@ -256,10 +256,21 @@ def iqr_flagged_ids(clean: DataFrame, iqr_k: float = L.IQR_K) -> DataFrame:
         "transaction_id", F.lit(L.METHOD_IQR).alias("method"))
 
 
-def flagged_by_both(clean: DataFrame) -> DataFrame:
-    """Distinct ids flagged by both methods (INTERSECT; NULL equals NULL)."""
-    return zscore_flagged_ids(clean).select("transaction_id").intersect(
-        iqr_flagged_ids(clean).select("transaction_id"))
+def flagged_by_both(clean: DataFrame, z_threshold: float = L.Z_THRESHOLD, iqr_k: float = L.IQR_K) -> DataFrame:
+    """Distinct ids flagged by both methods (NULL is an id, too).
+
+    Both flags of a row depend on its category and amount: they are decided on one histogram, reach
+    the rows in one join, and an id needs either flag on some row of its.
+    """
+    stats = category_stats(clean).select(CAT, "mean_net_revenue", "std_net_revenue")
+    fences = iqr_fences(_quartiles(clean.filter(F.col(CAT).isNotNull())), iqr_k).select(CAT, "lower_fence", "upper_fence")
+    values = _with_category(_histogram(clean), join_null_safe(stats, fences, [CAT], "left"))
+    outside = (F.col(NET) > F.col("upper_fence")) | (F.col(NET) < F.col("lower_fence"))
+    values = values.select(CAT, NET, F.coalesce(F.abs(_z()) > z_threshold, F.lit(False)).alias("__z"), F.coalesce(outside, F.lit(False)).alias("__iqr"))
+    values = values.where(F.col("__z") | F.col("__iqr"))
+    rows = join_null_safe(clean.select("transaction_id", CAT, NET), values, [CAT, NET])
+    return rows.groupBy("transaction_id").agg(F.bool_or("__z").alias("__z"), F.bool_or("__iqr").alias("__iqr")) \
+        .where(F.col("__z") & F.col("__iqr")).select("transaction_id")
 
 
 def highest_priority(clean: DataFrame) -> DataFrame:

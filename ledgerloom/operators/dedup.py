@@ -52,20 +52,40 @@ def duplicate_summary(sales: DataFrame) -> DataFrame:
                      F.col(KEY).asc_nulls_first()))
 
 
-def _numbered(sales: DataFrame, mode: str) -> DataFrame:
+def _micros(t: Column) -> Column:
+    """A wall-clock time as a whole number that grows with it; of NULL the least."""
+    seconds = (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
+    day = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return F.coalesce(((day * 24 + F.hour(t)) * 60 + F.minute(t)) * 60_000_000 + seconds, F.lit(-(1 << 62)))
+
+
+def _numbered(sales: DataFrame, mode: str, gl: DataFrame | None = None) -> DataFrame:
     """Rows of repeated ids (NULL is one) with ``total_copies`` and ``row_number`` in the id.
 
     Copies are numbered by segments of (id, modification time[, preference], system): counts
-    per segment give each its offset, so an id with any number of copies is spread out.
+    per segment give each its offset, so an id with any number of copies is spread out.  Ids and
+    segments have keys without NULL, by which rows are joined to their offsets and then ordered: they
+    are shuffled once, and those of ids without copies not at all where the offsets are broadcast.  With
+    ``gl``, ``has_gl_posting`` is found out for the segments and comes with them.
     """
-    levels = [("last_modified_date", F.col("last_modified_date").desc_nulls_last())]
+    def repeated(segments: DataFrame) -> DataFrame:
+        some = segments.where(F.col("total_copies") > 1)
+        if gl is None:
+            return some
+        refs = (gl.where(F.col("source_reference").isNotNull()).select(F.concat(F.lit("i"), F.col("source_reference")).alias("__id"))
+                .distinct().withColumn("__posted", F.lit(True)))
+        return some.join(refs, "__id", "left").withColumn("has_gl_posting", F.coalesce("__posted", F.lit(False))).drop("__posted")
+
+    keyed = (sales.withColumn("__id", F.coalesce(F.concat(F.lit("i"), F.col(KEY)), F.lit("none")))
+             .withColumn("__time", _micros(F.col("last_modified_date")))
+             .withColumn("__system", F.coalesce(F.concat(F.lit("0"), F.col("source_system")), F.lit("1"))))
+    levels = [("__time", F.col("__time").desc())]
     if mode == "full_rules":
-        sales = sales.withColumn("__pref", F.when(F.col("source_system") == L.PREFERRED_SOURCE_SYSTEM, 0).otherwise(1))
+        keyed = keyed.withColumn("__pref", F.when(F.col("source_system") == L.PREFERRED_SOURCE_SYSTEM, 0).otherwise(1))
         levels.append(("__pref", F.col("__pref").asc()))
-    levels.append(("source_system", F.col("source_system").asc_nulls_last()))
-    n = running_sum(sales, F.lit(1).cast("bigint"), dedup_order(mode), levels, partition_by=[KEY],
-                    out="row_number", total_out="total_copies")
-    return n.filter(F.col("total_copies") > 1)
+    levels.append(("__system", F.col("__system").asc()))
+    return running_sum(keyed, F.lit(1).cast("bigint"), dedup_order(mode), levels, partition_by=["__id"],
+                       out="row_number", total_out="total_copies", nullable=False, on_segments=repeated)
 
 
 def dedup_preview(sales: DataFrame, gl: DataFrame | None = None,
@@ -73,21 +93,17 @@ def dedup_preview(sales: DataFrame, gl: DataFrame | None = None,
     """Every copy of a repeated id, marked KEEP (row 1) or REMOVE.
 
     With ``gl``, ``has_gl_posting`` says whether any posting references the
-    id (the EXISTS rule, as a left join on the distinct references).  It is
+    id (the EXISTS rule, as a left join of the ids with the distinct references).  It is
     the same for every copy of an id, so it cannot change which copy is kept.
     """
-    n = _numbered(sales, mode)
+    n = _numbered(sales, mode, gl)
     cols = [KEY, "customer_id", "transaction_date", "net_revenue", "source_system",
             "last_modified_date", "total_copies",
             F.when(F.col("row_number") == 1, L.DEDUP_KEEP)
              .otherwise(L.DEDUP_REMOVE).alias("dedup_action"),
             "row_number"]
     if gl is not None:
-        refs = (gl.select(F.col("source_reference").alias("__ref"))
-                .filter(F.col("__ref").isNotNull()).distinct()
-                .withColumn("__posted", F.lit(True)))
-        n = n.join(refs, n[KEY] == refs["__ref"], "left")
-        cols.append(F.coalesce(F.col("__posted"), F.lit(False)).alias("has_gl_posting"))
+        cols.append("has_gl_posting")
     return n.select(*cols).orderBy(F.col(KEY).asc_nulls_first(), "row_number")
 
 

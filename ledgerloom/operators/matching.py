@@ -218,6 +218,10 @@ def reconciliation_view(recon: DataFrame, path: str | None = None,
     return out
 
 
+def _is_collated(df: DataFrame) -> bool:
+    return getattr(df.schema[KEY].dataType, "collation", "UTF8_BINARY") != "UTF8_BINARY"
+
+
 def gap_detection(sales: DataFrame, gl: DataFrame, bank: DataFrame) -> DataFrame:
     """Ids present in some systems but not all (a full outer match on id).
 
@@ -233,9 +237,13 @@ def gap_detection(sales: DataFrame, gl: DataFrame, bank: DataFrame) -> DataFrame
         ids(gl.filter(F.col("account_type") == L.ACCOUNT_REVENUE), "source_reference", "in_gl"),
         ids(bank, "reference_id", "in_bank"),
     ])
-    g = (u.groupBy(KEY)
-         .agg(*[(F.max(c) == 1).alias(c) for c in ("in_source", "in_gl", "in_bank")])
-         .filter(~(F.col("in_source") & F.col("in_gl") & F.col("in_bank"))))
+    flags = [(F.max(c) == 1).alias(c) for c in ("in_source", "in_gl", "in_bank")]
+    if _is_collated(u):  # of the spellings of one id, the first system's, and there the least
+        spelt = F.min(F.struct(-F.col("in_source"), -F.col("in_gl"), F.collate(KEY, "UTF8_BINARY").alias("id"))).alias("__spelt")
+        g = u.groupBy(KEY).agg(*flags, spelt).withColumn(KEY, F.col("__spelt.id")).drop("__spelt")
+    else:
+        g = u.groupBy(KEY).agg(*flags)
+    g = (g.filter(~(F.col("in_source") & F.col("in_gl") & F.col("in_bank"))))
     missing = F.concat_ws(", ", F.when(~F.col("in_source"), F.lit("SOURCE")),
                           F.when(~F.col("in_gl"), F.lit("GL")),
                           F.when(~F.col("in_bank"), F.lit("BANK")))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..functions import labels as L
 from ..functions.dates import period
 from ..functions.money import money_sum, pct
+from ..sources import schemas
 
 
 def _null_count(c: str):
@@ -36,18 +37,50 @@ def source_overview(sales: DataFrame, gl: DataFrame) -> DataFrame:
     return s.unionByName(g)
 
 
-def completeness(sales: DataFrame) -> DataFrame:
-    """NULL counts for seven fields and % complete for two, in one pass."""
+def _completeness() -> list[Column]:
     n = F.count(F.lit(1))
     filled = lambda c: F.sum(F.when(F.col(c).isNotNull(), 1).otherwise(0))
-    return sales.agg(
+    return [
         n.alias("total_rows"),
         *[_null_count(c).alias(f"null_{c}") for c in
           ("transaction_id", "customer_id", "product_code", "transaction_date",
            "gross_revenue", "net_revenue", "tax_amount")],
         pct(filled("transaction_id"), n, 2).alias("pct_complete_transaction_id"),
         pct(filled("gross_revenue"), n, 2).alias("pct_complete_gross_revenue"),
-    )
+    ]
+
+
+def completeness(sales: DataFrame) -> DataFrame:
+    """NULL counts for seven fields and % complete for two, in one pass."""
+    return sales.agg(*_completeness())
+
+
+def store_profiled(tables: dict[str, DataFrame], path: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Store the input tables and profile them in the same pass.
+
+    Returns scans of the stored tables, and A1 (null keys), A3 (row counts of the ledger systems) and P2
+    (completeness) by query name.  The figures are observed by the write itself, in its last stage, where
+    a task counts once however often it is tried; no table is read again for them.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    stored, seen = {}, {}
+    for name, df in tables.items():
+        to, seen[name] = f"{path.rstrip('/')}/{name}", Observation(f"profile {name}")
+        metrics = [F.count(F.lit(1)).alias("__rows"), F.count_if(F.col(schemas.KEY_COLUMNS[name]).isNull()).alias("__null_keys")]
+        if name == "sales_transactions":
+            metrics += _completeness()
+        df.hint("rebalance").observe(seen[name], *metrics).write.mode("overwrite").parquet(to)
+        stored[name] = spark.read.schema(df.schema).parquet(to)
+    found = {name: o.get for name, o in seen.items()}
+    figures = {
+        "a1_null_keys": spark.createDataFrame([(t, schemas.KEY_COLUMNS[t], int(f["__null_keys"])) for t, f in found.items()],
+                                              "tbl string, key_column string, null_rows long"),
+        "a3_table_row_counts": spark.createDataFrame([(t, int(found[t]["__rows"])) for t in L.COUNTED_TABLES if t in found], "tbl string, rows long"),
+    }
+    if "sales_transactions" in found:
+        schema = completeness(stored["sales_transactions"]).schema
+        figures["p2_completeness"] = spark.createDataFrame([tuple(found["sales_transactions"][c] for c in schema.names)], schema)
+    return stored, figures
 
 
 def duplicate_keys(sales: DataFrame) -> DataFrame:

@@ -57,6 +57,13 @@ def normalised_keys(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
             for t, df in tables.items()}
 
 
+def collated_keys(tables: dict[str, DataFrame], collation: str = "UTF8_LCASE_RTRIM") -> dict[str, DataFrame]:
+    """The tables with transaction references under a collation: ids that it holds for equal are one id to every
+    join, group and window, and are shown as they are stored."""
+    return {t: df.withColumn(c, F.collate(F.col(c), collation)) if (c := schemas.REFERENCE_COLUMNS.get(t)) else df
+            for t, df in tables.items()}
+
+
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(tbl, rows) for sales, ledger and bank: one global count each."""
     parts = [tables[t].agg(F.count(F.lit(1)).alias("rows"))

@@ -52,3 +52,23 @@ def test_no_rows_are_dealt_by_the_few_categories_alone(stored, name):
         if alone:
             below = re.sub(r"^[^A-Za-z]*", "", lines[i + 1])
             assert re.match("HashAggregate|SortAggregate|Project|ObjectHashAggregate", below), f"{name}: {below}"
+
+
+@pytest.mark.parametrize("name", ["d2_dedup_preview", "d3_dedup_audit_log"])
+def test_rows_of_copies_are_shuffled_once_to_be_numbered(stored, name):
+    """By the keys of their segments, for the join with the offsets and for the window alike."""
+    lines = _plan(catalog.OPS[name](stored)).splitlines()
+    whole = [i for i, x in enumerate(lines) if "FileScan" in x and "unit_price" in x]
+    assert len(whole) == 1
+    depth = lambda x: len(re.match(r"[^A-Za-z(*]*", x)[0])
+    over, at = [], depth(lines[whole[0]])
+    for x in reversed(lines[:whole[0]]):
+        if depth(x) < at:  # an operator above the scan
+            at = depth(x)
+            over.append(x)
+    assert sum("Exchange hashpartitioning" in x for x in over) == 1
+
+
+def test_both_methods_share_one_join_to_the_rows(stored):
+    plan = _plan(catalog.OPS["n9_flagged_by_both"](stored))
+    assert "LeftSemi" not in plan
