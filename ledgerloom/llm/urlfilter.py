@@ -4,7 +4,8 @@ Rules are ``action host/path``.  A rule fits its host and all subdomains, if the
 starts with the rule's path; of several, the longest wins.  The other URLs are judged by
 boosted trees on lexical features: lengths, depth, digit ratio, entropy, parameter counts,
 hyphens, labels, and statistics of the host's suffixes in all labelled URLs (smoothed share
-of blocked ones by last label and by first path segment; a repeated URL counts once).  Only
+of blocked ones by last label and by first path segment; a repeated URL counts once).  A training
+row's shares are those of the other folds, so that its own label does not speak for it.  Only
 the trees' training takes a bounded sample of them (``train_rows``, smallest hashes first).
 Without an URL of either kind the more frequent label, or else allow, is the answer.
 
@@ -28,6 +29,9 @@ RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example
 
 TRAIN_ROWS = 20_000
 TREES, DEPTH = 8, 4
+ENDS = ("suffix", "lead")
+FOLDS = 5
+FEW = 100_000  # suffixes and leads that are broadcast: some megabytes
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = "(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -75,9 +79,33 @@ def with_ends(urls: DataFrame) -> DataFrame:
     return urls.withColumns({"suffix": F.substring_index("host", ".", -1), "lead": F.regexp_extract("path", "^/([^/]*)", 1)})
 
 
-def _blocked_share(rows: DataFrame, key: str) -> DataFrame:
-    """Per value of ``key``: the smoothed share of blocked URLs."""
-    return rows.groupBy(key).agg(((F.sum("label") + F.lit(1.0)) / (F.count("*") + F.lit(2.0))).alias(f"f_{key}"))
+def end_counts(known: DataFrame) -> DataFrame:
+    """(kind, value, n, blocked, fold_n, fold_blocked): labelled URLs by suffix and by lead, in all and in each fold."""
+    ends = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in ENDS]))
+    rows = with_ends(with_parts(known)).select("label", _fold().alias("fold"), ends.alias("end")).select("label", "fold", "end.*")
+    each = lambda f: F.array(*[f(F.when(F.col("fold") == k, F.col("label"))) for k in range(FOLDS)])
+    return rows.groupBy("kind", "value").agg(
+        F.count("label").alias("n"), F.sum("label").alias("blocked"), each(F.count).alias("fold_n"),
+        each(lambda c: F.coalesce(F.sum(c), F.lit(0.0))).alias("fold_blocked"))
+
+
+def _fold() -> Column:
+    return F.pmod(F.crc32(F.coalesce("url", F.lit("")).cast("binary")), F.lit(FOLDS)).cast("int")
+
+
+def with_shares(urls: DataFrame, counts: DataFrame, few: bool, out_of_fold: bool = False) -> DataFrame:
+    """``urls`` with f_suffix and f_lead, the smoothed shares of blocked URLs.
+
+    out_of_fold: over the other folds only, so that a training row's own label is no part of its features.
+    few: ``counts`` are known to be few and are broadcast; else they are joined, skewed keys as the session splits them.
+    """
+    for kind in ENDS:
+        share = counts.where(F.col("kind") == kind).select(F.col("value").alias(kind), "n", "blocked", "fold_n", "fold_blocked")
+        urls = urls.join(F.broadcast(share) if few else share, kind, "left")
+        less = (lambda c: F.get(f"fold_{c}", _fold())) if out_of_fold else (lambda c: F.lit(0))
+        n, blocked = (F.coalesce(F.col(c) - less(c), F.lit(0)) for c in ("n", "blocked"))
+        urls = urls.withColumn(f"f_{kind}", (blocked + 1.0) / (n + 2.0)).drop("n", "blocked", "fold_n", "fold_blocked")
+    return urls
 
 
 def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: tuple[tuple[str, str], ...] = RULES,
@@ -94,23 +122,18 @@ def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: tuple[tupl
     known = saved(labelled.select("url", F.col("label").cast("double").alias("label")).where("label IS NOT NULL")
                   .groupBy("url").agg(F.max("label").alias("label")))
     total = lambda df: df.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
-    train = saved(features(with_parts(known.orderBy(F.md5(F.coalesce("url", F.lit(""))), "url").limit(train_rows))))
+    train = known.orderBy(F.md5(F.coalesce("url", F.lit(""))), "url").limit(train_rows)
+    train = saved(features(with_parts(train)).coalesce(1))  # at most train_rows short rows: many small steps follow
     n, blocked = total(train)
     rows = features(ruled)
     if 0 < blocked < n:
-        # of all labelled URLs: as many values as there are, so no broadcast is asked for
-        ends = with_ends(with_parts(known))
-        shares = {key: saved(_blocked_share(ends, key)) for key in ("suffix", "lead")}
-        names = [c for c in train.columns if c.startswith("f_")] + ["f_suffix", "f_lead"]
-
-        def vectors(df):
-            for key, share in shares.items():
-                df = df.join(share, key, "left")
-            df = df.fillna(0.5, ["f_suffix", "f_lead"])
-            return VectorAssembler(inputCols=names, outputCol="features").transform(df)
-
-        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=7, cacheNodeIds=False).fit(vectors(train))
-        rows = model.transform(vectors(rows)).withColumn("score", vector_to_array("probability")[1])
+        counts = saved(end_counts(known))  # of all labelled URLs
+        few = counts.limit(FEW + 1).count() <= FEW
+        names = [c for c in train.columns if c.startswith("f_")] + [f"f_{kind}" for kind in ENDS]
+        vectors = VectorAssembler(inputCols=names, outputCol="features").transform
+        fitted = saved(vectors(with_shares(train, counts, few, out_of_fold=True)).select("features", "label").coalesce(1))
+        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=7, cacheNodeIds=False).fit(fitted)
+        rows = model.transform(vectors(with_shares(rows, counts, few))).withColumn("score", vector_to_array("probability")[1])
     else:
         n, blocked = total(known)
         rows = rows.withColumn("score", F.lit(float(2 * blocked > n)))
