@@ -37,7 +37,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .components import components
-from .idfilter import IdFilter
 from .storage import fresh_name, saved
 from .textops import SPACED, U64, chunks, mix, shingle_sets, shingles, sized_shingle_sets
 
@@ -46,6 +45,7 @@ BITMAP_WORDS = 32  # 2,048 bits per set or node
 FANOUT = 8
 BLOCK_SHINGLES = 500_000  # about 4 MB of hashes in a block
 TASK_SHINGLES = 1_500_000  # units handled by one traversal
+FEW = 200_000  # rows of a few numbers that are broadcast
 SHARED_STEP = 50  # one more shared prefix shingle is asked for every so many shingles of a set
 
 
@@ -139,16 +139,23 @@ def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) ->
     kept = saved(found.where("n > 0").groupBy("root").agg(F.min(row).alias("row")).select("row.doc_id", "row.n", "row.s1", "row.s2"))
     again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
     out = found.where("n > 0 AND doc_id IS NOT NULL").select("doc_id").join(kept, "doc_id", "left_anti")
-    suspects = IdFilter(out.union(again).distinct())  # only their texts are shuffled; rows without doc_id are among them
     into = fresh_name(docs, "set")
-    schema = StructType([*docs.schema.fields, *(StructField(f"{into}_{c}", LongType()) for c in ("n", "s1", "s2"))])
-    rows = suspects.rows(docs, "doc_id", True).mapInArrow(_with_set_sums(width, schema.names), schema)
+    suspects = saved(out.union(again).distinct().select(F.col("doc_id").alias(f"{into}_id")))  # only their texts are looked at
+    of = F.col("doc_id") == F.col(f"{into}_id")
+    few = _few(suspects)
+    clear = docs.where("doc_id IS NOT NULL").join(few, of, "left_anti")
+    unclear = docs.join(few, of, "left_semi").union(docs.where("doc_id IS NULL"))
+    # columns go by place from here on: names that hold dots do not reach Python functions
+    safe = [c if c in ("doc_id", "text") else f"{into}_column{k}" for k, c in enumerate(docs.columns)]
+    unclear = unclear.toDF(*safe)
+    schema = StructType([*unclear.schema.fields, *(StructField(f"{into}_{c}", LongType()) for c in ("n", "s1", "s2"))])
+    rows = unclear.mapInArrow(_with_set_sums(width, schema.names), schema)
     key = ["doc_id", *(f"{into}_{c}" for c in ("n", "s1", "s2"))]
-    kept = kept.toDF("kept_id", "kept_n", "kept_s1", "kept_s2")
-    mine = rows.where(f"{into}_n > 0").select(F.struct(*schema.names).alias("r"), *(F.col(k).alias(f"k{i}") for i, k in enumerate(key)))
-    mine = mine.join(kept, [F.col(f"k{i}").eqNullSafe(F.col(c)) for i, c in enumerate(kept.columns)], "left_semi").select("r.*").dropDuplicates(key)
+    names = [f"{into}_kept_{c}" for c in ("id", "n", "s1", "s2")]
+    same = [F.col(mine).eqNullSafe(F.col(theirs)) for mine, theirs in zip(key, names)]
+    mine = rows.where(f"{into}_n > 0").join(kept.toDF(*names), same, "left_semi").dropDuplicates(key)
     blank = rows.where(f"{into}_n = 0").dropDuplicates(["doc_id", "text"])
-    return suspects.rows(docs, "doc_id", False).unionByName(mine.select(docs.columns)).unionByName(blank.select(docs.columns))
+    return clear.union(mine.select(safe)).union(blank.select(safe))
 
 
 def _need(n: int, num: int, den: int) -> int:
@@ -267,14 +274,42 @@ def runs(num: int, den: int):
     return run
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """``rows``, to be broadcast if they are counted to be at most ``FEW``."""
+    return F.broadcast(rows) if rows.limit(FEW + 1).count() <= FEW else rows
+
+
 def _tree_join(docs: DataFrame, work: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(a, b) links between sets (s1) found in each (leader, block, part); ``root`` is the known component."""
-    docs = IdFilter(work.select("class_id")).rows(docs, "doc_id", True)
-    texts = docs.join(work, docs["doc_id"] == work["class_id"]).select("leader", "block", "part", "class_id", "s1", "root", "text")
+    """(a, b) links between sets (s1) found in each (leader, block, part); ``root`` is the known component.
+
+    Texts meet their units by doc_id and set, so rows that repeat a doc_id go to the units of their own sets only.
+    """
+    work = saved(work)
+    wanted = work.select(F.col("class_id").alias("wanted")).distinct()
+    some = docs.join(_few(wanted), F.col("doc_id") == F.col("wanted"), "left_semi").select("doc_id", "text")
+    sets = some.mapInArrow(_texts_of_sets(width), "id long, sum long, text string")
+    texts = sets.join(_few(work), (F.col("id") == F.col("class_id")) & (F.col("sum") == F.col("s1")))
+    texts = texts.select("leader", "block", "part", "class_id", "s1", "root", "text")
     return (texts.repartition("leader", "block", "part").sortWithinPartitions("leader", "block", "part")
             .mapInArrow(_traverser(width, num, den), "a long, b long"))
 
 
+def _texts_of_sets(width: int):
+    """doc_id, first sum of the set, and text of (doc_id, text); equal ones of a batch once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, sums, at, known = batch.column(0).to_pylist(), [], [], set()
+            for first, w in chunks(batch.column(1), SPACED):
+                for i, s in shingle_sets(w, width):
+                    if len(s) and (key := (ids[first + i], set_sums_of(s)[0])) not in known:
+                        known.add(key)
+                        at.append(first + i)
+                        sums.append(key[1])
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(sums, pa.int64()), batch.column(1).take(at)], ["id", "sum", "text"])
+    return run
+
+
 def _traverser(width: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[tuple, int, int, np.ndarray]] = []

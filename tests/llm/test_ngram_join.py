@@ -125,3 +125,22 @@ def test_banded_fingerprints_find_the_near_copies(docs_of):
     assert {d for d in got if got[d] != d} <= {d for d in want if want[d] != d}
     missed = [d for d in want if got[d] != want[d]]
     assert len(missed) <= 0.1 * sum(want[d] != d for d in want)
+
+
+def test_keep_one_with_dotted_names_and_rows_of_one_doc_id(spark):
+    base = [f"w{i} " for i in range(60)]
+    rows = [(1, "".join(base), 0.5), (2, "".join(base[1:]), 0.5), (3, "x y z", None), (3, "".join(base), 1.0), (None, "".join(base), 2.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` double")
+    out = ngram_join.keep_one(docs, 5, 80, 100)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([rows[0], rows[2]], key=str)
+
+
+def test_texts_of_one_doc_id_go_to_the_units_of_their_own_sets(spark):
+    """Pairs of near copies whose first texts all bear one doc_id: as many links as with ids of their own."""
+    pairs = [[" ".join(f"p{k}w{i}" for i in range(40)), " ".join(f"p{k}w{i}" for i in range(1, 40))] for k in range(30)]
+    rows = [(7, a) for a, _ in pairs] + [(100 + k, b) for k, (_, b) in enumerate(pairs)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = ngram_join.row_components(docs, "doc_id", "text", 3, 90, 100)
+    assert {(r.doc_id, r.component_id) for r in found.collect()} == {(7, 7)} | {(100 + k, 7) for k in range(30)}
+    assert found.select("root").distinct().count() == 30
