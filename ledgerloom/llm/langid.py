@@ -6,9 +6,10 @@ windows of ``WINDOW`` bytes from beginning to end (each overlaps the next by the
 width, so no filter position is lost); its probabilities are the windows' mean, weighted by
 their bytes.
 
-Training takes a bounded sample: of each of the ``MOST_LANGS`` most frequent languages about
-``DOCS_PER_LANG`` documents, drawn by a hash of their doc_id (one text of a repeated one), and
-up to ``WINDOWS_PER_DOC`` evenly spaced windows of each.  Only text and
+Training takes a bounded sample: of every language ``DOCS_PER_LANG`` documents, or less where
+there are so many languages that all would be more than ``MOST_DOCS`` (one at least), drawn by a
+hash of their doc_id (one text of a repeated one), and up to ``WINDOWS_PER_DOC`` evenly spaced
+windows of each.  Only text and
 non-null lang of documents with ``crc32(doc_id) mod 3 <> 1`` are learned from; the network
 sees bytes alone.  A null doc_id is neither learned from nor held out.
 
@@ -22,6 +23,8 @@ As a pipeline stage (``keep_known``) the network learns one class more: texts wi
 (``noise.py``).  A text goes if that class is likelier than a limit, which is a half or what nearly
 all (``PASSING``) of the sample's labelled texts stay below, whichever is more.  The shorter a
 text, the less it says, so there is a limit for each of several lengths, from pieces of that length.
+From 64 bytes on a limit is at most ``SURE``, so that rows with a wrong label cannot lift it to where
+nothing goes; a share of such rows may then take more than ``1 - PASSING`` of the labelled texts.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .noise import noise
 from .storage import fresh_name, saved
@@ -41,12 +44,13 @@ TAPS = 4
 WIDTHS = (2, 3, 4)
 FILTERS = 12  # of each width
 EMBED = 8
-MOST_LANGS = 256
 DOCS_PER_LANG = 400
+MOST_DOCS = 100_000
 WINDOWS_PER_DOC = 6
 EPOCHS = 8
 BATCH = 128
 PASSING = 0.995  # share of the labelled texts that is to pass
+SURE = 0.9  # a limit of long texts is never above
 PIECES = (8, 16, 32, 64, 128, WINDOW)  # bytes of the pieces that the limits are set by
 LEAST_ROWS, MOST_NOISE = 4000, 20_000  # rows of a reject class's training
 TRIALS = 2000  # labelled pieces of each length
@@ -156,13 +160,13 @@ def sampled(docs: DataFrame) -> pa.Table:
     """(doc, k, lang, raw): windows of a bounded sample of the labelled documents."""
     known = docs.select("doc_id", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     # distinct ids per language first, so that repeated rows neither fill nor multiply the sample
-    known = known.distinct()
-    langs = known.groupBy("lang").agg(F.count("*").alias("docs")).orderBy(F.desc("docs"), "lang").limit(MOST_LANGS)
-    draw = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("long") / float(1 << 32)
-    known = known.join(langs, "lang").where(draw * F.col("docs") < DOCS_PER_LANG)
-    # twice as many rows as are expected at most: a bound on what is broadcast
-    known = saved(known.select(F.col("doc_id").alias("id"), F.col("lang").alias("of")).limit(2 * MOST_LANGS * DOCS_PER_LANG))
-    known = F.broadcast(known)
+    n_langs = known.select("lang").distinct().count()
+    each = max(1, min(DOCS_PER_LANG, MOST_DOCS // max(1, n_langs)))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    known = known.distinct().withColumn("place", place).where(F.col("place") <= each)
+    known = saved(known.select(F.col("doc_id").alias("id"), F.col("lang").alias("of")))
+    if n_langs <= MOST_DOCS:  # so at most as many rows
+        known = F.broadcast(known)
     texts = docs.select("doc_id", "lang", "text").join(known, (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of")))
     texts = texts.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
@@ -222,7 +226,7 @@ def fit(docs: DataFrame, reject: bool = False) -> ByteCNN | None:
         tried = [piece(r, n) for r in rnd.sample(raw, min(TRIALS, len(raw)))]
         limit = max(0.5, float(np.quantile(model.judge(tried, tables)[:, -1], PASSING, method="higher")))
         # mislabelled rows must not lift it to where nothing goes; short pieces do say too little
-        model.limits.append(min(limit, 0.9) if n >= 64 else limit)
+        model.limits.append(min(limit, SURE) if n >= 64 else limit)
     return model
 
 

@@ -4,6 +4,7 @@ import io
 import os
 import random
 import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -146,6 +147,38 @@ def test_repeated_rows_do_not_swell_the_training_sample(docs_of):
     assert langid.predict(docs_of(rows)).count() == len(rows)
 
 
+def test_every_language_is_learned(docs_of, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_DOCS", 50)
+    monkeypatch.setattr(langid, "EPOCHS", 1)
+    # more languages than the sample would have documents, one of them on a third of the rows
+    rows = [(i, f"ka lo {i}", "often" if i % 3 == 0 else f"l{i % 300}") for i in range(3000)]
+    want = {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    sample = langid.sampled(docs_of(rows))
+    assert set(sample.column("lang").to_pylist()) == want and len(want) > 190
+    assert len(set(sample.column("doc").to_pylist())) == len(want)
+    assert set(langid.fit(docs_of(rows)).labels) == want
+
+
+def test_judge_equals_windows_one_by_one():
+    rnd = random.Random(23)
+    model = langid.ByteCNN(["a", "b", "c"])
+    texts = [bytes(rnd.choices(range(256), k=n)) for n in (0, 1, 3, 4, 255, 256, 257, 700, 20_000)]
+    got = model.judge(texts, model.tables())
+    for text, row in zip(texts, got):
+        total, seen = np.zeros(3), 0
+        for at in range(0, max(1, len(text) - 3), 253):  # windows of 256 bytes, the last three bytes shared
+            w = text[at:at + 256]
+            if not w:
+                continue
+            padded = np.frombuffer(w.ljust(256, b"\0"), np.uint8)
+            e = model.p["embed"][padded].astype(float)
+            full = sum(e[k:k + 253] @ model.p["conv"][k] for k in range(4)).max(0)
+            logits = np.maximum(full + model.p["bias"], 0) @ model.p["out"] + model.p["out_bias"]
+            prob = np.exp(logits) / np.exp(logits).sum()
+            total, seen = total + prob * len(w), seen + len(w)
+        assert np.allclose(row, total / seen if seen else 0, atol=1e-4)
+
+
 def test_windows_cover_every_filter_position():
     for n in (1, 3, 4, 255, 256, 257, 509, 510, 5000):
         raw = bytes(i % 251 for i in range(n))
@@ -247,6 +280,46 @@ def test_packing_places_every_word_once(docs_of):
     assert packing.pack(docs_of([])).count() == 0
 
 
+def test_texts_are_rebuilt_from_the_bins(docs_of):
+    rnd = random.Random(19)
+    gap = lambda: rnd.choice([" ", "\n", "  ", "\t\r\n", "\v \f"])
+    word = lambda: rnd.choice(["w", "é\u00a0ü", "日本", "\x1f", "x" * 300])
+    text = lambda n: gap() + "".join(word() + gap() for _ in range(n)) + rnd.choice(["", "end"])
+    rows = [(i, text(rnd.choice([1, 15, 16, 31, 32, 33, 63, 64, 65, 200]))) for i in range(150)]
+    rows += [(200, None), (201, ""), (202, " \n "), (203, "w " * 64), (204, "w " * 63 + "w"), (205, text(5000)), (206, "z" * 2_000_000)]
+    packed = packing.pack(docs_of(rows), lengths=(16, 32, 64), shard_rows=64)
+    found = defaultdict(dict)
+    for b in packing.sequences(packed).collect():
+        assert b["n_tokens"] <= b["bin_capacity"]
+        at = 0
+        for p in b["parts"]:
+            assert p["bin_offset"] == at and p["piece"] not in found[p["doc_id"]]
+            last = p["n_tokens"] == len(packing.WORD.findall(p["text"])) + 1  # with the end mark
+            found[p["doc_id"]][p["piece"]] = (p["text"], last)
+            at += p["n_tokens"]
+        assert at == b["n_tokens"]
+    for d, t in rows:
+        if t is None or not packing.WORD.search(t):
+            assert d not in found
+            continue
+        pieces = [found[d][k] for k in range(len(found[d]))]
+        assert "".join(x for x, _ in pieces) == t
+        assert [last for _, last in pieces] == [False] * (len(pieces) - 1) + [True]
+    unplaced = {r["doc_id"]: r["text"] for r in packed.where("bin_id IS NULL").collect()}
+    assert unplaced == {200: None, 201: "", 202: " \n "}
+
+
+def test_packing_goes_on_beyond_the_bytes_a_task_holds(docs_of, monkeypatch):
+    monkeypatch.setattr(packing, "MOST_BYTES", 100)
+    got = packing.pack(docs_of([(i, "w " * (i % 9)) for i in range(200)]), lengths=(8, 16), shard_rows=300).collect()
+    used = defaultdict(int)
+    for r in got:
+        if r["bin_id"] is not None:
+            used[r["bin_id"], r["bin_capacity"]] += r["n_tokens"]
+    assert len({b for b, _ in used}) == len(used) and all(n <= c for (_, c), n in used.items())
+    assert sum(used.values()) == sum(i % 9 + (i % 9 > 0) for i in range(200))
+
+
 def test_packing_of_one_doc_id_in_all_rows(docs_of):
     got = packing.pack(docs_of([(7, "w w w")] * 200 + [(7, None)] * 50), lengths=(8, 16), shard_rows=4).collect()
     assert sum(r["n_tokens"] for r in got) == 800 and sum(r["bin_id"] is None for r in got) == 50

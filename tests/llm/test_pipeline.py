@@ -90,6 +90,8 @@ def test_stages_against_brute_force(spark, tmp_path):
         have[r["doc_id"]] += r["n_tokens"]
         filled[r["bin_id"], r["bin_capacity"]] += r["n_tokens"]
     assert have == want
+    texts, pieces = {r["doc_id"]: r["text"] for r in kept[2]}, {(r["doc_id"], r["piece"]): r["text"] for r in kept[3]}
+    assert {d: "".join(pieces[k] for k in sorted(pieces, key=str) if k[0] == d) for d in texts} == texts
     assert all(n <= c and c == min(x for x in packing.LENGTHS if x >= n) for (_, c), n in filled.items())
 
 
