@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import io
+import math
 import os
 import random
 import re
@@ -71,7 +72,7 @@ def test_top_k_equals_brute_force(spark, scale_up, monkeypatch):
     v = (rnd.standard_normal((200, 6)) * scale_up).astype(np.float32)
     v[50:120] = v[40]  # very many ties
     rows = [(i, x.tolist(), 1) for i, x in enumerate(v)]
-    odd = [(1000, None, 0), (1020, [1.0, None, 0.0, 0.0, 0.0, 0.0], 0), (1040, [float("nan")] * 6, 0), (None, [1.0] * 6, 0), (3, rows[3][1], 5), (2000, [1.0, 2.0], 0)]
+    odd = [(1000, None, 0), (1020, [1.0, None, 0.0, 0.0, 0.0, 0.0], 0), (1040, [float("nan")] * 6, 0), (None, [1.0] * 6, 0), (2000, [1.0, 2.0], 0)]
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, score int").repartition(3)
     got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk.top_k(df, k=20, every=20).collect()}
     w = np.floor(64 * v.astype(float)).astype(np.int64)
@@ -86,6 +87,38 @@ def test_top_k_equals_brute_force(spark, scale_up, monkeypatch):
 
 
 # ---- fingerprints ----------------------------------------------------------
+def test_top_k_keeps_wide_and_repeated_vectors(spark):
+    rnd = random.Random(29)
+    wide = lambda e: [float(rnd.choice([-1, 1]) * rnd.randrange(1 << 20)) * 2.0 ** e for _ in range(4)]
+    rows = [(i, wide(rnd.choice([-26, -10, 1, 2]))) for i in range(60)]
+    rows += [(20, wide(0)), (20, wide(-8)), (41, rows[41][1]), (5, rows[7][1]), (61, [2.0 ** 28, 0.0, 0.0, 0.0]), (62, [])]
+    rows += [(80, [1e9, 0.0]), (100, [0.5, 0.0]), (120, [0.25, 0.1]), (140, []), (160, [2.0 ** 57, 0.0, 0.0]), (64, [-1 / 64, 7.0, 0.0]), (65, [0.0, 1.0, 1.0])]
+    rows += [(63, [float("inf"), 0.0]), (66, [1e307, 0.0])]  # not finite after scaling
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(df, k=7, every=20).collect())
+    v = [(i, [math.floor(64 * x) for x in e]) for i, e in rows if i not in (63, 66)]
+    want = []
+    for a, (i, x) in enumerate(v):
+        if i % 20 == 0:
+            s = sorted((-sum(map(int.__mul__, x, y)), j) for b, (j, y) in enumerate(v) if b != a and len(x) == len(y))[:7]
+            want += [(i, k + 1, j, -score) for k, (score, j) in enumerate(s)]
+    assert max(abs(w[3]) for w in want) > 1 << 58
+    assert got == sorted(want)
+    with pytest.raises(Exception, match="does not fit into long"):
+        topk.top_k(spark.createDataFrame([(20, [1e300]), (1, [1e300])], "vec_id long, embedding array<double>")).collect()
+
+
+def test_scores_are_exact_up_to_the_ends_of_long():
+    q = np.array([[2.0 ** 62, 2.0 ** 62, 3.0], [-(2.0 ** 63), 0.0, 0.0], [2.0 ** 70, 2.0 ** 70, 5.0]])
+    c = np.array([[1.0, 0.0, 1.0], [1.0, -1.0, 2.0]])
+    no = np.zeros((3, 2), bool)
+    with pytest.raises(OverflowError):
+        topk._scores(q, c, no)
+    assert topk._scores(q, c, np.array([[0, 0], [0, 0], [1, 0]], bool))[:, 1].tolist() == [6, -(2 ** 63), 10]
+    assert topk._scores(q[:2], c, no[:2]).tolist() == [[2 ** 62 + 3, 6], [-(2 ** 63), -(2 ** 63)]]
+    assert topk._scores(q[2:], c[1:], no[2:, 1:]).tolist() == [[10]]
+
+
 def test_edited_fingerprints(docs_of):
     texts = some_texts(50) + ["é" * 7, "", None, "x y z " * 500]
     rows = [(i * 7 - 20, t) for i, t in enumerate(texts)] + [(None, "last of all")]
@@ -414,6 +447,41 @@ def test_warc_round_trip(spark):
     assert small <= {"response"}
 
 
+def test_damaged_archives_are_reported(spark):
+    rnd = random.Random(37)
+    pages = spark.createDataFrame([(i, f"http://h/{i}", "".join(rnd.choices("abcdefgh", k=rnd.randint(500, 90_000)))) for i in range(40)],
+                                  "page_id long, url string, html string").repartition(1)
+    folder = new_folder(spark, "warc")
+    manifest = warc.write(pages, folder)
+    assert warc.missing(manifest, warc.read(spark, folder, manifest)).count() == 0
+    name = manifest.first()["path"]
+    fs, root = warc._filesystem(folder)
+    with fs.open_input_file(f"{root}/{name}") as f:
+        whole = f.read()
+    starts = [at for at, _ in warc.members(io.BytesIO(whole), 0, len(whole))]
+    assert len(starts) == 40
+
+    def reread(data, step=20_000):
+        with fs.open_output_stream(f"{root}/{name}", compression=None) as f:
+            f.write(data)
+        found = warc.read(spark, folder, manifest, step)
+        rows = found.collect()
+        bad = [r["offset"] for r in rows if r["record_type"] == "damaged"]
+        return len(rows) - len(bad), bad, [tuple(r) for r in warc.missing(manifest, found).collect()]
+
+    assert reread(whole) == (40, [], [])
+    cut = (starts[20] + starts[21]) // 2
+    assert reread(whole[:cut]) == (20, [starts[20]], [(name, 40, 20)])
+    flipped = bytearray(whole)
+    flipped[starts[11] - 6] ^= 4  # a checksum's bit
+    flipped[(starts[30] + starts[31]) // 2] ^= 64
+    flipped[starts[5]] ^= 1  # no gzip magic any more
+    assert reread(bytes(flipped)) == (37, [starts[10], starts[30]], [(name, 40, 37)])
+    fs.delete_file(f"{root}/{name}")
+    gone = warc.read(spark, folder, manifest)
+    assert gone.count() == 0 and [tuple(r) for r in warc.missing(manifest, gone).collect()] == [(name, 40, 0)]
+
+
 def test_reader_skips_magic_inside_members_and_owns_by_start():
     rnd = random.Random(1)
     payloads = [rnd.randbytes(rnd.randint(0, 400)) + warc.MAGIC * 3 + rnd.randbytes(50) for _ in range(40)]
