@@ -7,6 +7,11 @@ finish the last one.  Magic bytes inside compressed data fail the validation and
 a valid member's end is known from its decoding, so its inside is never searched.  Members are
 decoded in steps; a task holds one record at a time.
 
+*Damage.*  A member that begins as a record and cannot be decoded to its end (cut off, or bits
+changed) is a row of type ``damaged`` with its path and offset; reading goes on behind it.  One
+that does not even begin as a record is not seen by the reader: ``missing`` compares the records
+read with the manifest's, and ``round_trip`` fails if any is missing.
+
 *Writer.*  Every task writes one archive under a name of its attempt; the manifest, kept in
 shared storage, names the archives of attempts that counted, so a lost executor or a second
 attempt leaves nothing that is read.
@@ -40,7 +45,9 @@ from .storage import new_folder, saved
 
 MAGIC = b"\x1f\x8b\x08"
 RANGE_BYTES = 16 << 20
+MOST_TASKS = 20_000  # a task reads several ranges beyond
 READ_BYTES = 1 << 16
+HEAD_BYTES = 1 << 12
 SEND_BYTES = 1 << 21
 LEVEL = 4
 DATE = "2024-01-01T00:00:00Z"  # records carry a fixed date, so reruns write equal bytes
@@ -111,29 +118,30 @@ def _member(data: bytes) -> bytes:
 
 def read(spark: SparkSession, folder: str, manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """The records of the manifest's archives: page_id, url, payload, payload_bytes,
-    payload_digest, record_type, refers_to.
+    payload_digest, record_type, refers_to, and the path and offset of each.
 
     A response's bytes and digest are taken of the payload read; a revisit has those of its head.
+    A damaged record has its path and offset only; an archive that is not there has no rows.
     """
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _filesystem(folder)
         for batch in batches:
             for name in batch.column(0).to_pylist():
-                size = fs.get_file_info(f"{root}/{name}").size
+                size = fs.get_file_info(f"{root}/{name}").size or 0
                 starts = list(range(0, size, range_bytes))
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(starts)), pa.array(starts, pa.int64())], ["path", "start"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _filesystem(folder)
-        kinds = (pa.int64(), pa.string(), pa.large_binary(), pa.int64(), pa.string(), pa.string(), pa.int64())
-        names = ["page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+        kinds = (pa.int64(), pa.string(), pa.large_binary(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64())
+        names = ["page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to", "path", "offset"]
         for batch in batches:
             for name, start in zip(*(c.to_pylist() for c in batch.columns)):
                 held, weight = [], 0
                 with fs.open_input_file(f"{root}/{name}") as f:
-                    for record in records(f, start, start + range_bytes):
-                        held.append(_parsed(record))
-                        weight += len(record)
+                    for at, record in members(f, start, start + range_bytes):
+                        held.append((*(DAMAGED if record is None else _parsed(record)), name, at))
+                        weight += len(record or b"")
                         if weight > SEND_BYTES:
                             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
                             held, weight = [], 0
@@ -142,12 +150,29 @@ def read(spark: SparkSession, folder: str, manifest: DataFrame, range_bytes: int
 
     # a partition for each range: by their own few bytes, ranges would be merged into one task
     ranges = saved(manifest.select("path").mapInArrow(sizes, "path string, start long"))
-    return ranges.repartition(max(1, ranges.count()), "path", "start").mapInArrow(
-        run, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return ranges.repartition(max(1, min(ranges.count(), MOST_TASKS)), "path", "start").mapInArrow(
+        run, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long, "
+        "path string, offset long")
+
+
+def missing(manifest: DataFrame, found: DataFrame) -> DataFrame:
+    """(path, records, found) of the archives that gave fewer sound records than the manifest names."""
+    sound = found.groupBy("path").agg(F.count_if(F.col("record_type") != "damaged").alias("found"))
+    both = manifest.select("path", "records").join(sound, "path", "left")
+    return both.select("path", "records", F.coalesce("found", F.lit(0)).alias("found")).where("found < records")
 
 
 def records(f: io.IOBase, start: int, end: int) -> Iterator[bytes]:
-    """The decoded records whose gzip members start in [start, end) of ``f``."""
+    """The sound ones of ``members``."""
+    return (record for _, record in members(f, start, end) if record is not None)
+
+
+class _Damaged(Exception):
+    pass
+
+
+def members(f: io.IOBase, start: int, end: int) -> Iterator[tuple[int, bytes | None]]:
+    """(offset, decoded record) of the gzip members that start in [start, end) of ``f``; None if damaged."""
     window, at = b"", start  # bytes of f from offset ``at`` on
     while True:
         k = window.find(MAGIC)
@@ -165,41 +190,57 @@ def records(f: io.IOBase, start: int, end: int) -> Iterator[bytes]:
         if at + k >= end:
             return
         window, at = window[k:], at + k
-        found = _decoded(f, at, window)
+        try:
+            found = _decoded(f, at, window)
+        except _Damaged:
+            yield at, None
+            found = None
         if found is None:
             window, at = window[1:], at + 1
         else:
             record, after, window = found
-            at = after
             if record:
-                yield record
+                yield at, record
+            at = after
 
 
 def _decoded(f: io.IOBase, at: int, window: bytes) -> tuple[bytes, int, bytes] | None:
     """(record, offset after its member, bytes read from there on); None if no record begins at ``at``."""
-    z, out, fed, head = zlib.decompressobj(31), [], at, b""
+    z, out, fed, first = zlib.decompressobj(31), [], at, b""
     part = window
     while True:
         if not part:
             f.seek(fed)
             part = f.read(READ_BYTES)
             if not part:
-                return None
+                return _failed(first)
         fed += len(part)
+        first += part[:max(0, HEAD_BYTES - len(first))]
         try:
             data = z.decompress(part)
         except zlib.error:
+            return _failed(first)
+        if not out and data and not b"WARC/".startswith(data[:5]) and not data.startswith(b"WARC/"):
             return None
-        if len(head) < 5:
-            head += data[:5 - len(head)]
-            if not b"WARC/".startswith(head):
-                return None
-        out.append(data)
+        if data:
+            out.append(data)
         if z.eof:
             return b"".join(out), fed - len(z.unused_data), z.unused_data
         part = b""
 
 
+def _failed(first: bytes) -> None:
+    """None if no record begins with the bytes ``first``; an error if one does."""
+    try:
+        if zlib.decompressobj(31).decompress(first, 5) == b"WARC/":
+            raise _Damaged
+    except zlib.error:
+        pass
+
+
+DAMAGED = (None, None, None, None, None, "damaged", None)
+
+
 def _parsed(record: bytes) -> tuple:
     head, _, rest = record.partition(b"\r\n\r\n")
     fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
@@ -218,4 +259,8 @@ def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     spark = pages.sparkSession
     folder = new_folder(spark, "warc")
     manifest = write(pages, folder, min_bytes)
-    return read(spark, folder, manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    found = saved(read(spark, folder, manifest).drop("url", "payload"))
+    lost = missing(manifest, found).limit(20).collect()
+    if lost:
+        raise ValueError("records are missing in " + ", ".join(f"{r['path']} ({r['found']} of {r['records']})" for r in lost))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
