@@ -160,10 +160,15 @@ def sampled(docs: DataFrame) -> pa.Table:
     """(doc, k, lang, raw): windows of a bounded sample of the labelled documents."""
     known = docs.select("doc_id", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     # distinct ids per language first, so that repeated rows neither fill nor multiply the sample
-    n_langs = known.select("lang").distinct().count()
+    known = known.distinct().withColumn("h", F.xxhash64("doc_id"))
+    langs = saved(known.groupBy("lang").agg(F.count("*").alias("docs"), F.min("h").alias("least")))
+    n_langs = langs.count()
     each = max(1, min(DOCS_PER_LANG, MOST_DOCS // max(1, n_langs)))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    known = known.distinct().withColumn("place", place).where(F.col("place") <= each)
+    # a draw of about twice as many, and the least of each language, before its rows come together
+    draw = F.pmod("h", F.lit(1 << 32)) / float(1 << 32)
+    known = known.join(langs, "lang").where((F.col("h") == F.col("least")) | (draw * F.col("docs") < 2 * each + 16))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("h") != F.col("least"), F.md5(F.col("doc_id").cast("string")), "doc_id"))
+    known = known.withColumn("place", place).where(F.col("place") <= each)
     known = saved(known.select(F.col("doc_id").alias("id"), F.col("lang").alias("of")))
     if n_langs <= MOST_DOCS:  # so at most as many rows
         known = F.broadcast(known)
