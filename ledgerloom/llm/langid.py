@@ -164,6 +164,8 @@ def sampled(docs: DataFrame) -> pa.Table:
     langs = saved(known.groupBy("lang").agg(F.count("*").alias("docs"), F.min("h").alias("least")))
     n_langs = langs.count()
     each = max(1, min(DOCS_PER_LANG, MOST_DOCS // max(1, n_langs)))
+    if n_langs <= MOST_DOCS:  # one row a language: no language's rows are dealt to one task
+        langs = F.broadcast(langs)
     # a draw of about twice as many, and the least of each language, before its rows come together
     draw = F.pmod("h", F.lit(1 << 32)) / float(1 << 32)
     known = known.join(langs, "lang").where((F.col("h") == F.col("least")) | (draw * F.col("docs") < 2 * each + 16))
