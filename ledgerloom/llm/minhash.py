@@ -9,6 +9,8 @@ batches of shingles in numpy.
 ``near_copy_classes`` joins bands of minima in Spark and verifies the Jaccard similarity of
 the sets themselves, within work units as in the n-gram join.
 
+``fingerprints_and_classes`` is both: the class beside the fingerprints of every row.
+
 Words are lower-cased (A-Z) runs of ``[^\\x20\\x09-\\x0D]``; a text of one to four words has
 its whole word sequence as one shingle.  A text without words (null, empty, blank) has the
 fingerprint of the empty set, like only to itself.  Equal texts have equal fingerprints.
@@ -30,10 +32,11 @@ from .textops import SPACED, U64, chunks, mix, shingles
 
 PERMUTATIONS = 128
 WIDTH = 5
-ROWS_PER_BAND = 4
+ROWS_PER_BAND = 6  # 21 bands: a pair at the threshold of 0.8 shares one with probability 0.998, one at 0.5 with 0.28
 BUCKET_ROWS = 4096  # neighbours by doc_id are found in buckets of about so many rows
 MOST_BUCKETS = 10_000
 SLICE = 512  # texts handled at once
+KNOWN_SETS = 100_000  # sets that a task remembers, to send the bands of copies once
 
 _rng = np.random.default_rng(4)
 _A = (_rng.integers(0, 1 << 31, PERMUTATIONS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -138,6 +141,8 @@ def near_copy_classes(docs: DataFrame, num: int = 80, den: int = 100, rows_per_b
 
     Candidates share all minima of a band; each band value's texts are a work unit, in which
     similarity is decided on the shingle sets.  ``class_id`` is the smallest doc_id of the class.
+    A row without doc_id has the class of equal texts, if any; rows that repeat a doc_id each have
+    the class of their own text; texts without words link with nothing.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = saved(docs.mapInArrow(ngram_join.set_sums(WIDTH), "doc_id long, n long, s1 long, s2 long"))
@@ -146,16 +151,29 @@ def near_copy_classes(docs: DataFrame, num: int = 80, den: int = 100, rows_per_b
     return ngram_join.by_units(docs, rows, runs, WIDTH, num, den, F.lit(1)).select("doc_id", F.col("component_id").alias("class_id"))
 
 
+def fingerprints_and_classes(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``edited_fingerprints`` with ``class_id``: of documents joined by near copies, the smallest doc_id.
+
+    Rows that repeat a doc_id share the smallest class of their texts; a row without doc_id has none.
+    """
+    classes = near_copy_classes(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+    return edited_fingerprints(docs, bucket_rows).join(classes, "doc_id", "left")
+
+
 def _bands(rows_per_band: int):
+    bands_of = PERMUTATIONS // rows_per_band
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()
+        done: set[int] = set()  # copies need no second row; forgotten now and then, as it only saves work
         for batch in batches:
+            if len(done) > KNOWN_SETS:
+                done.clear()
             sig = signatures(batch.column(0))
             keys = [s for _, w in chunks(batch.column(0), SPACED) for s in ngram_join.first_sums(w, WIDTH)]
             fresh = [i for i, (n, k) in enumerate(keys) if n and not (k in done or done.add(k))]
             if not fresh:
                 continue
-            bands = sig[fresh].reshape(len(fresh), -1, rows_per_band).astype(U64)
+            bands = sig[fresh][:, :bands_of * rows_per_band].reshape(len(fresh), bands_of, rows_per_band).astype(U64)
             token = np.zeros(bands.shape[:2], U64)
             for k in range(rows_per_band):
                 token = mix(token * U64(0x9E3779B97F4A7C15) + bands[:, :, k], k + 1)

@@ -40,7 +40,7 @@ def op3(spark, sf_dir):
 
 @query("op4_minhash_fingerprints")
 def op4(spark, sf_dir):
-    return minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return minhash.fingerprints_and_classes(table(spark, sf_dir, "documents"))
 
 
 @query("op5_language_id")

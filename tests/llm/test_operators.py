@@ -136,6 +136,19 @@ def test_edited_fingerprints(docs_of):
     assert minhash.edited_fingerprints(docs_of([])).count() == 0
 
 
+def test_fingerprints_carry_the_class_of_near_copies(docs_of):
+    base = [f"w{i}" for i in range(300)]
+    copy, other = " ".join(base), " ".join(base[::-1])
+    near = " ".join(base[:150] + ["x"] + base[151:])
+    rows = [(5, copy), (9, near), (12, copy), (12, copy), (20, other), (21, "one"), (22, "one"), (30, None), (31, ""), (None, copy), (None, near),
+            (40, near), (40, "alone here"), (41, "alone here")]
+    out = minhash.fingerprints_and_classes(docs_of(rows), bucket_rows=3)
+    got = sorted(((r["doc_id"], r["class_id"]) for r in out.collect()), key=str)
+    assert got == sorted([(5, 5), (9, 5), (12, 5), (12, 5), (20, 20), (21, 21), (22, 21), (30, 30), (31, 31), (None, None), (None, None),
+                          (40, 5), (40, 5), (41, 40)], key=str)
+    assert out.columns[-1] == "class_id" and minhash.fingerprints_and_classes(docs_of([])).count() == 0
+
+
 def test_likeness_estimates_jaccard():
     import pyarrow as pa
     rnd = random.Random(8)
