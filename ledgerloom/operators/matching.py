@@ -10,6 +10,7 @@ two posting dates times two settlement dates give four rows;
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -179,6 +180,9 @@ def status_rank_sort(recon: DataFrame) -> DataFrame:
     return recon.orderBy(status_rank_expr(), F.abs(F.col("source_vs_gl_variance")).desc(), *tie)
 
 
+#: how tables that are looked up by id are written; small filters where a row group holds few ids
+BLOOM = {f"parquet.bloom.filter.enabled#{KEY}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
 DETAIL_COLUMNS = [
     KEY, "customer_id", "transaction_date", "product_category", "source_gross", "source_net",
     "source_tax", "gl_gross_amount", "gl_net_amount", "gl_tax_amount", "bank_settled_amount",
@@ -207,17 +211,36 @@ def reconciliation_view(recon: DataFrame, path: str | None = None,
     view reads the stored rows.  Rows are rebalanced by period first: a month
     has as many files as its size needs, not one per task.  Only the months
     that are written are replaced; with ``only_written_months=False`` the whole
-    table is, so that no month of an earlier run stays behind.
+    table is, so that no month of an earlier run stays behind.  Files are sorted by id and
+    have bloom filters on it, for ``lookup``.
     """
     out = recon.withColumn("period", period(F.col("transaction_date")))
     if path:
-        (out.hint("rebalance", F.col("period")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only_written_months else "static")
+        writer = out.hint("rebalance", F.col("period")).sortWithinPartitions("period", KEY).write.options(**BLOOM)
+        (writer.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only_written_months else "static")
          .partitionBy("period").parquet(path))
         out = recon.sparkSession.read.parquet(path).withColumn("period", F.col("period").cast("string"))
     out.createOrReplaceTempView(view_name)
     return out
 
 
+def lookup(stored: DataFrame, ids: Iterable[str], periods: Iterable[str] | None = None) -> DataFrame:
+    """Rows of the stored reconciliation that carry one of ``ids``; of ``periods`` alone, if they are given.
+
+    For a list that a person would look up.  The ids are equality tests at the scan: row groups whose ranges or
+    bloom filters rule them all out, and pages whose ranges do, are not read.  Other months' files are not opened.
+    NULL is no id.  For many ids use :func:`rows_of`, which gives the same rows.
+    """
+    among = lambda c, values: reduce(lambda a, b: a | b, [F.col(c) == v for v in values], F.lit(False))
+    out = stored.filter(among(KEY, sorted({i for i in ids if i is not None})))
+    return out if periods is None else out.filter(among("period", sorted(set(periods))))
+
+
+def rows_of(recon: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of a reconciliation whose id is in ``ids`` (a column of the key's name), once each."""
+    return recon.join(ids.select(KEY), KEY, "left_semi").select(*recon.columns)
+
+
 def _is_collated(df: DataFrame) -> bool:
     return getattr(df.schema[KEY].dataType, "collation", "UTF8_BINARY") != "UTF8_BINARY"
 

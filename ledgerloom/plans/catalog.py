@@ -224,6 +224,12 @@ def _s3(t):
     return scorecard.top_exceptions(_recon(t))
 
 
+@query("s3_exception_detail")
+def _s3x(t):
+    recon = _recon(t)
+    return matching.rows_of(recon, scorecard.top_exceptions(recon))
+
+
 @query("s4_executive_summary")
 def _s4(t):
     return scorecard.executive_summary(_recon(t))

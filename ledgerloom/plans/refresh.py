@@ -53,7 +53,8 @@ def _with_month(rows: DataFrame) -> DataFrame:
 
 
 def _write(rows: DataFrame, folder: str) -> None:
-    _with_month(rows).hint("rebalance", F.col("period")).write.partitionBy("period").parquet(folder)
+    rows = _with_month(rows).hint("rebalance", F.col("period")).sortWithinPartitions("period", KEY)
+    rows.write.options(**matching.BLOOM).partitionBy("period").parquet(folder)
 
 
 def _months_in(spark: SparkSession, rows: DataFrame, folder: str) -> list[str]:
