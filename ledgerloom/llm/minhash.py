@@ -83,6 +83,15 @@ def edited_fingerprints(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> Data
     first row of every bucket is also sent to the end of the bucket before it, so each bucket
     is streamed by itself in sorted order, one text ahead; texts are shuffled once.
     """
+    return _fingerprints(docs, bucket_rows, None).drop("class_id")
+
+
+def _fingerprints(docs: DataFrame, bucket_rows: int, classes: DataFrame | None) -> DataFrame:
+    """``edited_fingerprints`` with ``class_id``: that of ``classes`` (doc_id, class_id; an id once), else the doc_id.
+
+    Classes go to their ids' buckets as narrow rows, which come before the rows of the id; the wide
+    fingerprints need no shuffle to meet them.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ids = docs.select("doc_id")
     n = ids.count()
@@ -105,21 +114,27 @@ def edited_fingerprints(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> Data
     rows = rows.select(F.explode(F.filter(F.array(
         F.struct(F.col("own").alias("bucket"), F.lit(0).alias("guest")),
         F.struct(F.col("before").alias("bucket"), F.lit(1).alias("guest"))), lambda x: x["bucket"].isNotNull())).alias("to"), "doc_id", "text")
-    rows = rows.select("to.bucket", "to.guest", "doc_id", "text").repartition("bucket")
-    rows = rows.sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), "text")
+    rows = rows.select("to.bucket", "to.guest", "doc_id", F.lit(None).cast("long").alias("class_id"), "text")
+    if classes is not None:
+        rows = rows.union(classes.select(bucket("doc_id"), F.lit(0), "doc_id", "class_id", F.lit(None).cast("string")))
+    rows = rows.repartition("bucket")
+    rows = rows.sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), F.col("class_id").desc_nulls_last(), "text")
     return rows.mapInArrow(_pair_off, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-                                      "edited_fingerprint string, near_edited double, near_next double")
+                                      "edited_fingerprint string, near_edited double, near_next double, class_id long")
 
 
 def _pair_off(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each own row with the row after it in its bucket."""
-    held = None
+    held, told = None, (None, None)  # the row that waits for its next, and the class row seen last
     for batch in batches:
         for at in range(0, len(batch), SLICE):
-            part = batch.slice(at, SLICE)
+            part, told = _with_classes(batch.slice(at, SLICE), told)
+            if not len(part):
+                continue
             rows = pa.Table.from_batches([held, part] if held is not None else [part]).combine_chunks()
             held = rows.slice(len(rows) - 1).to_batches()[0]
             own, guest = rows.column("bucket").to_pylist(), rows.column("guest").to_pylist()
+            of = rows.column("class_id").to_pylist()
             ids, texts = rows.column("doc_id").to_pylist(), rows.column("text").to_pylist()
             plain = signatures(rows.column("text").combine_chunks())
             todo = [i for i in range(len(rows) - 1) if not guest[i] and own[i] == own[i + 1]]
@@ -129,11 +144,24 @@ def _pair_off(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 edits.append(texts[i][:len(texts[i]) - k] + texts[i + 1][:k])
             edited = signatures(pa.array(edits, pa.large_string()))
             out = [(ids[i], len(texts[i]), hashlib.sha256(e.encode()).hexdigest(), as_text(plain[i]), as_text(s),
-                    likeness(plain[i], s), likeness(plain[i], plain[i + 1])) for i, e, s in zip(todo, edits, edited)]
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
-            cols = list(zip(*out)) or [()] * 7
+                    likeness(plain[i], s), likeness(plain[i], plain[i + 1]), of[i]) for i, e, s in zip(todo, edits, edited)]
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64())
+            cols = list(zip(*out)) or [()] * 8
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], [
-                "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+                "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "class_id"])
+
+
+def _with_classes(part: pa.RecordBatch, told: tuple) -> tuple[pa.RecordBatch, tuple]:
+    """The rows of texts with their ids' classes, and the class row seen last."""
+    at, of = [], []
+    for i, (doc, found) in enumerate(zip(part.column("doc_id").to_pylist(), part.column("class_id").to_pylist())):
+        if found is not None:
+            told = (doc, found)
+        else:
+            at.append(i)
+            of.append(told[1] if doc == told[0] else doc)
+    columns = {name: part.column(name).take(pa.array(at, pa.int64())) for name in part.schema.names}
+    return pa.RecordBatch.from_pydict(columns | {"class_id": pa.array(of, pa.int64())}), told
 
 
 def near_copy_classes(docs: DataFrame, num: int = 80, den: int = 100, rows_per_band: int = ROWS_PER_BAND) -> DataFrame:
@@ -157,7 +185,7 @@ def fingerprints_and_classes(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) ->
     Rows that repeat a doc_id share the smallest class of their texts; a row without doc_id has none.
     """
     classes = near_copy_classes(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
-    return edited_fingerprints(docs, bucket_rows).join(classes, "doc_id", "left")
+    return _fingerprints(docs, bucket_rows, classes.where("class_id <> doc_id"))
 
 
 def _bands(rows_per_band: int):
