@@ -84,12 +84,12 @@ def _scored_values(clean: DataFrame) -> DataFrame:
         F.when(F.col("__tot") > 1, pct(below, F.col("__tot") - 1, 2)).otherwise(F.lit(0.0)).alias("revenue_percentile"))
 
 
-_ROW = ["transaction_id", "customer_id", CAT, "transaction_date", NET]
+ROW = ["transaction_id", "customer_id", CAT, "transaction_date", NET]
 
 
 def _rows_of(clean: DataFrame, values: DataFrame) -> DataFrame:
     """The sales rows whose (category, amount) is among ``values``, with its columns."""
-    return join_null_safe(clean.select(*_ROW), values, [CAT, NET])
+    return join_null_safe(clean.select(*ROW), values, [CAT, NET])
 
 
 def zscore_scored(clean: DataFrame) -> DataFrame:
@@ -277,5 +277,5 @@ def highest_priority(clean: DataFrame) -> DataFrame:
     """The sales rows of ids flagged by both methods, largest first."""
     both = flagged_by_both(clean)
     return (clean.join(both, "transaction_id", "left_semi")
-            .select(*_ROW, F.lit(L.BOTH_METHODS).alias("investigation_priority"))
+            .select(*ROW, F.lit(L.BOTH_METHODS).alias("investigation_priority"))
             .orderBy(F.col(NET).desc(), F.col("transaction_id").asc()))

@@ -73,14 +73,16 @@ def mark(rows: DataFrame, schema: StructType, required: Iterable[str] = (), faul
     """
     have = {f.name: f.dataType for f in rows.schema.fields}
     fits = F.col(_CORRUPT).isNull() if _CORRUPT in have else F.lit(True)
-    found = [F.when(~fits, MALFORMED)]
-    found += [F.when(fits & F.col(c).isNull(), f"NULL {c}") for c in required]
-    found += [F.when(fits & _is_bad(F.col(f.name), f.dataType), f"bad {f.name}") for f in schema.fields if have[f.name] != f.dataType]
-    found += [F.when(fits & F.coalesce(when, F.lit(False)), reason) for reason, when in (faults or {}).items()]
+    found = [(~fits, MALFORMED)]
+    found += [(fits & F.col(c).isNull(), f"NULL {c}") for c in required]
+    found += [(fits & _is_bad(F.col(f.name), f.dataType), f"bad {f.name}") for f in schema.fields if have[f.name] != f.dataType]
+    found += [(fits & F.coalesce(when, F.lit(False)), reason) for reason, when in (faults or {}).items()]
     line = F.to_csv(F.struct(*[F.col(c).cast("string").alias(c) for c in rows.columns if c != _CORRUPT]))
     if _CORRUPT in have:
         line = F.coalesce(F.col(_CORRUPT), line)
-    reasons = F.array_compact(F.array(*found))
+    # array_compact is not compiled, nor is what it is given: only for rows with a reason
+    reasons = F.when(reduce(lambda a, b: a | b, [when for when, _ in found]), F.array_compact(F.array(*[F.when(*x) for x in found]))) \
+        .otherwise(F.array().cast("array<string>"))
     out = rows.select("*", reasons.alias(_REASONS)).select(
         *[(F.col(f.name) if have[f.name] == f.dataType else typed(F.col(f.name), f.dataType)).alias(f.name) for f in schema.fields],
         _REASONS, F.when(F.size(_REASONS) > 0, line).alias(_LINE))
