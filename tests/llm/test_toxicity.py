@@ -114,3 +114,39 @@ def test_threshold_of_the_best_parting():
     s, y = np.array([3.0, 2.0, 1.0, 0.0, -1.0]), np.array([1, 1, 0, 1, 0])
     assert toxicity.best_threshold(s, y) == -0.5
     assert toxicity.best_threshold(np.array([1.0, 1.0, 0.0]), np.array([1, 0, 0])) == 0.5
+
+
+def test_every_labelled_document_is_learned_from(spark, docs_of, monkeypatch):
+    """Also those that one shard does not take, and toxic texts whose telling word stands deep in thousands of words."""
+    docs, labels = some(300)
+    filler = "pada " * 1200
+    far = [(1000 + k, filler + "deepword " + filler if k % 2 else filler * 2, "aa") for k in range(60)]
+    table, known = docs_of(docs + far), spark.createDataFrame([*labels, *((1000 + k, k % 2) for k in range(60))], "doc_id long, toxic int")
+    judged = toxicity.predict(table, known).collect()
+    assert np.mean([r.predicted == r.doc_id % 2 for r in judged if r.doc_id >= 1000]) > 0.9
+    monkeypatch.setattr(toxicity, "SHARD", 50)
+    rows = toxicity.labelled(table, known)
+    assert {r.doc for r in rows.collect()} == {d for d, *_ in docs + far if crc32(str(d).encode()) % 4 != 2}
+    assert rows.select("shard").distinct().count() > 3
+    model = toxicity.ConvNet()
+    words = toxicity.frequent(rows, 2)
+    monkeypatch.setattr(toxicity, "CHUNK", 4000)
+    moved = toxicity.trained_once(rows, model, words, 2, 2, 0.0, 0.5)
+    assert np.isfinite(moved.embed).all() and (moved.embed != model.embed).any() and not moved.embed[:, toxicity.BUCKETS].any()
+    again = toxicity.trained_once(rows, model, words, 2, 2, 0.0, 0.5)
+    assert all((x == y).all() for x, y in zip(moved.flat(), again.flat()))
+
+
+def test_best_responses_in_blocks(monkeypatch):
+    model = toxicity.ConvNet()
+    texts = toxicity.word_ids(pa.array(["a b c d e f g h i j k l m n o p", None, "x", "one two", "q r s t u v w x y z a b"]))
+    ids, begin = toxicity._stream(texts)
+    full, ends = np.concatenate((ids, ids[-2:])), np.append(begin[1:], len(ids)) - 2
+    want = model._best(full, begin, ends)
+    monkeypatch.setattr(toxicity, "BLOCK", 5)
+    for a, b in zip(want, model._best(full, begin, ends)):
+        np.testing.assert_allclose(a, b, atol=1e-5)
+
+
+def test_threshold_of_counted_scores():
+    assert toxicity.best_threshold(np.array([2.0, 1.0, 0.0]), np.array([3, 2, 0]), np.array([3, 3, 9])) == 0.5
