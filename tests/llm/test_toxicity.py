@@ -123,7 +123,8 @@ def test_every_labelled_document_is_learned_from(spark, docs_of, monkeypatch):
     far = [(1000 + k, filler + "deepword " + filler if k % 2 else filler * 2, "aa") for k in range(60)]
     table, known = docs_of(docs + far), spark.createDataFrame([*labels, *((1000 + k, k % 2) for k in range(60))], "doc_id long, toxic int")
     judged = toxicity.predict(table, known).collect()
-    assert np.mean([r.predicted == r.doc_id % 2 for r in judged if r.doc_id >= 1000]) > 0.9
+    far_scores = [[r.score for r in judged if r.doc_id >= 1000 and r.doc_id % 2 == k] for k in (0, 1)]
+    assert min(far_scores[1]) > max(far_scores[0]) + 0.3
     monkeypatch.setattr(toxicity, "SHARD", 50)
     rows = toxicity.labelled(table, known)
     assert {r.doc for r in rows.collect()} == {d for d, *_ in docs + far if crc32(str(d).encode()) % 4 != 2}
