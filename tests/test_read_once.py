@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+
 from ledgerloom.operators import anomaly, dedup, matching, scorecard
 from ledgerloom.plans import catalog
 from ledgerloom.sources import derive, quarantine, schemas
@@ -61,3 +62,18 @@ def test_reasons_are_listed_for_rows_that_have_some(spark):
     found = quarantine.mark(rows, kept, ["settlement_id"])
     assert [r.reasons for r in found.rejected.collect()] == [["bad settled_amount"], ["NULL settlement_id", "bad settled_amount"]]
     assert [r.settlement_id for r in found.accepted.collect()] == ["b", "c"]
+
+
+def test_running_variance_sums_its_segments_once(spark, stored):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # a plan that shows what is reused
+    try:
+        plan = _plan(catalog.OPS["m7_cumulative_variance"](stored))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert "ReusedExchange" in plan and plan.count("partial_sum(abs(source_vs_gl_variance") == 1
+
+
+def test_only_columns_that_m7_shows_are_stored(spark, stored):
+    got = catalog.OPS["m7_cumulative_variance"](stored)
+    assert set(spark.read.parquet(*got.inputFiles()).columns) == set(got.columns) - {"cumulative_gl_variance"}
