@@ -6,7 +6,9 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
 
+from ledgerloom.functions import labels as L
 from ledgerloom.operators import anomaly, dedup, matching, scorecard
 from ledgerloom.plans import catalog
 from ledgerloom.sources import derive, quarantine, schemas
@@ -77,3 +79,18 @@ def test_running_variance_sums_its_segments_once(spark, stored):
 def test_only_columns_that_m7_shows_are_stored(spark, stored):
     got = catalog.OPS["m7_cumulative_variance"](stored)
     assert set(spark.read.parquet(*got.inputFiles()).columns) == set(got.columns) - {"cumulative_gl_variance"}
+
+
+def test_a_row_compares_each_variance_once_for_its_status(spark):
+    some = "(null, 0.00, 0.01, 0.02, -5.00)"
+    rows = spark.sql(f"""SELECT g gl_gross_amount, b bank_settled_amount, CAST(x AS DECIMAL(38,2)) source_vs_gl_variance, CAST(y AS DECIMAL(38,2)) gl_vs_bank_variance,
+        CAST(d AS INT) days_to_post FROM (SELECT explode(array(null, 1.00)) g), (SELECT explode(array(null, 1.00)) b),
+        (SELECT explode(array{some}) x), (SELECT explode(array{some}) y), (SELECT explode(array(null, 5, 6)) d)""")
+    sg, gb, tol = F.abs("source_vs_gl_variance"), F.abs("gl_vs_bank_variance"), F.lit("0.01").cast("decimal(10,4)")
+    near = (sg <= tol) & (gb <= tol)
+    chain = (F.when(F.col("gl_gross_amount").isNull(), L.MISSING_IN_GL).when(F.col("bank_settled_amount").isNull(), L.MISSING_IN_BANK)
+             .when((sg > tol) & (gb > tol), L.MULTI_SYSTEM_VARIANCE).when(sg > tol, L.GL_VARIANCE).when(gb > tol, L.BANK_VARIANCE)
+             .when(near & (F.col("days_to_post") > 5), L.TIMING_DIFFERENCE).when(near, L.MATCHED).otherwise(L.REVIEW_REQUIRED))
+    got = rows.select(matching.status_expr().alias("got"), chain.alias("want")).collect()
+    assert len(got) == 300 and all(r.got == r.want for r in got) and len({r.got for r in got}) == 8
+    assert "<=" not in str(matching.status_expr())
