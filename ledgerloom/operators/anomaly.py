@@ -151,8 +151,13 @@ def _value_range(amount: Column) -> Column:
     """
     units = F.abs((amount * 100).cast("decimal(38,0)"))
     # doubles are exact at the powers of two that matter: leading bits are taken from the whole number
-    drop = F.greatest(F.length(F.conv(units.cast("string"), 10, 2)) - RANGE_BITS, F.lit(0))
-    lead = F.call_function("div", units, F.pow(F.lit(2.0), drop).cast("decimal(38,0)"))
+    long_drop = F.greatest(F.length(F.conv(units.cast("string"), 10, 2)) - RANGE_BITS, F.lit(0))
+    long_lead = F.call_function("div", units, F.pow(F.lit(2.0), long_drop).cast("decimal(38,0)"))
+    # the same on machine words, for what fits into one
+    word = F.when(units < 1 << 62, units.cast("bigint"))
+    word_drop = F.greatest(F.length(F.bin(word)) - RANGE_BITS, F.lit(0))
+    drop = F.when(word.isNotNull(), word_drop).otherwise(long_drop)
+    lead = F.when(word.isNotNull(), F.call_function("shiftright", word, word_drop).cast("decimal(38,0)")).otherwise(long_lead)
     place = drop * (1 << (RANGE_BITS - 1)) + lead
     return F.when(amount < 0, -place).otherwise(place).cast("long")
 

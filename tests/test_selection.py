@@ -70,3 +70,15 @@ def test_only_the_values_of_a_bracket_are_ordered(spark):
     plan = anomaly.iqr_stats(clean)._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if " Window " in f" {line} "]
     assert windows and all("__range" in line or "unboundedfollowing" in line for line in windows)
+
+
+def test_value_ranges_of_machine_words_and_beyond(spark):
+    """One number for a range on either path; amounts of the analysis take the path of machine words."""
+    edge = [2 ** k + d for k in (11, 12, 13, 52, 53, 61, 62) for d in (-1, 0, 1)]
+    values = [(D(s * v) / 100,) for v in edge for s in (1, -1)] + [(None,)]
+    df = spark.createDataFrame(values, "v decimal(38,2)").select("v", anomaly._value_range(F.col("v")).alias("r"))
+    for v, r in df.collect():
+        units = None if v is None else abs(int(v * 100))
+        drop = 0 if v is None else max(units.bit_length() - anomaly.RANGE_BITS, 0)
+        assert r == (None if v is None else (-1 if v < 0 else 1) * (drop * (1 << (anomaly.RANGE_BITS - 1)) + (units >> drop)))
+    assert "shiftright" in df._jdf.queryExecution().optimizedPlan().toString().lower()
