@@ -148,9 +148,10 @@ def read(spark: SparkSession, folder: str, manifest: DataFrame, range_bytes: int
                 if held:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
 
-    # a partition for each range: by their own few bytes, ranges would be merged into one task
+    # a partition for each range, in order: by their own few bytes, ranges would be merged into one task
     ranges = saved(manifest.select("path").mapInArrow(sizes, "path string, start long"))
-    return ranges.repartition(max(1, min(ranges.count(), MOST_TASKS)), "path", "start").mapInArrow(
+    tasks = max(1, min(ranges.count(), MOST_TASKS))
+    return ranges.repartitionByRange(tasks, "path", "start").sortWithinPartitions("path", "start").mapInArrow(
         run, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long, "
         "path string, offset long")
 
