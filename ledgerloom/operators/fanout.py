@@ -17,7 +17,7 @@ from ..functions import labels as L
 from ..functions.dates import days_between, period
 from ..functions.money import MONEY_TOTAL, money_sum
 from .dedup import sales_deduplicated
-from .matching import KEY, bank_aggregated, gl_aggregated, source_aggregated
+from .matching import KEY, SOURCE, bank_aggregated, gl_aggregated, source_aggregated
 from .scorecard import scorecard_of, summary_text
 
 WHOLE = "decimal(38,0)"
@@ -37,7 +37,7 @@ def status_totals(sales: DataFrame, gl: DataFrame, bank: DataFrame, source: str
     |source - ledger| and |ledger - bank|.
     """
     if source == "dedup":
-        sales = sales_deduplicated(sales)
+        sales = sales_deduplicated(sales, columns=SOURCE)
     elif source != "raw":
         raise ValueError(f"unknown source {source!r}")
     src = source_aggregated(sales).select(KEY, "transaction_date", F.col("net_revenue").alias("source_net"))

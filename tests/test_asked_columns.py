@@ -1,0 +1,53 @@
+"""The clean table of some columns: the same rows, sorted and shuffled no further than these need."""
+
+import random
+import re
+from datetime import date, datetime
+from decimal import Decimal as D
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import dedup, matching
+from ledgerloom.sources import derive
+from ledgerloom.sources.schemas import SALES, SALES_COLUMNS
+
+
+@pytest.fixture(scope="module")
+def sales(spark):
+    """Few values in every column, so that copies tie up to any place of the order; NULLs everywhere."""
+    r = random.Random(5)
+    some = {"string": ["a", "b", "SYSTEM_A", None], "date": [date(2024, 1, 1), date(2024, 2, 1), None], "int": [1, 2, None],
+            "timestamp_ntz": [datetime(2024, 3, 1), datetime(2024, 3, 2), None]}
+    pick = lambda t: r.choice(some.get(t) or [D("1.00"), D("-2.50"), None])
+    return spark.createDataFrame([tuple(pick(f.dataType.simpleString()) for f in SALES) for _ in range(600)], SALES) \
+        .withColumn("transaction_id", F.when(F.col("quantity") == 1, F.col("transaction_id")).otherwise(F.concat("transaction_id", F.col("unit_price").cast("string")))) \
+        .cache()
+
+
+@pytest.mark.parametrize("mode, keep_null_keys", [("reference", False), ("full_rules", True)])
+@pytest.mark.parametrize("columns", [[dedup.KEY], derive.POSTED, matching.SOURCE, ["source_system"]])
+def test_columns_asked_for_are_those_of_the_clean_table(sales, mode, columns, keep_null_keys):
+    want = dedup.sales_deduplicated(sales, mode, keep_null_keys).select(*columns)
+    got = dedup.sales_deduplicated(sales, mode, keep_null_keys, columns)
+    assert got.columns == list(columns) and got.schema == want.schema and got.count() == want.count() > 5
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_the_whole_order_holds_where_equal_texts_may_read_differently(spark, sales):
+    collated = sales.withColumn("customer_id", F.collate("customer_id", "UTF8_LCASE"))
+    assert "service_end_date" in dedup.sales_deduplicated(collated, columns=[dedup.KEY])._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_validation_reads_the_ids_alone(spark, tmp_path):
+    from ledgerloom.plans import catalog
+    stored = derive.load_driver_tables(spark, "/root/testdata/sf0.001", store=str(tmp_path))
+    plan = catalog.OPS["d5_dedup_validation"](stored)._jdf.queryExecution().optimizedPlan().toString()
+    over = re.sub(r"Relation \[[^\]]*\]", "", plan)
+    assert "transaction_id" in over and not any(f"{c}#" in over for c in SALES_COLUMNS if c != "transaction_id")
+
+
+def test_ledger_and_bank_need_no_quantity_of_the_sales(spark):
+    t = derive.load_driver_tables(spark, "/root/testdata/sf0.001")
+    plan = t["gl_postings"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "last_modified_date" in plan and "service_end_date" not in plan and "AS quantity" not in plan
