@@ -51,3 +51,9 @@ def test_ledger_and_bank_need_no_quantity_of_the_sales(spark):
     t = derive.load_driver_tables(spark, "/root/testdata/sf0.001")
     plan = t["gl_postings"]._jdf.queryExecution().optimizedPlan().toString()
     assert "last_modified_date" in plan and "service_end_date" not in plan and "AS quantity" not in plan
+
+
+def test_what_a_query_stores_is_compressed_tightly(spark):
+    from ledgerloom.plans import catalog
+    files = catalog._kept(spark.range(10), "some").inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
