@@ -10,6 +10,7 @@ postings plus its settlements, which are bounded by the days of the calendar, no
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -73,20 +74,22 @@ def status_totals(sales: DataFrame, gl: DataFrame, bank: DataFrame, source: str
     s_none = F.abs(cents) * n_none
 
     off = F.col("gap") > F.lit(tolerance).cast("decimal(10,4)")
-    zero = F.lit(0)
     kinds = [  # status, when, rows, sum of |ledger - bank| in cents
         (F.lit(L.MISSING_IN_GL), ~F.col("posted"), n("all") + n_none, s_all + s_none),
         (F.lit(L.MISSING_IN_BANK), F.col("posted"), n_none, s_none),
         (F.when(off, L.MULTI_SYSTEM_VARIANCE).otherwise(L.BANK_VARIANCE), F.col("posted"), n_far, s_far),
         (F.when(off, L.GL_VARIANCE).when(F.col("late"), L.TIMING_DIFFERENCE).otherwise(L.MATCHED), F.col("posted"), n("all") - n_far, s_all - s_far),
     ]
-    parts = F.array(*[F.struct(status.alias("status"), F.when(when, count).otherwise(zero).cast("bigint").alias("count"),
-                               away.cast(WHOLE).alias("away")) for status, when, count, away in kinds])
-    e = rows.select("transaction_date", "source_net", "gap", F.explode(parts).alias("k")).where(F.col("k.count") > 0)
-    times = lambda c: (F.col(c) * F.col("k.count")).cast(MONEY_TOTAL)
-    return e.groupBy(period(F.col("transaction_date")).alias("period"), F.col("k.status").alias("reconciliation_status")).agg(
-        F.sum("k.count").alias("transaction_count"), money_sum(times("source_net")).alias("total_value"),
-        money_sum(times("gap")).alias("gl_difference"), (F.sum("k.away") / 100).cast(MONEY_TOTAL).alias("bank_difference"),
+    # numbers are exploded, not finished rows: what a report does not ask for is not worked out
+    e = rows.select("*", F.explode(F.array(*[F.when(when & (count > 0), F.lit(k)) for k, (_, when, count, _) in enumerate(kinds)])).alias("kind"))
+    by_kind = lambda values: reduce(lambda out, kv: F.when(F.col("kind") == kv[0], kv[1]).otherwise(out), enumerate(values[:-1]), values[-1])
+    e = e.where(F.col("kind").isNotNull()).select(
+        "transaction_date", "source_net", "gap", by_kind([status for status, _, _, _ in kinds]).alias("status"),
+        by_kind([count.cast("bigint") for _, _, count, _ in kinds]).alias("count"), by_kind([away.cast(WHOLE) for _, _, _, away in kinds]).alias("away"))
+    times = lambda c: F.when(F.col("count") == 1, F.col(c)).otherwise((F.col(c) * F.col("count")).cast(MONEY_TOTAL))
+    return e.groupBy(period(F.col("transaction_date")).alias("period"), F.col("status").alias("reconciliation_status")).agg(
+        F.sum("count").alias("transaction_count"), money_sum(times("source_net")).alias("total_value"),
+        money_sum(times("gap")).alias("gl_difference"), (F.sum("away") / 100).cast(MONEY_TOTAL).alias("bank_difference"),
         F.min("transaction_date").alias("first_date"), F.max("transaction_date").alias("last_date"))
 
 

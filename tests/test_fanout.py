@@ -61,6 +61,14 @@ def test_fixture_and_empty_tables(spark, fx):
     assert fanout.executive_summary(fanout.status_totals(*none)).collect() == scorecard.executive_summary(matching.reconciliation(*none)).collect()
 
 
+def test_a_report_works_out_no_amounts_that_it_does_not_show(fx):
+    """S4 shows no difference of ledger and bank: none of the sums over settlements is in its plan."""
+    totals = fanout.status_totals(*[fx[n] for n in ("sales_transactions", "gl_postings", "bank_settlements")])
+    sums = lambda df: [s for s in ("s_below", "s_least", "s_within", "s_all") if f"AS {s}#" in df._jdf.queryExecution().optimizedPlan().toString()]
+    assert sums(fanout.executive_summary(totals)) == []
+    assert sums(fanout.period_scorecard(totals)) == sums(totals) == ["s_below", "s_least", "s_within", "s_all"]
+
+
 def test_an_id_of_ten_thousand_by_ten_thousand(spark, fx):
     """Its 10^8 rows are counted and summed exactly, by formula, without being made."""
     n = 10_000
