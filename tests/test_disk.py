@@ -53,7 +53,7 @@ def same(a, b):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-@pytest.mark.parametrize("name", ["m6_reconciliation_detail"])
+@pytest.mark.parametrize("name", ["m6_reconciliation_detail", "m6_reconciliation_detail_dedup"])
 def test_order_lines_are_joined_once_for_all_readings_of_the_sales(spark, name):
     got = catalog.QUERIES[name](spark, SF)
     assert "lineitem" not in plan(got)
@@ -78,7 +78,7 @@ def test_clean_sales_are_not_dealt_by_id_again(tables, large):
 
 def test_the_running_variance_is_stored_before_rows_are_sorted(spark):
     t = derive.load_driver_tables(spark, SF)
-    for name in ("m6_reconciliation_detail",):
+    for name in ("m6_reconciliation_detail", "m6_reconciliation_detail_dedup"):
         assert "Window" not in plan(catalog.OPS[name](t))
 
 
