@@ -10,6 +10,9 @@ from datetime import date, datetime
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.functions.running import running_sum
 from ledgerloom.operators import dedup, matching
 from ledgerloom.plans import catalog
 from ledgerloom.plans.session import shuffles_dropped
@@ -53,7 +56,7 @@ def same(a, b):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-@pytest.mark.parametrize("name", ["m6_reconciliation_detail", "m6_reconciliation_detail_dedup"])
+@pytest.mark.parametrize("name", ["m6_reconciliation_detail", "m6_reconciliation_detail_dedup", "d2_dedup_preview"])
 def test_order_lines_are_joined_once_for_all_readings_of_the_sales(spark, name):
     got = catalog.QUERIES[name](spark, SF)
     assert "lineitem" not in plan(got)
@@ -82,6 +85,36 @@ def test_the_running_variance_is_stored_before_rows_are_sorted(spark):
         assert "Window" not in plan(catalog.OPS[name](t))
 
 
+@pytest.mark.parametrize("mode", ["reference", "full_rules"])
+def test_segments_of_an_id_are_shuffled_by_it_once(tables, large, mode):
+    got = dedup.dedup_preview(*tables[:2], mode=mode)
+    assert len(re.findall(r"Exchange hashpartitioning\(__id#\d+, \d+\)", plan(got))) == 2  # the segments, and the ids of the postings
+    assert not re.search(r"Exchange hashpartitioning\(__id#\d+, __time#\d+L?(, __pref#\d+)?, \d+\)", plan(got))
+    schema = tables[0].schema
+    assert got.schema["transaction_id"].dataType == schema["transaction_id"].dataType and got.schema["source_system"].dataType == schema["source_system"].dataType
+    rows, shown = got.collect(), tables[0].collect()
+    key = lambda r: str((r.transaction_id, r.customer_id, r.transaction_date, r.net_revenue, r.source_system, r.last_modified_date))
+    copies = {}
+    for r in shown:
+        copies.setdefault(r.transaction_id, []).append(r)
+    assert sorted(map(key, rows)) == sorted(key(r) for some in copies.values() if len(some) > 1 for r in some)
+    assert all(r.total_copies == len(copies[r.transaction_id]) for r in rows)
+
+
+def test_rows_of_copies_do_not_carry_their_id_twice(tables, large):
+    lines = plan(dedup.dedup_preview(tables[0])).splitlines()
+    below = next(x for i, x in enumerate(lines) if "Project" in x and "unit_price" in x and any("__id" in y and "Exchange" in y for y in lines[i - 3:i]))
+    assert not re.search(r"[\[ ]transaction_id#\d+[,\]]|[\[ ]source_system#\d+[,\]]", below)
+
+
+def test_a_level_of_several_columns_is_ordered_by_one_after_the_other(spark):
+    rows = spark.createDataFrame([(g, a, b, o) for g in "xy" for a in range(3) for b in range(4) for o in range(2)], "g string, a int, b int, o int")
+    level = [("a", F.col("a").desc()), ("b", F.col("b").asc())]
+    got = running_sum(rows, F.lit(1), [F.col("o").asc()], [level], partition_by=["g"], out="n", total_out="tot")
+    assert {(r.g, r.a, r.b, r.o): r.n for r in got.collect()} == {(g, a, b, o): (2 - a) * 8 + b * 2 + o + 1 for g in "xy" for a in range(3) for b in range(4) for o in range(2)}
+    assert {r.tot for r in got.collect()} == {24}
+
+
 def test_shuffle_files_of_what_is_stored_go_with_it(spark):
     folders = [d.getPath() for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
     files = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
