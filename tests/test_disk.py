@@ -56,7 +56,8 @@ def same(a, b):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-@pytest.mark.parametrize("name", ["m6_reconciliation_detail", "m6_reconciliation_detail_dedup", "d2_dedup_preview", "m10_reconciliation_view"])
+@pytest.mark.parametrize("name", ["m6_reconciliation_detail", "m6_reconciliation_detail_dedup", "d2_dedup_preview", "m10_reconciliation_view",
+                                  "m5_reconciliation_status"])
 def test_order_lines_are_joined_once_for_all_readings_of_the_sales(spark, name):
     got = catalog.QUERIES[name](spark, SF)
     assert "lineitem" not in plan(got)
