@@ -57,7 +57,7 @@ def same(a, b):
 
 
 @pytest.mark.parametrize("name", ["m6_reconciliation_detail", "m6_reconciliation_detail_dedup", "d2_dedup_preview", "m10_reconciliation_view",
-                                  "m5_reconciliation_status", "m4_three_way_join", "s3_exception_detail", "m7_cumulative_variance"])
+                                  "m5_reconciliation_status", "m4_three_way_join", "s3_exception_detail", "m7_cumulative_variance", "m9_status_rank_sort"])
 def test_order_lines_are_joined_once_for_all_readings_of_the_sales(spark, name):
     got = catalog.QUERIES[name](spark, SF)
     assert "lineitem" not in plan(got)
